@@ -1,0 +1,168 @@
+"""Inputs derived from the test tables, in the shape the jobs read.
+
+Everything grows with the tables: one notification and one granule header per
+`events` row, one stored file and one header per `orders` row.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from granulake.schemas import PRODUCT_COLUMNS, column_source
+
+EVENT_NAME_SQL = """
+concat(CASE event_id % 6 WHEN 0 THEN 'ABI-L1b-RadF' WHEN 1 THEN 'ABI-L2-CMIPM'
+                         WHEN 2 THEN 'ABI-L2-MCMIPM' WHEN 3 THEN 'GLM-L2-LCFA'
+                         WHEN 4 THEN 'ABI-L2-DSIM' ELSE 'ABI-L1b-RadC' END,
+       '/2020/188/', lpad(CAST(user_id % 24 AS VARCHAR(20)), 2, '0'),
+       '/OR_', event_type, '_', lpad(CAST(event_id AS VARCHAR(20)), 12, '0'), '.nc')
+"""
+
+MESSAGES_SQL = f"""
+SELECT msg_seq, updated, name, size,
+  concat('{{"kind":"storage#object","id":"b/', name, '/', CAST(msg_seq AS VARCHAR(20)),
+         '","name":"', name, '","size":"', size, '"}}',
+         CASE WHEN msg_seq % 50 = 0 THEN '}}' ELSE '' END) AS value
+FROM (SELECT event_id AS msg_seq, ts AS updated, {EVENT_NAME_SQL} AS name,
+        CAST(event_id * 37 + 1000 AS VARCHAR(20)) AS size
+      FROM events) e
+"""
+
+STORED_FILES_SQL = """
+SELECT concat('o', lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0'), '.nc') AS filename,
+  concat('/store/pub/', CASE o_orderkey % 2 WHEN 0 THEN 'ABI-L2-MCMIPM' ELSE 'ABI-L1b-RadM' END,
+         '/', CAST(year(o_orderdate) AS VARCHAR(4)), '/001/00/o',
+         lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0'), '.nc') AS path,
+  o_orderdate AS mtime, o_orderkey AS k,
+  CASE o_orderkey % 2 WHEN 0 THEN 'mcm' ELSE 'rad' END AS file_type
+FROM orders
+"""
+
+TRACKING_SQL = f"""
+SELECT CASE WHEN k % 11 = 0 THEN 'Other' ELSE 'Test' END AS project, filename, path,
+  CASE WHEN k % 4 = 1 THEN concat('v', CAST(k AS VARCHAR(20))) ELSE '' END AS data,
+  mtime, file_type,
+  CASE WHEN k % 4 = 1 THEN 0 WHEN k % 4 = 2 THEN 2 ELSE 1 END AS inqueue
+FROM ({STORED_FILES_SQL}) c WHERE k % 3 <> 0
+"""
+
+# Table each event's object belongs to, by the same rule as its folder above.
+EVENT_TABLES = {
+    0: "abi_l1b_radiance",
+    1: "abi_l2_cmip",
+    2: "abi_l2_mcmip",
+    3: "glm_l2_lcfa",
+    5: "abi_l1b_radiance",
+}
+
+MAPPING_CONFIG = {
+    "rad": {
+        "metadata": {"scene_id": "scene", "dataset_name": "dataset"},
+        "data": {
+            "valid_pixel_count": "valid_px",
+            "geospatial_lat_lon_extent": {
+                "geospatial_westbound_longitude": "west",
+                "no_such_attr": "absent_col",
+            },
+        },
+    },
+    "mcm": {"metadata": {"dataset_name": "dataset"}},
+}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table, spread over the cores when its file is a single split."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def _sql(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
+    escaped = text.replace("{", "{{").replace("}", "}}")
+    query = escaped.replace(f"FROM {name}", "FROM {source}")
+    return spark.sql(query, source=table(spark, sf_dir, name))
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`msg_seq, updated, value`; every 50th message is malformed."""
+    return _sql(spark, sf_dir, "events", MESSAGES_SQL).select("msg_seq", "updated", "value")
+
+
+def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`filename, path, mtime, k, file_type`."""
+    return _sql(spark, sf_dir, "orders", STORED_FILES_SQL)
+
+
+def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracked files of two projects in all three queue states."""
+    return _sql(spark, sf_dir, "orders", TRACKING_SQL)
+
+
+def _header_value(column: str, kind: str, position: int, key: Column, at: Column) -> Column:
+    if kind == "INTEGER":
+        return (key * 31 + position * 7) % 100000
+    if kind == "FLOAT":
+        return ((key * 17 + position * 13) % 10000) / F.lit(8.0)
+    if kind == "TIMESTAMP":
+        return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.concat(F.lit(column[:3] + "_"), (key % 9).cast("string"))
+
+
+def header_json(
+    product: str,
+    key: Column,
+    at: Column,
+    bad: tuple[str, Column] | None = None,
+    omitted: tuple[str, Column] | None = None,
+) -> Column:
+    """Header text of one product; `bad` and `omitted` name a variable and the
+    rows in which its value is not a number, or is left out."""
+    attributes: dict[str, Column] = {}
+    variables: dict[str, dict[str, Column]] = {}
+    for position, (column, kind) in enumerate(PRODUCT_COLUMNS[product]):
+        source = column_source(column)
+        value = _header_value(column, kind, position, key, at)
+        if source.kind == "attribute":
+            attributes[source.attribute] = value
+        elif source.kind == "variable_attribute":
+            variables.setdefault(source.variable, {})[source.attribute] = value
+        elif source.kind == "variable":
+            if omitted and column == omitted[0]:
+                value = F.when(~omitted[1], value)
+            if bad and column == bad[0]:
+                value = F.when(bad[1], F.lit("bad")).otherwise(value.cast("string"))
+            variables[source.variable] = {"": value}
+
+    def variable(fields: dict[str, Column]) -> Column:
+        if "" in fields:
+            return F.struct(fields[""].alias("data"))
+        return F.struct(F.struct(*[v.alias(a) for a, v in fields.items()]).alias("attributes"))
+
+    return F.to_json(
+        F.struct(
+            F.struct(*[v.alias(a) for a, v in attributes.items()]).alias("attributes"),
+            F.struct(*[variable(f).alias(v) for v, f in variables.items()]).alias("variables"),
+        )
+    )
+
+
+def granule_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`name, header`: the header text of every wanted event's object."""
+    events = table(spark, sf_dir, "events")
+    kind = F.col("event_id") % 6
+    header = None
+    for value, product in EVENT_TABLES.items():
+        text = header_json(product, F.col("event_id"), F.col("ts"))
+        header = F.when(kind == value, text) if header is None else header.when(kind == value, text)
+    return events.filter(kind != 4).select(F.expr(EVENT_NAME_SQL).alias("name"), header.alias("header"))
+
+
+def stored_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`path, header`: the header text of every stored file."""
+    files = stored_files(spark, sf_dir)
+    text = F.when(
+        F.col("file_type") == "rad",
+        header_json("abi_l1b_radiance", F.col("k"), F.col("mtime")),
+    ).otherwise(header_json("abi_l2_mcmip", F.col("k"), F.col("mtime")))
+    return files.select("path", text.alias("header"))
