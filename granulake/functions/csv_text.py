@@ -28,14 +28,11 @@ def header_line(names: list[str]) -> str:
     return out.getvalue()
 
 
-def csv_line(fields: list[Column]) -> Column:
-    """One CSV line of text columns, without a row end."""
-    return F.to_csv(F.struct(*fields), CSV_OPTIONS)
-
-
 def joined_line(values: Column) -> Column:
-    """`csv_line` for an array of texts, for rows too wide for one expression
-    per field."""
+    """One CSV line, without a row end, of an array of texts.
+
+    An array keeps the expression the same size for any number of fields.
+    """
 
     def field(value: Column) -> Column:
         quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))

@@ -45,14 +45,14 @@ def public_url(path: Column, store_prefix: str) -> Column:
 
 
 def day_folder(name: Column) -> Column:
-    """`product/year/day` part of an object name, or empty for a flat name.
+    """`product/year/day` part of an object name, or `-` for a flat name.
 
     Used as the partition column of the header store, so a batch of messages
     only opens the days it mentions.
     """
     return F.when(
         F.size(F.split(name, "/", 4)) == 4, F.substring_index(name, "/", 3)
-    ).otherwise(F.lit(""))
+    ).otherwise(F.lit("-"))
 
 
 def glob_pattern(pattern: str) -> str:

@@ -23,16 +23,19 @@ def full_header(header: Column) -> Column:
     return F.from_json(header, HEADER_SCHEMA)
 
 
-def _parse(text: Column, fields: list[tuple[Source, T.DataType]]) -> Column:
-    schema = pruned_header_schema(fields).add(_CORRUPT, T.StringType())
+def _parse(text: Column, shape: T.StructType) -> Column:
+    schema = T.StructType([*shape.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"columnNameOfCorruptRecord": _CORRUPT, "timeZone": "UTC"}
     return F.from_json(text, schema, options)
 
 
 def with_text_header(df: DataFrame, sources: list[Source], header: str = "header") -> DataFrame:
     """Parse header text once per row into `_header`, every value as text."""
-    fields = [(source, T.StringType()) for source in sources]
-    return with_computed(df, "_header", _parse(F.col(header), fields))
+    try:
+        shape = pruned_header_schema([(source, T.StringType()) for source in sources])
+    except ValueError:
+        shape = HEADER_SCHEMA
+    return with_computed(df, "_header", _parse(F.col(header), shape))
 
 
 def with_typed_header(
@@ -44,12 +47,13 @@ def with_typed_header(
     takes bare numbers; rows it refuses are read again with quoted numbers
     bared and empty text as null, and what is still refused is `unreadable`.
     """
-    first = with_computed(df, "_first", _parse(F.col(header), fields))
+    shape = pruned_header_schema(fields)
+    first = with_computed(df, "_first", _parse(F.col(header), shape))
     bared = F.regexp_replace(
         F.regexp_replace(F.col(header), _EMPTY_VALUE, ":null"), _QUOTED_NUMBER, '"$1":$2'
     )
     best = F.when(F.col("_first")[_CORRUPT].isNull(), F.col("_first")).otherwise(
-        _parse(bared, fields)
+        _parse(bared, shape)
     )
     return with_computed(first, "_header", best).drop("_first")
 

@@ -213,7 +213,6 @@ REJECT_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType()),
         T.StructField("reason", T.StringType()),
-        T.StructField("detail", T.StringType()),
         T.StructField("name", T.StringType()),
         T.StructField("value", T.StringType()),
     ]

@@ -1,0 +1,65 @@
+"""Tracking rows of one project as immutable Parquet versions."""
+
+from __future__ import annotations
+
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession
+
+from granulake.schemas import TRACKING_SCHEMA
+
+_FULL = "full"
+_APPEND = "append"
+
+
+class TrackingStore:
+    """A table that changes by adding folders, never by editing files.
+
+    `append` adds a folder of new rows; `replace` adds a folder holding the
+    whole table. A folder counts once Spark has marked it complete, so a lost
+    job leaves the table as it was, and a plan reading one version can write
+    the next. One writer per project at a time; a second one writing the same
+    version fails.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, project: str):
+        self.spark = spark
+        self.project = project
+        self.folder = f"{root.rstrip('/')}/{quote(project, safe='')}"
+
+    def _versions(self) -> list[tuple[int, str, bool]]:
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        folder = hadoop.Path(self.folder)
+        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return []
+        versions = []
+        for status in files.listStatus(folder):
+            number, _, kind = status.getPath().getName()[1:].partition("-")
+            complete = files.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
+            versions.append((int(number), kind, complete))
+        return sorted(versions)
+
+    def _path(self, number: int, kind: str) -> str:
+        return f"{self.folder}/v{number:08d}-{kind}"
+
+    def _write(self, rows: DataFrame, kind: str) -> int:
+        number = max((n for n, _, _ in self._versions()), default=0) + 1
+        columns = rows.select(*[rows[f.name].cast(f.dataType) for f in TRACKING_SCHEMA])
+        columns.write.mode("errorifexists").parquet(self._path(number, kind))
+        return number
+
+    def read(self) -> DataFrame:
+        """The newest whole table and every later addition."""
+        complete = [(n, kind) for n, kind, done in self._versions() if done]
+        base = max((n for n, kind in complete if kind == _FULL), default=0)
+        current = [self._path(n, kind) for n, kind in complete if n >= base]
+        if not current:
+            return self.spark.createDataFrame([], TRACKING_SCHEMA)
+        return self.spark.read.schema(TRACKING_SCHEMA).parquet(*current)
+
+    def append(self, rows: DataFrame) -> int:
+        return self._write(rows, _APPEND)
+
+    def replace(self, rows: DataFrame) -> int:
+        return self._write(rows, _FULL)
