@@ -99,70 +99,87 @@ def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, "orders", TRACKING_SQL)
 
 
-def _header_value(column: str, kind: str, position: int, key: Column, at: Column) -> Column:
-    if kind == "INTEGER":
-        return (key * 31 + position * 7) % 100000
-    if kind == "FLOAT":
-        return ((key * 17 + position * 13) % 10000) / F.lit(8.0)
-    if kind == "TIMESTAMP":
-        return F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    return F.concat(F.lit(column[:3] + "_"), (key % 9).cast("string"))
+# What one header field is: a file attribute, an attribute of the bounding box,
+# the band's unit, or the data of a variable.
+_ATTRIBUTE, _BOX, _BAND, _VARIABLE = "attribute", "box", "band", "variable"
 
 
-def header_json(
-    product: str,
-    key: Column,
-    at: Column,
-    bad: tuple[str, Column] | None = None,
-    omitted: tuple[str, Column] | None = None,
-) -> Column:
-    """Header text of one product; `bad` and `omitted` name a variable and the
-    rows in which its value is not a number, or is left out."""
-    attributes: dict[str, Column] = {}
-    variables: dict[str, dict[str, Column]] = {}
+def _fields(product: str) -> str:
+    """The product's header fields as one array literal."""
+    entries = []
     for position, (column, kind) in enumerate(PRODUCT_COLUMNS[product]):
         source = column_source(column)
-        value = _header_value(column, kind, position, key, at)
-        if source.kind == "attribute":
-            attributes[source.attribute] = value
-        elif source.kind == "variable_attribute":
-            variables.setdefault(source.variable, {})[source.attribute] = value
-        elif source.kind == "variable":
-            if bad and column == bad[0]:
-                value = F.when(bad[1], F.lit("bad")).otherwise(value.cast("string"))
-            if omitted and column == omitted[0]:
-                value = F.when(~omitted[1], value)
-            variables[source.variable] = {"": value}
-
-    def variable(fields: dict[str, Column]) -> Column:
-        if "" in fields:
-            return F.struct(fields[""].alias("data"))
-        return F.struct(F.struct(*[v.alias(a) for a, v in fields.items()]).alias("attributes"))
-
-    return F.to_json(
-        F.struct(
-            F.struct(*[v.alias(a) for a, v in attributes.items()]).alias("attributes"),
-            F.struct(*[variable(f).alias(v) for v, f in variables.items()]).alias("variables"),
+        if source.kind in ("size", "url"):
+            continue
+        part = {"attribute": _ATTRIBUTE, "variable": _VARIABLE}.get(
+            source.kind, _BAND if column == "band_id" else _BOX
         )
-    )
+        name = source.variable if part == _VARIABLE else source.attribute
+        entries.append(f"('{part}', '{name}', '{column}', '{kind}', {position})")
+    return f"array({', '.join(entries)})"
+
+
+def header_json(
+    fields: str,
+    key: str,
+    at: str,
+    bad: tuple[str, str] = ("", "false"),
+    omitted: tuple[str, str] = ("", "false"),
+) -> Column:
+    """Header text with the given fields; `bad` and `omitted` name a column and
+    the rows in which its value is not a number, or is left out."""
+    # A field is (part, name, column, kind, position).
+    value = f"""
+        CASE WHEN f.col3 = '{bad[0]}' AND {bad[1]} THEN '"bad"'
+             WHEN f.col4 = 'INTEGER' THEN CAST(({key} * 31 + f.col5 * 7) % 100000 AS STRING)
+             WHEN f.col4 = 'FLOAT'
+               THEN CAST((({key} * 17 + f.col5 * 13) % 10000) / 8.0D AS STRING)
+             WHEN f.col4 = 'TIMESTAMP'
+               THEN date_format({at}, '"yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS\\'Z\\'"')
+             ELSE concat('"', left(f.col3, 3), '_', CAST({key} % 9 AS STRING), '"') END
+    """
+    member = f"""concat('"', f.col2, '":', {value})"""
+    text = f"""
+        CASE WHEN f.col3 = '{omitted[0]}' AND {omitted[1]} THEN NULL
+             WHEN f.col1 = '{_VARIABLE}' THEN concat('"', f.col2, '":{{"data":', {value}, '}}')
+             WHEN f.col1 = '{_BAND}' THEN concat('"band_id":{{"attributes":{{', {member}, '}}}}')
+             ELSE {member} END
+    """
+
+    def members(*parts: str) -> str:
+        listed = ", ".join(f"'{part}'" for part in parts)
+        chosen = f"filter({fields}, f -> f.col1 IN ({listed}))"
+        return f"array_join(transform({chosen}, f -> {text}), ',')"
+
+    return F.expr(f"""
+        concat('{{"attributes":{{', {members(_ATTRIBUTE)}, '}},"variables":{{',
+            CASE WHEN exists({fields}, f -> f.col1 = '{_BOX}')
+                 THEN concat('"geospatial_lat_lon_extent":{{"attributes":{{', {members(_BOX)}, '}}}},')
+                 ELSE '' END,
+            {members(_BAND, _VARIABLE)}, '}}}}')
+    """)
+
+
+def product_header(product: str, key: str, at: str, **cases: tuple[str, str]) -> Column:
+    return header_json(_fields(product), key, at, **cases)
 
 
 def granule_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`name, header`: the header text of every wanted event's object."""
     events = table(spark, sf_dir, "events")
-    kind = F.col("event_id") % 6
-    header = None
-    for value, product in EVENT_TABLES.items():
-        text = header_json(product, F.col("event_id"), F.col("ts"))
-        header = F.when(kind == value, text) if header is None else header.when(kind == value, text)
-    return events.filter(kind != 4).select(F.expr(EVENT_NAME_SQL).alias("name"), header.alias("header"))
+    cases = " ".join(f"WHEN {value} THEN {_fields(t)}" for value, t in EVENT_TABLES.items())
+    fields = F.expr(f"CASE event_id % 6 {cases} END")
+    wanted = events.filter("event_id % 6 <> 4").withColumn("fields", fields)
+    return wanted.select(
+        F.expr(EVENT_NAME_SQL).alias("name"), header_json("fields", "event_id", "ts").alias("header")
+    )
 
 
 def stored_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`path, header`: the header text of every stored file."""
-    files = stored_files(spark, sf_dir)
-    text = F.when(
-        F.col("file_type") == "rad",
-        header_json("abi_l1b_radiance", F.col("k"), F.col("mtime")),
-    ).otherwise(header_json("abi_l2_mcmip", F.col("k"), F.col("mtime")))
-    return files.select("path", text.alias("header"))
+    fields = F.expr(
+        f"CASE file_type WHEN 'rad' THEN {_fields('abi_l1b_radiance')} "
+        f"ELSE {_fields('abi_l2_mcmip')} END"
+    )
+    files = stored_files(spark, sf_dir).withColumn("fields", fields)
+    return files.select("path", header_json("fields", "k", "mtime").alias("header"))

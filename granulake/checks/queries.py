@@ -55,14 +55,8 @@ def _ingest(spark: SparkSession, sf: str) -> Ingest:
 
 def _utc(rows: DataFrame) -> DataFrame:
     """Times as UTC wall time, the form the test tables use."""
-    return rows.select(
-        *[
-            F.col(f.name).cast("timestamp_ntz").alias(f.name)
-            if f.dataType.typeName() == "timestamp"
-            else F.col(f.name)
-            for f in rows.schema.fields
-        ]
-    )
+    times = [f.name for f in rows.schema.fields if f.dataType.typeName() == "timestamp"]
+    return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in times})
 
 
 def _files(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,10 +131,13 @@ def _product(table: str) -> Query:
 
 
 def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("event_id")
     column = "valid_pixel_count"
-    header = fx.header_json(
-        "abi_l1b_radiance", key, F.col("ts"), bad=(column, key % 97 == 0), omitted=(column, key % 89 == 0)
+    header = fx.product_header(
+        "abi_l1b_radiance",
+        "event_id",
+        "ts",
+        bad=(column, "event_id % 97 = 0"),
+        omitted=(column, "event_id % 89 = 0"),
     )
     loaded = fx.table(spark, sf, "events").select(
         F.expr(fx.EVENT_NAME_SQL).alias("name"), F.lit("1").alias("size"), header.alias("header")

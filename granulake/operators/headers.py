@@ -58,15 +58,18 @@ def with_typed_header(
     return with_computed(first, "_header", best).drop("_first")
 
 
-def header_value(source: Source) -> Column:
-    """One value of the parsed header; null where the header lacks it."""
-    header = F.col("_header")
+def header_path(source: Source) -> str:
+    """One value of the parsed header as SQL text; null where the header lacks it."""
+
+    def quoted(name: str) -> str:
+        return "`" + name.replace("`", "``") + "`"
+
     if source.kind == "attribute":
-        return header["attributes"][source.attribute]
-    variable = header["variables"][source.variable]
+        return f"_header.attributes.{quoted(source.attribute)}"
+    variable = f"_header.variables.{quoted(source.variable)}"
     if source.kind == "variable":
-        return variable["data"]
-    return variable["attributes"][source.attribute]
+        return f"{variable}.data"
+    return f"{variable}.attributes.{quoted(source.attribute)}"
 
 
 def unreadable() -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from granulake.functions.csv_text import header_line, joined_line, plain_number
 from granulake.functions.paths import public_url
-from granulake.operators.headers import header_value, unreadable, with_text_header
+from granulake.operators.headers import header_path, unreadable, with_text_header
 from granulake.schemas import Source
 
 URL_COLUMN = "base_url"
@@ -51,7 +51,7 @@ def with_mapped_header(files: DataFrame, config: dict) -> DataFrame:
 def _value(source: Source, store_prefix: str) -> Column:
     if source.kind == "url":
         return public_url(F.col("path"), store_prefix)
-    return header_value(source)
+    return F.expr(header_path(source))
 
 
 def records(files: DataFrame, config: dict, file_type: str, store_prefix: str) -> DataFrame:

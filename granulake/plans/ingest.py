@@ -9,26 +9,27 @@ from pyspark.sql import functions as F
 
 from granulake.functions.paths import day_folder
 from granulake.operators.joins import join_unique
-from granulake.operators.messages import kept, malformed, parse_messages
+from granulake.operators.messages import kept, malformed, parse_messages, product_table
 from granulake.operators.products import bad_rows, good_rows, typed_rows
 from granulake.schemas import OBJECT_URL_PREFIX, PRODUCT_SCHEMAS, REJECT_SCHEMA
 
 
 def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
-    """Messages with the header of the object they name; others are dropped.
+    """Routed messages with the header of the object they name; others are dropped.
 
     An inner join, so a small set of messages is broadcast to the headers and,
     with a header store laid out by day, prunes it to the days named. Larger
     sets are shuffled by name straight from both scans, where adaptive
-    execution can split an object announced over and over.
+    execution can split an object announced over and over. The table is part
+    of the key: headers of unwanted objects are dropped before the shuffle, and
+    so are all but one table's when only that table is asked for.
     """
-    if "day" not in headers.columns:
-        return messages.join(headers.select("name", "header"), "name")
-    return (
-        messages.withColumn("day", day_folder(F.col("name")))
-        .join(headers, ["day", "name"])
-        .drop("day")
-    )
+    keys = ["table_name", "name"]
+    routed = headers.withColumn("table_name", product_table(F.col("name")))
+    if "day" in headers.columns:
+        keys.append("day")
+        messages = messages.withColumn("day", day_folder(F.col("name")))
+    return messages.join(routed, keys).drop("day")
 
 
 class Ingest:
