@@ -99,87 +99,66 @@ def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sql(spark, sf_dir, "orders", TRACKING_SQL)
 
 
-# What one header field is: a file attribute, an attribute of the bounding box,
-# the band's unit, or the data of a variable.
-_ATTRIBUTE, _BOX, _BAND, _VARIABLE = "attribute", "box", "band", "variable"
+def header_sql(
+    product: str,
+    key: str,
+    time: str,
+    bad: tuple[str, str] | None = None,
+    omitted: tuple[str, str] | None = None,
+) -> str:
+    """Header text of one product as SQL; `bad` and `omitted` name a column and
+    the rows in which its value is not a number, or is left out."""
 
+    def struct(members: dict[str, str]) -> str:
+        return f"named_struct({', '.join(f"'{name}', {sql}" for name, sql in members.items())})"
 
-def _fields(product: str) -> str:
-    """The product's header fields as one array literal."""
-    entries = []
+    attributes: dict[str, str] = {}
+    variable_attributes: dict[str, dict[str, str]] = {}
+    variables: dict[str, str] = {}
     for position, (column, kind) in enumerate(PRODUCT_COLUMNS[product]):
         source = column_source(column)
-        if source.kind in ("size", "url"):
-            continue
-        part = {"attribute": _ATTRIBUTE, "variable": _VARIABLE}.get(
-            source.kind, _BAND if column == "band_id" else _BOX
-        )
-        name = source.variable if part == _VARIABLE else source.attribute
-        entries.append(f"('{part}', '{name}', '{column}', '{kind}', {position})")
-    return f"array({', '.join(entries)})"
-
-
-def header_json(
-    fields: str,
-    key: str,
-    at: str,
-    bad: tuple[str, str] = ("", "false"),
-    omitted: tuple[str, str] = ("", "false"),
-) -> Column:
-    """Header text with the given fields; `bad` and `omitted` name a column and
-    the rows in which its value is not a number, or is left out."""
-    # A field is (part, name, column, kind, position).
-    value = f"""
-        CASE WHEN f.col3 = '{bad[0]}' AND {bad[1]} THEN '"bad"'
-             WHEN f.col4 = 'INTEGER' THEN CAST(({key} * 31 + f.col5 * 7) % 100000 AS STRING)
-             WHEN f.col4 = 'FLOAT'
-               THEN CAST((({key} * 17 + f.col5 * 13) % 10000) / 8.0D AS STRING)
-             WHEN f.col4 = 'TIMESTAMP'
-               THEN date_format({at}, '"yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS\\'Z\\'"')
-             ELSE concat('"', left(f.col3, 3), '_', CAST({key} % 9 AS STRING), '"') END
-    """
-    member = f"""concat('"', f.col2, '":', {value})"""
-    text = f"""
-        CASE WHEN f.col3 = '{omitted[0]}' AND {omitted[1]} THEN NULL
-             WHEN f.col1 = '{_VARIABLE}' THEN concat('"', f.col2, '":{{"data":', {value}, '}}')
-             WHEN f.col1 = '{_BAND}' THEN concat('"band_id":{{"attributes":{{', {member}, '}}}}')
-             ELSE {member} END
-    """
-
-    def members(*parts: str) -> str:
-        listed = ", ".join(f"'{part}'" for part in parts)
-        chosen = f"filter({fields}, f -> f.col1 IN ({listed}))"
-        return f"array_join(transform({chosen}, f -> {text}), ',')"
-
-    return F.expr(f"""
-        concat('{{"attributes":{{', {members(_ATTRIBUTE)}, '}},"variables":{{',
-            CASE WHEN exists({fields}, f -> f.col1 = '{_BOX}')
-                 THEN concat('"geospatial_lat_lon_extent":{{"attributes":{{', {members(_BOX)}, '}}}},')
-                 ELSE '' END,
-            {members(_BAND, _VARIABLE)}, '}}}}')
-    """)
-
-
-def product_header(product: str, key: str, at: str, **cases: tuple[str, str]) -> Column:
-    return header_json(_fields(product), key, at, **cases)
+        value = {
+            "INTEGER": f"({key} * 31 + {position * 7}) % 100000",
+            "FLOAT": f"(({key} * 17 + {position * 13}) % 10000) / 8.0D",
+            "TIMESTAMP": time,
+            "STRING": f"concat('{column[:3]}_', {key} % 9)",
+        }[kind]
+        if bad and column == bad[0]:
+            value = f"CASE WHEN {bad[1]} THEN '\"bad\"' ELSE CAST({value} AS STRING) END"
+            value = f"parse_json({value})"
+        if omitted and column == omitted[0]:
+            value = f"CASE WHEN {omitted[1]} THEN NULL ELSE {value} END"
+        if source.kind == "attribute":
+            attributes[source.attribute] = value
+        elif source.kind == "variable_attribute":
+            variable_attributes.setdefault(source.variable, {})[source.attribute] = value
+        elif source.kind == "variable":
+            variables[source.variable] = struct({"data": value})
+    for variable, own in variable_attributes.items():
+        variables[variable] = struct({"attributes": struct(own)})
+    return f"to_json({struct({'attributes': struct(attributes), 'variables': struct(variables)})})"
+
+
+def header_time(column: str) -> Column:
+    return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def granule_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`name, header`: the header text of every wanted event's object."""
-    events = table(spark, sf_dir, "events")
-    cases = " ".join(f"WHEN {value} THEN {_fields(t)}" for value, t in EVENT_TABLES.items())
-    fields = F.expr(f"CASE event_id % 6 {cases} END")
-    wanted = events.filter("event_id % 6 <> 4").withColumn("fields", fields)
-    return wanted.select(
-        F.expr(EVENT_NAME_SQL).alias("name"), header_json("fields", "event_id", "ts").alias("header")
+    events = table(spark, sf_dir, "events").filter("event_id % 6 <> 4")
+    cases = " ".join(
+        f"WHEN {value} THEN {header_sql(t, 'event_id', 'at')}" for value, t in EVENT_TABLES.items()
+    )
+    return events.withColumn("at", header_time("ts")).select(
+        F.expr(EVENT_NAME_SQL).alias("name"), F.expr(f"CASE event_id % 6 {cases} END").alias("header")
     )
 
 
 def stored_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`path, header`: the header text of every stored file."""
-    fields = F.expr(
-        f"CASE file_type WHEN 'rad' THEN {_fields('abi_l1b_radiance')} "
-        f"ELSE {_fields('abi_l2_mcmip')} END"
+    header = (
+        f"CASE file_type WHEN 'rad' THEN {header_sql('abi_l1b_radiance', 'k', 'at')} "
+        f"ELSE {header_sql('abi_l2_mcmip', 'k', 'at')} END"
     )
-    files = stored_files(spark, sf_dir).withColumn("fields", fields)
-    return files.select("path", header_json("fields", "k", "mtime").alias("header"))
+    files = stored_files(spark, sf_dir).withColumn("at", header_time("mtime"))
+    return files.select("path", F.expr(header).alias("header"))

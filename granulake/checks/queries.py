@@ -132,15 +132,18 @@ def _product(table: str) -> Query:
 
 def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     column = "valid_pixel_count"
-    header = fx.product_header(
+    header = fx.header_sql(
         "abi_l1b_radiance",
         "event_id",
-        "ts",
+        "at",
         bad=(column, "event_id % 97 = 0"),
         omitted=(column, "event_id % 89 = 0"),
     )
-    loaded = fx.table(spark, sf, "events").select(
-        F.expr(fx.EVENT_NAME_SQL).alias("name"), F.lit("1").alias("size"), header.alias("header")
+    events = fx.table(spark, sf, "events").withColumn("at", fx.header_time("ts"))
+    loaded = events.select(
+        F.expr(fx.EVENT_NAME_SQL).alias("name"),
+        F.lit("1").alias("size"),
+        F.expr(header).alias("header"),
     )
     typed = products.typed_rows(loaded, "abi_l1b_radiance")
     good = products.good_rows(typed, "abi_l1b_radiance").select(

@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from granulake.functions.csv_text import CSV_OPTIONS
+from granulake.operators.once import with_computed
 from granulake.schemas import PRODUCT_SCHEMAS
 
 _CORRUPT = "_corrupt_record"
 
 
 def read_product_csv(spark: SparkSession, folder: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that load, and the text of rows that do not.
+    """Rows that load, and rows that do not with their text in `_corrupt_record`.
 
     The first line of each file is skipped and columns are taken by position,
-    whatever the header says.
+    whatever the header says. All columns are parsed whichever are used later,
+    so a row is judged by all of them.
     """
     schema = T.StructType(
         [*PRODUCT_SCHEMAS[table].fields, T.StructField(_CORRUPT, T.StringType())]
@@ -26,11 +28,13 @@ def read_product_csv(spark: SparkSession, folder: str, table: str) -> tuple[Data
         .options(**CSV_OPTIONS)
         .option("header", True)
         .option("enforceSchema", True)
-        .option("multiLine", False)
+        .option("columnPruning", False)
         .option("timeZone", "UTC")
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .csv(folder)
     )
-    good = rows.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT)
-    bad = rows.filter(F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("value"))
+    row = F.col("_row")
+    whole = with_computed(rows, "_row", F.struct(*rows.columns))
+    good = whole.filter(row[_CORRUPT].isNull()).select("_row.*").drop(_CORRUPT)
+    bad = whole.filter(row[_CORRUPT].isNotNull()).select("_row.*")
     return good, bad
