@@ -237,8 +237,7 @@ def catalog_glob(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_typed(spark: SparkSession, sf: str) -> DataFrame:
-    typed = catalog.match_locations(_files(spark, sf), LOCATION_ROOT, *OVERLAPPING)
-    return catalog.distinct_files(typed)
+    return catalog.match_locations(_files(spark, sf), LOCATION_ROOT, *OVERLAPPING)
 
 
 def existing_paths(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,8 +245,8 @@ def existing_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _unseen(spark: SparkSession, sf: str) -> DataFrame:
-    typed = catalog.match_locations(_files(spark, sf), LOCATION_ROOT, *WALKED)
-    return catalog.unseen_files(typed, fx.tracking(spark, sf), PROJECT)
+    files = catalog.match_locations(_files(spark, sf), LOCATION_ROOT, *WALKED)
+    return catalog.unseen_files(files, fx.tracking(spark, sf), PROJECT)
 
 
 def enqueue_new_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -351,7 +350,7 @@ def metadata_csv_line(spark: SparkSession, sf: str) -> DataFrame:
 def export_metadata(spark: SparkSession, sf: str) -> DataFrame:
     rows = tracking.exportable(fx.tracking(spark, sf), PROJECT, "rad")
     lines = with_position(rows, tracking.QUEUE_ORDER)
-    header = rows.limit(1).select(
+    header = spark.range(1).select(
         F.lit(0).cast("bigint").alias("position"),
         F.lit(mapping.mapped_header_line(fx.MAPPING_CONFIG, "rad")).alias("line"),
     )

@@ -23,29 +23,31 @@ def match_locations(
 ) -> DataFrame:
     """Files under any location, typed by the first location they match.
 
-    The patterns are plan inputs, so matching is one expression per row: no
-    join. Literal pattern starts are a separate filter that reaches the scan.
+    One row per path: `path, mtime, file_type`. The patterns are plan inputs,
+    so matching is one expression per row and no join. Literal pattern starts
+    are a separate filter that reaches the scan. A path listed again and again
+    is reduced in each task before the exchange; while grouped, the type is
+    kept as the number of its location, which hash aggregation can hold.
     """
     if len(locations) != len(file_types):
         raise ValueError(f"{len(locations)} locations but {len(file_types)} file types")
     if not locations:
-        return listing.withColumn("file_type", F.lit(None).cast("string")).limit(0)
+        return listing.select("path", "mtime", F.lit(None).cast("string").alias("file_type")).limit(0)
     patterns = [posixpath.join(location_root, location) for location in locations]
     path = F.col("path")
-    file_type = F.coalesce(
-        *[F.when(matches_glob(path, p), F.lit(t)) for p, t in zip(patterns, file_types)]
+    first = F.coalesce(
+        *[F.when(matches_glob(path, pattern), F.lit(i)) for i, pattern in enumerate(patterns)]
     )
     reachable = reduce(or_, [path.startswith(glob_prefix(p)) for p in patterns])
-    return (
+    files = (
         listing.filter(reachable)
-        .withColumn("file_type", file_type)
-        .filter(F.col("file_type").isNotNull())
+        .select("path", "mtime", first.alias("location"))
+        .filter(F.col("location").isNotNull())
+        .groupBy("path")
+        .agg(F.max("mtime").alias("mtime"), F.min("location").alias("location"))
     )
-
-
-def distinct_files(typed: DataFrame) -> DataFrame:
-    """One row per path; the file type follows from the path."""
-    return typed.groupBy("path", "file_type").agg(F.max("mtime").alias("mtime"))
+    types = F.array(*[F.lit(file_type) for file_type in file_types])
+    return files.select("path", "mtime", F.get(types, F.col("location")).alias("file_type"))
 
 
 def existing_paths(tracking: DataFrame, listed: DataFrame, project: str) -> DataFrame:
@@ -54,18 +56,14 @@ def existing_paths(tracking: DataFrame, listed: DataFrame, project: str) -> Data
     return join_unique(tracked, listed.select("path").distinct(), ["path"], "left_semi")
 
 
-def unseen_files(typed: DataFrame, tracking: DataFrame, project: str) -> DataFrame:
-    """Listed files the project does not track, whatever their type.
+def unseen_files(files: DataFrame, tracking: DataFrame, project: str) -> DataFrame:
+    """Matched files the project does not track, whatever their type.
 
-    Both sides are reduced to one row per path before the exchange, so a path
-    repeated without end costs one row per task, and both arrive partitioned
-    by path: the anti join adds no further exchange.
+    Both sides hold one row per path and are partitioned by it, so the anti
+    join adds no exchange of its own.
     """
     tracked = tracking.filter(F.col("project") == project).select("path").distinct()
-    listed = typed.groupBy("path").agg(
-        F.max("mtime").alias("mtime"), F.max("file_type").alias("file_type")
-    )
-    return listed.join(tracked, "path", "left_anti")
+    return files.join(tracked, "path", "left_anti")
 
 
 def new_tracking_rows(unseen: DataFrame, project: str) -> DataFrame:

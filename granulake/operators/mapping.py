@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from granulake.functions.csv_text import header_line, joined_line, plain_number
 from granulake.functions.paths import public_url
 from granulake.operators.headers import header_path, unreadable, with_text_header
+from granulake.operators.once import with_computed
 from granulake.schemas import Source
 
 URL_COLUMN = "base_url"
@@ -77,8 +78,8 @@ def with_csv_line(files: DataFrame, config: dict, store_prefix: str) -> DataFram
         values = F.array(*[_value(s, store_prefix) for _, s in mapped_columns(config[file_type])])
         text = joined_line(F.transform(values, plain_number))
         line = F.when(F.col("file_type") == file_type, text).otherwise(line)
-    return (
-        with_mapped_header(files, config)
-        .withColumn("csv_line", F.when(~unreadable(), line))
-        .drop("_header", "header")
+    parsed = with_mapped_header(files, config)
+    lined = with_computed(parsed, "_line", F.struct(F.when(~unreadable(), line).alias("csv_line")))
+    return lined.select(
+        *[c for c in files.columns if c != "header"], F.col("_line.csv_line").alias("csv_line")
     )

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from granulake.session import shared_folder
 
-# Up to this many rows Spark's top-k is used, where every task keeps at most
-# this many. Larger requests are cut by position and stay distributed.
-TOP_ROWS = 100_000
+# Up to this many rows Spark's top-k is used: every task sends at most this many
+# to one. Larger requests are cut by position and stay distributed.
+TOP_ROWS = 1_000
 
 _ROW_BITS = 33  # of monotonically_increasing_id, below the partition number
 

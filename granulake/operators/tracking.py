@@ -65,20 +65,40 @@ def mark_claimed(tracking: DataFrame, claimed: DataFrame, project: str) -> DataF
     return apply_updates(tracking, updates)
 
 
+def _last_lines(lines: DataFrame, project: str) -> DataFrame:
+    """One update per file name: its last line in queue order, or none."""
+    last = F.max(
+        F.when(F.col("csv_line").isNotNull(), F.struct(*QUEUE_ORDER, "csv_line"))
+    )
+    return (
+        lines.groupBy("filename")
+        .agg(last.alias("_last"))
+        .select(
+            F.lit(project).alias("project"),
+            "filename",
+            F.coalesce(F.col("_last.csv_line"), F.lit("")).alias("data"),
+            F.when(F.col("_last").isNull(), CLAIMED).otherwise(DONE).alias("inqueue"),
+        )
+    )
+
+
 def mark_done(tracking: DataFrame, lines: DataFrame, project: str) -> DataFrame:
     """The table after completion: state 0 and the file's CSV line.
 
-    `lines` holds `filename, path, mtime, csv_line`. Of several lines for one
-    file name the last in queue order stays.
+    `lines` holds `filename, path, mtime, csv_line`.
     """
-    updates = (
-        lines.groupBy(F.lit(project).alias("project"), "filename")
-        .agg(F.max(F.struct(*QUEUE_ORDER, "csv_line")).alias("_last"))
-        .select(
-            *_KEY, F.col("_last.csv_line").alias("data"), F.lit(DONE).alias("inqueue")
-        )
+    return apply_updates(tracking, _last_lines(lines, project))
+
+
+def mark_outcome(
+    tracking: DataFrame, claimed: DataFrame, lines: DataFrame, project: str
+) -> DataFrame:
+    """The table after claim and completion in one pass: `mark_done` for file
+    names with a line, `mark_claimed` for the rest."""
+    lineless = claimed.select(
+        "filename", "path", "mtime", F.lit(None).cast("string").alias("csv_line")
     )
-    return apply_updates(tracking, updates)
+    return apply_updates(tracking, _last_lines(lines.unionByName(lineless), project))
 
 
 def queue_counts(tracking: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from granulake.operators.tracking import (
     claim_rows,
     mark_claimed,
     mark_done,
+    mark_outcome,
 )
 from granulake.schemas import QUEUED
 from granulake.session import working_path
@@ -50,18 +51,21 @@ def walk(
     file_types: list[str],
 ) -> None:
     """Queue listed files the project does not track yet: one join, one append."""
-    typed = match_locations(listing, location_root, locations, file_types)
-    store.append(new_tracking_rows(unseen_files(typed, store.read(), store.project), store.project))
+    files = match_locations(listing, location_root, locations, file_types)
+    unseen = unseen_files(files, store.read(), store.project)
+    store.append(new_tracking_rows(unseen, store.project))
 
 
 def extract_lines(
     claimed: DataFrame, headers: DataFrame, config: dict, store_prefix: str
 ) -> DataFrame:
-    """`filename, path, mtime, csv_line` of claimed files; the line is null for
-    files that cannot be read or typed."""
+    """`filename, path, mtime, csv_line` of the claimed files that can be read
+    and typed."""
     files = claimed.join(headers.select("path", "header"), "path")
-    return with_csv_line(files, config, store_prefix).select(
-        "filename", "path", "mtime", "csv_line"
+    return (
+        with_csv_line(files, config, store_prefix)
+        .filter(F.col("csv_line").isNotNull())
+        .select("filename", "path", "mtime", "csv_line")
     )
 
 
@@ -74,10 +78,9 @@ def drained(
     store_prefix: str,
 ) -> DataFrame:
     """The table after claiming rows and completing those that can be read;
-    the others stay claimed."""
+    the others stay claimed. One pass over the table."""
     lines = extract_lines(claimed, headers, config, store_prefix)
-    done = lines.filter(F.col("csv_line").isNotNull())
-    return mark_done(mark_claimed(tracking, claimed, project), done, project)
+    return mark_outcome(tracking, claimed, lines, project)
 
 
 def process(
@@ -97,12 +100,7 @@ def process(
     if count == 0:
         return Processed(0, 0, 0, table.filter(queued).count())
     store.replace(mark_claimed(table, claimed, project))
-    lines = _written(
-        extract_lines(claimed, headers, config, store_prefix).filter(
-            F.col("csv_line").isNotNull()
-        ),
-        "lines",
-    )
+    lines = _written(extract_lines(claimed, headers, config, store_prefix), "lines")
     store.replace(mark_done(store.read(), lines, project))
     processed = lines.count()
     return Processed(count, processed, count - processed, store.read().filter(queued).count())

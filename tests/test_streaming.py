@@ -140,6 +140,35 @@ def test_values_come_from_their_own_message(spark, place):
     assert all(r.base_url.endswith(f"/g{r.total_size}.nc") for r in rows)
 
 
+def test_an_object_announced_over_and_over_is_split(spark, place):
+    """A third of the messages name one object; no task gets them all."""
+    place.headers(*range(300))
+    names = [name_of("glm_l2_lcfa", 0 if n % 3 == 0 else n % 300) for n in range(30000)]
+    messages = spark.createDataFrame(
+        [(message(name, id=uuid.uuid4().hex * 4),) for name in names], "value string"
+    ).repartition(8)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = attach_headers(
+            kept(parse_messages(messages)), read_header_store(spark, place.store)
+        )
+        assert joined.toArrow().num_rows == 30000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "skew=true" in plan
+
+
 def test_small_batches_prune_the_header_store_by_day(spark, place):
     place.headers(1)
     messages = spark.createDataFrame([(message(name_of("glm_l2_lcfa", 1)),)], "value string")
