@@ -30,7 +30,7 @@ from granulake.sinks.tracking_store import TrackingStore
 from granulake.sources.granules import read_header_store, write_header_store
 from granulake.sources.notifications import stream_files
 from granulake.sources.product_csv import read_product_csv
-from granulake.streaming.ingest import start_ingest
+from granulake.streaming.ingest import load_batch, start_ingest
 
 PROJECT = "Test"
 STORE_PREFIX = "/store"
@@ -159,9 +159,7 @@ def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- sinks ------------------------------------------------------------------
 def granule_csv(spark: SparkSession, sf: str) -> DataFrame:
-    batch = _ingest(spark, sf)
-    parts = [products.csv_objects(batch.of_table(t), t, BUCKET) for t in PRODUCT_SCHEMAS]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return products.csv_objects(_ingest(spark, sf).matched, BUCKET)
 
 
 def destination_uris(spark: SparkSession, sf: str) -> DataFrame:
@@ -188,10 +186,9 @@ def ensure_tables(spark: SparkSession, sf: str) -> DataFrame:
     tables = _new_tables(spark)
     created = tables.ensure()
     again = tables.ensure()
-    batch = _ingest(spark, sf)
+    load_batch(fx.messages(spark, sf), fx.granule_headers(spark, sf), tables, "first", 0)
     report = None
     for table, schema in PRODUCT_SCHEMAS.items():
-        tables.load(batch.product(table), table, "first", 0)
         row = tables.read(table).agg(F.count("*").alias("loaded")).select(
             F.lit(table).alias("table_name"),
             F.lit(len(schema.fields)).cast("bigint").alias("columns"),

@@ -19,6 +19,8 @@ CSV_OPTIONS = {
 }
 ROW_END = "\r\n"
 
+_SPECIAL = "[\",\\r\\n]"
+
 _SPARK_EXPONENT = r"^(-?\d\.\d+)E(-?\d+)$"
 
 
@@ -31,14 +33,25 @@ def header_line(names: list[str]) -> str:
 def joined_line(values: Column) -> Column:
     """One CSV line, without a row end, of an array of texts.
 
-    An array keeps the expression the same size for any number of fields.
+    An array keeps the expression the same size for any number of fields. One
+    test per row finds out whether any field needs quotes; few rows do.
     """
 
     def field(value: Column) -> Column:
         quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
-        return F.when(value.rlike('[",\\r\\n]'), quoted).otherwise(F.coalesce(value, F.lit("")))
+        return F.when(value.rlike(_SPECIAL), quoted).otherwise(value)
+
+    careful = F.array_join(F.transform(values, field), ",", "")
+    return F.when(F.array_join(values, "").rlike(_SPECIAL), careful).otherwise(
+        F.array_join(values, ",", "")
+    )
 
-    return F.array_join(F.transform(values, field), ",")
+
+def plain_numbers(values: Column) -> Column:
+    """`plain_number` of every text in an array, skipped when none needs it."""
+    return F.when(
+        F.contains(F.array_join(values, " "), F.lit("E")), F.transform(values, plain_number)
+    ).otherwise(values)
 
 
 def plain_number(text: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.functions.csv_text import header_line, joined_line, plain_number
+from granulake.functions.csv_text import header_line, joined_line, plain_numbers
 from granulake.functions.paths import public_url
 from granulake.operators.headers import header_path, unreadable, with_text_header
 from granulake.operators.once import with_computed
@@ -76,7 +76,7 @@ def with_csv_line(files: DataFrame, config: dict, store_prefix: str) -> DataFram
     line = F.lit(None).cast("string")
     for file_type in config:
         values = F.array(*[_value(s, store_prefix) for _, s in mapped_columns(config[file_type])])
-        text = joined_line(F.transform(values, plain_number))
+        text = joined_line(plain_numbers(values))
         line = F.when(F.col("file_type") == file_type, text).otherwise(line)
     parsed = with_mapped_header(files, config)
     lined = with_computed(parsed, "_line", F.struct(F.when(~unreadable(), line).alias("csv_line")))

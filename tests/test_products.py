@@ -119,9 +119,10 @@ def test_columns_with_capitals_read_their_own_variable(spark):
 def test_csv_object_reads_back_as_csv(spark, table):
     tree = header(table, dataset_name='a "quoted", name', percent_uncorrectable_l0_errors=2e-5)
     df = spark.createDataFrame(
-        [(NAME, "12", json.dumps(tree))], "name string, size string, header string"
+        [(NAME, "12", json.dumps(tree), table)],
+        "name string, size string, header string, table_name string",
     )
-    row = csv_objects(df, table, "b").collect()[0]
+    row = csv_objects(df, "b").collect()[0]
     names, values = list(csv.reader(io.StringIO(row.csv_text, newline="")))
     assert row.dest_uri == "gs://b/goes/g.csv"
     assert names == PRODUCT_SCHEMAS[table].names and len(values) == len(names)
