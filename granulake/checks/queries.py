@@ -143,9 +143,10 @@ def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     loaded = events.select(
         F.expr(fx.EVENT_NAME_SQL).alias("name"),
         F.lit("1").alias("size"),
+        F.lit("abi_l1b_radiance").alias("table_name"),
         F.expr(header).alias("header"),
     )
-    typed = products.typed_rows(loaded, "abi_l1b_radiance")
+    typed = products.typed_rows(loaded)
     good = products.good_rows(typed, "abi_l1b_radiance").select(
         "base_url", column, F.lit("loaded").alias("verdict")
     )

@@ -38,40 +38,56 @@ def with_text_header(df: DataFrame, sources: list[Source], header: str = "header
     return with_computed(df, "_header", _parse(F.col(header), shape))
 
 
-def with_typed_header(
-    df: DataFrame, fields: list[tuple[Source, T.DataType]], header: str = "header"
+def with_typed_headers(
+    df: DataFrame,
+    kind: str,
+    fields: dict[str, list[tuple[Source, T.DataType]]],
+    header: str = "header",
 ) -> DataFrame:
-    """Parse header text once per row into `_header`, values in column types.
+    """Parse header text once per row, values in column types.
 
-    The reader types the values itself, so no cast per column follows. It only
-    takes bare numbers; rows it refuses are read again with quoted numbers
-    bared and empty text as null, and what is still refused is `unreadable`.
+    Adds `_headers`, a struct with one header per kind of which only that of
+    the row's own kind is filled. The reader types the values itself, so no
+    cast per column follows. It only takes bare numbers; rows it refuses are
+    read again with quoted numbers bared and empty text as null, and what is
+    still refused is not `readable`.
     """
-    shape = pruned_header_schema(fields)
-    first = with_computed(df, "_first", _parse(F.col(header), shape))
+    shapes = {name: pruned_header_schema(own) for name, own in fields.items()}
+    text = F.col(header)
     bared = F.regexp_replace(
-        F.regexp_replace(F.col(header), _EMPTY_VALUE, ":null"), _QUOTED_NUMBER, '"$1":$2'
+        F.regexp_replace(text, _EMPTY_VALUE, ":null"), _QUOTED_NUMBER, '"$1":$2'
     )
-    best = F.when(F.col("_first")[_CORRUPT].isNull(), F.col("_first")).otherwise(
-        _parse(bared, shape)
+    first = F.struct(
+        *[
+            F.when(F.col(kind) == name, _parse(text, shape)).alias(name)
+            for name, shape in shapes.items()
+        ]
     )
-    return with_computed(first, "_header", best).drop("_first")
+    best = F.struct(
+        *[
+            F.when(F.col("_first")[name][_CORRUPT].isNull(), F.col("_first")[name])
+            .otherwise(_parse(bared, shape))
+            .alias(name)
+            for name, shape in shapes.items()
+        ]
+    )
+    return with_computed(with_computed(df, "_first", first), "_headers", best).drop("_first")
 
 
-def header_path(source: Source) -> str:
-    """One value of the parsed header as SQL text; null where the header lacks it."""
+def header_path(source: Source, header: str = "_header") -> str:
+    """One value of a parsed header as SQL text; null where the header lacks it."""
 
     def quoted(name: str) -> str:
         return "`" + name.replace("`", "``") + "`"
 
     if source.kind == "attribute":
-        return f"_header.attributes.{quoted(source.attribute)}"
-    variable = f"_header.variables.{quoted(source.variable)}"
+        return f"{header}.attributes.{quoted(source.attribute)}"
+    variable = f"{header}.variables.{quoted(source.variable)}"
     if source.kind == "variable":
         return f"{variable}.data"
     return f"{variable}.attributes.{quoted(source.attribute)}"
 
 
-def unreadable() -> Column:
-    """Whether the header is no JSON header, or holds a value of a wrong type."""
-    return F.col("_header")[_CORRUPT].isNotNull()
+def readable(header: str = "_header") -> Column:
+    """Whether there was a JSON header with values of the right types."""
+    return F.col(header).isNotNull() & F.col(f"{header}.{_CORRUPT}").isNull()

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from granulake.functions.csv_text import header_line, joined_line, plain_numbers
 from granulake.functions.paths import public_url
-from granulake.operators.headers import header_path, unreadable, with_text_header
+from granulake.operators.headers import header_path, readable, with_text_header
 from granulake.operators.once import with_computed
 from granulake.schemas import Source
 
@@ -61,7 +61,7 @@ def records(files: DataFrame, config: dict, file_type: str, store_prefix: str) -
     parsed = with_mapped_header(
         files.filter(F.col("file_type") == file_type), {file_type: config[file_type]}
     )
-    return parsed.filter(~unreadable()).select(
+    return parsed.filter(readable()).select(
         "path",
         "file_type",
         *[_value(s, store_prefix).alias(c) for c, s in mapped_columns(config[file_type])],
@@ -79,7 +79,7 @@ def with_csv_line(files: DataFrame, config: dict, store_prefix: str) -> DataFram
         text = joined_line(plain_numbers(values))
         line = F.when(F.col("file_type") == file_type, text).otherwise(line)
     parsed = with_mapped_header(files, config)
-    lined = with_computed(parsed, "_line", F.struct(F.when(~unreadable(), line).alias("csv_line")))
+    lined = with_computed(parsed, "_line", F.struct(F.when(readable(), line).alias("csv_line")))
     return lined.select(
         *[c for c in files.columns if c != "header"], F.col("_line.csv_line").alias("csv_line")
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from granulake.functions.paths import day_folder
 from granulake.operators.joins import join_unique
 from granulake.operators.messages import kept, malformed, parse_messages, product_table
 from granulake.operators.products import bad_rows, good_rows, typed_rows
-from granulake.schemas import OBJECT_URL_PREFIX, PRODUCT_SCHEMAS, REJECT_SCHEMA
+from granulake.schemas import OBJECT_URL_PREFIX, REJECT_SCHEMA
 
 
 def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
@@ -35,38 +33,38 @@ def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
 class Ingest:
     """The stages of one batch of messages as DataFrames.
 
-    `parsed` and `matched` feed several outputs; the streaming job persists
-    both for the length of a micro-batch.
+    `parsed` (message fields and verdict) and `typed` (wanted messages with
+    their header in column types) feed several outputs; the streaming job
+    persists both for the length of a micro-batch, so messages and headers are
+    each parsed once.
     """
 
     def __init__(
         self, messages: DataFrame, headers: DataFrame, url_prefix: str = OBJECT_URL_PREFIX
     ):
         self.url_prefix = url_prefix
-        self.parsed = parse_messages(messages.select("value"))
-        self._with_headers(headers)
+        self.headers = headers
+        self._derive(parse_messages(messages.select("value")))
 
-    def _with_headers(self, headers: DataFrame) -> None:
-        wanted = kept(self.parsed)
+    def _derive(self, parsed: DataFrame) -> None:
+        wanted = kept(parsed)
+        self.parsed = parsed
         self.sizeless = wanted.filter(~F.col("size_given"))
         self.fetchable = wanted.filter(F.col("size_given"))
-        self.matched = attach_headers(self.fetchable, headers)
+        self.matched = attach_headers(self.fetchable, self.headers)
+        self.typed = typed_rows(self.matched).drop("header")
 
-    def persist(self, headers: DataFrame) -> None:
-        self.parsed = self.parsed.persist()
-        self._with_headers(headers)
-        self.matched = self.matched.persist()
+    def persist(self) -> None:
+        self._derive(self.parsed.persist())
+        self.typed = self.typed.persist()
 
     def unpersist(self) -> None:
-        self.matched.unpersist()
+        self.typed.unpersist()
         self.parsed.unpersist()
 
-    def of_table(self, table: str) -> DataFrame:
-        return self.matched.filter(F.col("table_name") == table)
-
     def product(self, table: str) -> DataFrame:
         """Rows for one product table."""
-        return good_rows(typed_rows(self.of_table(table), table), table, self.url_prefix)
+        return good_rows(self.typed, table, self.url_prefix)
 
     def rejects(self) -> DataFrame:
         """Messages that were wanted but gave no product row, and why."""
@@ -80,12 +78,11 @@ class Ingest:
                 ]
             )
 
-        found = self.matched.select("name").distinct()
-        parts = [
-            because(malformed(self.parsed), "malformed"),
-            because(self.sizeless, "missing_size"),
-            because(join_unique(self.fetchable, found, ["name"], "left_anti"), "object_not_found"),
-        ]
-        for table in PRODUCT_SCHEMAS:
-            parts.append(because(bad_rows(typed_rows(self.of_table(table), table)), "bad_value"))
-        return reduce(DataFrame.unionByName, parts)
+        found = self.typed.select("name").distinct()
+        missing = join_unique(self.fetchable, found, ["name"], "left_anti")
+        return (
+            because(malformed(self.parsed), "malformed")
+            .unionByName(because(self.sizeless, "missing_size"))
+            .unionByName(because(missing, "object_not_found"))
+            .unionByName(because(bad_rows(self.typed), "bad_value"))
+        )

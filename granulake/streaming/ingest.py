@@ -25,11 +25,12 @@ def load_batch(
 ) -> None:
     """Append one micro-batch to every table.
 
-    Messages are parsed and joined once, then filtered per product. Running
-    the same batch again replaces its partitions, so a retry adds nothing.
+    Messages and headers are parsed and joined once, then filtered per product.
+    Running the same batch again replaces its partitions, so a retry adds
+    nothing.
     """
     batch = Ingest(messages, headers, url_prefix)
-    batch.persist(headers)
+    batch.persist()
     try:
         for table in PRODUCT_SCHEMAS:
             tables.load(batch.product(table), table, run_id, batch_id)

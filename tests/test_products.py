@@ -36,9 +36,12 @@ def header(table=GLM, **changes):
 
 
 def load(spark, tree, table=GLM, size="12"):
-    text = tree if isinstance(tree, str) else json.dumps(tree)
-    df = spark.createDataFrame([(NAME, size, text)], "name string, size string, header string")
-    typed = typed_rows(df, table)
+    text = json.dumps(tree) if isinstance(tree, dict) else tree
+    df = spark.createDataFrame(
+        [(NAME, size, text, table)],
+        "name string, size string, header string, table_name string",
+    )
+    typed = typed_rows(df)
     return good_rows(typed, table).collect(), bad_rows(typed).collect()
 
 
@@ -104,6 +107,7 @@ def test_missing_variable_and_attribute_are_null(spark):
 
 def test_unreadable_header_and_sizes(spark):
     assert load(spark, "not json")[0] == []
+    assert load(spark, None)[0] == [] and len(load(spark, None)[1]) == 1
     assert load(spark, header(), size="big")[0] == []
     assert load(spark, header(), size=None)[0][0].total_size is None
 
