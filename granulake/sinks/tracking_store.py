@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from granulake.schemas import TRACKING_SCHEMA
 
 _FULL = "full"
 _APPEND = "append"
+_VERSION = re.compile(rf"v(\d+)-({_FULL}|{_APPEND})")
 
 
 class TrackingStore:
@@ -35,9 +37,10 @@ class TrackingStore:
             return []
         versions = []
         for status in files.listStatus(folder):
-            number, _, kind = status.getPath().getName()[1:].partition("-")
-            complete = files.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
-            versions.append((int(number), kind, complete))
+            named = _VERSION.fullmatch(status.getPath().getName())
+            if named:
+                complete = files.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
+                versions.append((int(named[1]), named[2], complete))
         return sorted(versions)
 
     def _path(self, number: int, kind: str) -> str:
