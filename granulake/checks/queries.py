@@ -333,11 +333,7 @@ def _typed_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def config_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    files = _typed_headers(spark, sf)
-    parts = [
-        mapping.records(files, fx.MAPPING_CONFIG, t, STORE_PREFIX) for t in fx.MAPPING_CONFIG
-    ]
-    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return mapping.records(_typed_headers(spark, sf), fx.MAPPING_CONFIG, STORE_PREFIX)
 
 
 def metadata_csv_line(spark: SparkSession, sf: str) -> DataFrame:

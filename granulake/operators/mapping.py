@@ -55,16 +55,20 @@ def _value(source: Source, store_prefix: str) -> Column:
     return F.expr(header_path(source))
 
 
-def records(files: DataFrame, config: dict, file_type: str, store_prefix: str) -> DataFrame:
-    """`path, file_type` and the mapped columns of one file type; a field the
-    header lacks is null."""
-    parsed = with_mapped_header(
-        files.filter(F.col("file_type") == file_type), {file_type: config[file_type]}
-    )
+def records(files: DataFrame, config: dict, store_prefix: str) -> DataFrame:
+    """`path, file_type` and the mapped columns of all file types in one pass.
+
+    A field is null where the header lacks it, or where the row's file type
+    does not map it.
+    """
+    values: dict[str, list[Column]] = {}
+    for file_type, type_config in config.items():
+        for column, source in mapped_columns(type_config):
+            own = F.when(F.col("file_type") == file_type, _value(source, store_prefix))
+            values.setdefault(column, []).append(own)
+    parsed = with_mapped_header(files.filter(F.col("file_type").isin(*config)), config)
     return parsed.filter(readable()).select(
-        "path",
-        "file_type",
-        *[_value(s, store_prefix).alias(c) for c, s in mapped_columns(config[file_type])],
+        "path", "file_type", *[F.coalesce(*values[c]).alias(c) for c in sorted(values)]
     )
 
 

@@ -209,10 +209,12 @@ def test_lines(spark):
         "e": None,
         "f": ",gs://f.nc,,,",
     }
-    mapped = records(files, CONFIG, "rad", "/store").filter("path = '/store/a.nc'").first()
-    assert mapped.asDict() == {
-        "path": "/store/a.nc", "file_type": "rad", "absent": None,
-        "base_url": "gs://a.nc", "pixels": "1", "scene": "s", "west": "2.5",
+    mapped = {r.path[7]: tuple(r)[2:] for r in records(files, CONFIG, "/store").collect()}
+    assert mapped == {
+        "a": (None, "gs://a.nc", "1", "s", "2.5"),
+        "b": (None, "gs://b.nc", "[1,[2,3]]", None, None),
+        "c": (None, "gs://c.nc", None, 'a,"b"', "1.0E-5"),
+        "f": (None, "gs://f.nc", None, None, None),
     }
 
 
