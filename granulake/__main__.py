@@ -51,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
     processing.add_argument("--store-prefix", required=True)
     processing.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
     processing.add_argument("--max-to-process", type=int, default=NO_CAP)
+    processing.add_argument("--rejects", help="folder that collects files that gave no line")
 
     exporting = catalogue_job("export", "write stored lines as ordered CSV")
     exporting.add_argument("--config", required=True)
@@ -89,7 +90,13 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
         headers = spark.read.parquet(args.headers)
         print(
             process(
-                store, headers, config, args.store_prefix, args.batch_size, args.max_to_process
+                store,
+                headers,
+                config,
+                args.store_prefix,
+                args.batch_size,
+                args.max_to_process,
+                args.rejects,
             )
         )
     else:

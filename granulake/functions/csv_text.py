@@ -64,10 +64,11 @@ def plain_number(text: Column) -> Column:
     exponent = F.regexp_extract(text, _SPARK_EXPONENT, 2).try_cast("int")
     digits = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), "0+$", "")
     plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    size = F.abs(exponent).cast("string")
     short = F.concat(
         F.regexp_replace(F.regexp_extract(text, _SPARK_EXPONENT, 1), r"\.0$", ""),
         F.when(exponent < 0, "e-").otherwise("e+"),
-        F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")),
+        F.when(F.length(size) < 2, F.concat(F.lit("0"), size)).otherwise(size),
     )
     return F.when(
         text.contains("E") & text.rlike(_SPARK_EXPONENT),

@@ -90,8 +90,14 @@ def process(
     store_prefix: str,
     batch_size: int = DEFAULT_BATCH_SIZE,
     max_to_process: int = NO_CAP,
+    rejects: str | None = None,
 ) -> Processed:
-    """Claim queued files, extract their fields, store each file's CSV line."""
+    """Claim queued files, extract their fields, store each file's CSV line.
+
+    Files without a header, of a type the config lacks, or with a header that
+    cannot be read stay claimed and are added to the `rejects` folder if one
+    is given.
+    """
     project = store.project
     table = store.read()
     claimed = _written(claim(table, project, claim_rows(batch_size, max_to_process)), "claimed")
@@ -102,6 +108,8 @@ def process(
     store.replace(mark_claimed(table, claimed, project))
     lines = _written(extract_lines(claimed, headers, config, store_prefix), "lines")
     store.replace(mark_done(store.read(), lines, project))
+    if rejects is not None:
+        rejected_files(claimed, lines).write.mode("append").parquet(rejects)
     processed = lines.count()
     return Processed(count, processed, count - processed, store.read().filter(queued).count())
 

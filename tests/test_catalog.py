@@ -160,7 +160,8 @@ def test_updates_reach_every_row_of_a_file_name_and_the_last_line_stays(spark):
     done = state(mark_done(table, lines, "P"))
     assert done[("P", "/x/f.nc")] == done[("P", "/y/f.nc")] == ("late", 0)
     assert done[("Q", "/x/f.nc")] == ("old", 1)
-    assert apply_updates(table, lines.limit(0).selectExpr("'P' project", "filename", "'' data", "1 inqueue")).count() == 4
+    none = lines.limit(0).selectExpr("'P' project", "filename", "'' data", "1 inqueue")
+    assert apply_updates(table, none).count() == 4
 
 
 # --- mapping ----------------------------------------------------------------
@@ -241,7 +242,9 @@ def test_walk_process_export(spark, tmp_path):
     )
     first = process(store, headers, CONFIG, "/store", batch_size=1, max_to_process=1)
     assert (first.claimed, first.processed, first.rejected, first.still_queued) == (1, 1, 0, 3)
-    rest = process(store, headers, CONFIG, "/store")
+    rejects = str(tmp_path / "rejects")
+    rest = process(store, headers, CONFIG, "/store", rejects=rejects)
+    assert [r.path for r in spark.read.parquet(rejects).collect()] == ["/store/r/2.nc"]
     assert (rest.claimed, rest.processed, rest.rejected, rest.still_queued) == (3, 2, 1, 0)
     assert process(store, headers, CONFIG, "/store").claimed == 0
     states = {r.path: (r.data, r.inqueue) for r in store.read().collect()}
