@@ -42,6 +42,28 @@ def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.substring_dedup import dedup
+
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    done = dedup(table(spark, sf, "documents"))
+    return done.select("doc_id", "n_words", removed.alias("n_removed"), hex_digest(F.col("kept")).alias("kept_sha256"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.suffix_dedup import cut_repeats
+
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    done = cut_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select(
+        "row.doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     from granulake.llm.licenses import scan
 
