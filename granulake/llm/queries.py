@@ -28,6 +28,19 @@ def op2_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.language import of_documents
+
+    return of_documents(table(spark, sf, "documents"))
+
+
+def language_of_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Markup, address and host evidence, with text likelihoods learned from the documents."""
+    from granulake.llm.language import model, of_pages
+
+    return of_pages(table(spark, sf, "pages"), model(table(spark, sf, "documents").select("lang", "text").where("text is not null")))
+
+
 def op4_bpe(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,5 +83,11 @@ def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan(table(spark, sf, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.jaccard_join import joined
+
+    return joined(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def queries() -> dict[str, Query]:
-    return {name: value for name, value in globals().items() if name.startswith("op") and callable(value)}
+    return {name: value for name, value in globals().items() if name.startswith(("op", "language_")) and callable(value)}
