@@ -77,6 +77,12 @@ def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.language_model import score
+
+    return score(table(spark, sf, "documents"))
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     from granulake.llm.licenses import scan
 
