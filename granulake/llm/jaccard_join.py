@@ -24,7 +24,7 @@ gathered anywhere and no partner is dropped. N-grams and sets are compared by
 
 Null texts and texts without words: no n-grams, linked with nothing. Fewer words
 than n: the whole sequence is the one n-gram. Repeated rows: linked with each
-other. Rows without id are known by a negative number made of the text. Other
+other; under one id they stay or go together. Rows without id are known by a negative number made of the text. Other
 columns are not read. Empty table: no rows.
 """
 
@@ -223,4 +223,4 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     """The rows, with all their columns, that are the first of their component."""
     first = joined(docs, id, text).where(F.col("row_key") == F.col("component_id")).select(F.col("row_key").alias("first_key")).distinct()
     first = saved(first, "first-of-group")
-    return docs.join(first, row_key(id, text) == F.col("first_key"), "left_semi").dropDuplicates([id, text])
+    return docs.join(first, row_key(id, text) == F.col("first_key"), "left_semi")

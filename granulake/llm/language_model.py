@@ -39,7 +39,7 @@ KNOWN = 200_000
 TOP, TAILS = 512, 512
 DIM = 32
 #: Stochastic gradient steps, pairs and noise classes of each.
-STEPS, BATCH, NOISE, RATE = 1500, 4096, 256, 0.1
+STEPS, BATCH, NOISE, RATE = 400, 4096, 256, 0.1
 FOLDS, HELD_OUT = 7, 2
 PIECE_BYTES = 2_000_000
 

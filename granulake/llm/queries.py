@@ -89,6 +89,12 @@ def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan(table(spark, sf, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.toxicity import score
+
+    return score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     from granulake.llm.jaccard_join import joined
 

@@ -58,8 +58,13 @@ def byte_tokens(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield piece.column("id").to_numpy(), BYTE_VALUES[data], ends
 
 
-def cut_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Each row with its number of bytes, the bytes kept, and the removed spans (first byte, byte after the last)."""
+def cut_repeats(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM, as_text: bool = False
+) -> DataFrame:
+    """Each row with its number of bytes, what is kept, and the removed spans (first byte, byte after the last).
+
+    What is kept is bytes, or with `as_text` a text without the characters that were cut.
+    """
     keyed = docs.select(row_key(id, text).alias("id"), F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     bare = keyed.select("id", "text")
     spans = repeated_spans(bare, lambda asked: bare.join(asked, "id"), byte_tokens, length, gram, earlier=False)
@@ -76,18 +81,18 @@ def cut_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length:
                         mask = covered(span.values, length, len(own))
                         gone, own = maximal(mask), own[~mask]
                     counts.append(end - begin)
-                    kept.append(own.tobytes())
+                    kept.append(own.tobytes().decode("utf-8", "ignore") if as_text else own.tobytes())
                     removed.append([{"start": a, "stop": b} for a, b in gone])
                     begin = end
-                columns = [piece.column("row"), pa.array(counts, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, spans_type)]
+                columns = [piece.column("row"), pa.array(counts, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(removed, spans_type)]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "n_bytes", "kept", "removed"])
 
-    schema = f"row {keyed.schema['row'].dataType.simpleString()}, n_bytes long, kept binary, removed array<struct<start:long,stop:long>>"
+    schema = f"row {keyed.schema['row'].dataType.simpleString()}, n_bytes long, kept {'string' if as_text else 'binary'}, removed array<struct<start:long,stop:long>>"
     return keyed.join(spans, "id", "left").select("row", "text", "spans").mapInArrow(cut, schema)
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows with their columns, each text without its repeated strings; cut characters are left out."""
-    done = cut_repeats(docs, id, text)
-    left = F.when(F.size("removed") == 0, F.col(f"row.{text}")).otherwise(F.try_validate_utf8(F.col("kept").cast("string")))
+    done = cut_repeats(docs, id, text, as_text=True)
+    left = F.when(F.size("removed") == 0, F.col(f"row.`{text}`")).otherwise(F.col("kept"))
     return done.select(*[left.alias(text) if n == text else F.col(f"row.`{n}`") for n in docs.columns])
