@@ -1,20 +1,24 @@
 """Repeated token windows, found by Spark without moving every window.
 
-A window is `length` consecutive tokens of one text. Texts are cut into runs: all
-windows of a run share one anchor, the first of the lowest hashes among a window's
-grams of `gram` tokens. Two equal windows have equal anchors, so:
-
-1. Anchors are counted. Runs whose anchor is found once hold no repeated window.
-2. The rest are grouped by anchor and by the hash of the whole run. Equal runs
-   have equal windows, one by one, so one run of each group (the lead) speaks for it.
-3. Where an anchor has several different runs, the leads' windows are hashed and
-   counted one by one.
-
-How a text is cut decides only how much is left for step 3, never the result.
-Counts are grouped sums, so a run or window that fills a third of the rows is
-added up before it is shuffled; joins are plain equi-joins that adaptive
-execution splits. Grouping is by two 64-bit hashes together, the anchor's and the
-run's or window's.
+A window is `length` consecutive tokens of one text. Windows are grouped digit by
+digit, as a most-significant-digit radix sort does, and whatever stays alone in its
+group is dropped:
+
+1. The first digit is the window's anchor, the first of the lowest hashes among its
+   grams of `gram` tokens. Consecutive windows with one anchor travel as one row, a run.
+2. Runs found under an anchor that others share are grouped by the hash of the whole
+   run. Equal runs have equal windows, one by one; one of them, the lead, speaks
+   for all in what follows.
+3. Where different runs meet under one anchor, the leads are cut into blocks, by the
+   distance to the anchor. The next digit is a block's core, the tokens all its
+   windows hold; then, again, the hash of the whole block.
+4. What is still undecided is looked at window by window.
+
+How texts are cut decides only how much is left for the later steps, never the
+result. Groups are counted by grouped sums, so a run or window that fills a third of
+the rows is added up before it is shuffled; joins are plain equi-joins that
+adaptive execution splits. Every comparison is by at least two 64-bit hashes
+together, the anchor's and the run's, block's or window's.
 """
 
 from __future__ import annotations
@@ -95,7 +99,7 @@ def runs_of(tokens: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tup
     `tokens` are the rows' tokens in a row, `ends` where each row ends.
     """
     none = np.empty(0, dtype=np.int64)
-    if len(tokens) < length:
+    if len(tokens) < length or not len(ends):
         return none, none, none, none, none
     hashes = Hashes(tokens)
     grams = hashes.all(gram)
@@ -138,76 +142,129 @@ def run_table(docs: DataFrame, tokens: Tokens, length: int, gram: int) -> DataFr
     return docs.mapInArrow(work, "id long, start long, count long, anchor long, run long")
 
 
-def window_table(docs: DataFrame, tokens: Tokens, length: int) -> DataFrame:
-    """One row per window asked for: id, start, anchor, `sole`, hash of the window.
+def first_lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first minimum of every `width` consecutive values, by doubling."""
 
-    `docs` has, beside the text, `asked`: an array of (start, count, anchor, sole).
-    """
+    def meet(low_a: np.ndarray, at_a: np.ndarray, low_b: np.ndarray, at_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        later = low_b < low_a
+        return np.where(later, low_b, low_a), np.where(later, at_b, at_a)
+
+    span, low, at = 1, values, np.arange(len(values))
+    while span * 2 <= width:
+        low, at = meet(low[:-span], at[:-span], low[span:], at[span:])
+        span *= 2
+    rest = width - span
+    return meet(low[:-rest], at[:-rest], low[rest:], at[rest:])[1] if rest else at
+
+
+#: What a text is asked about: first window, number of windows, group so far, and whether the row speaks for itself only.
+ASKED = ["start", "count", "key", "sole"]
+
+
+def each_asked(batch: pa.RecordBatch, tokens: Tokens) -> Iterator[tuple[int, np.ndarray, tuple[np.ndarray, ...]]]:
+    """Id, tokens and what is asked of each text."""
+    asked = dict(zip(batch.column("id").to_pylist(), batch.column("asked"), strict=True))
+    for ids, flat, ends in tokens(batch):
+        for i, id in enumerate(ids.tolist()):
+            begin = int(ends[i - 1]) if i else 0
+            spans = asked[id].values
+            yield id, flat[begin : int(ends[i])], tuple(spans.field(n).to_numpy(zero_copy_only=False) for n in ASKED)
+
+
+def spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows repeated `counts` times: the row, and the number of the repetition."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def block_table(asked: DataFrame, tokens: Tokens, length: int, gram: int, block: int) -> DataFrame:
+    """The runs asked about, cut into blocks: id, start, count, key (of anchor, distance and core), whole, sole."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = dict(zip(batch.column("id").to_pylist(), batch.column("asked"), strict=True))
-            for ids, flat, ends in tokens(batch):
-                for i, id in enumerate(ids.tolist()):
-                    begin = int(ends[i - 1]) if i else 0
-                    own = flat[begin : int(ends[i])]
-                    spans = asked[id].values
-                    start = spans.field("start").to_numpy()
-                    count = spans.field("count").to_numpy()
-                    anchor = np.repeat(spans.field("anchor").to_numpy(), count)
-                    sole = np.repeat(spans.field("sole").to_numpy(zero_copy_only=False), count)
-                    ahead = np.cumsum(count) - count
-                    place = np.repeat(start - ahead, count) + np.arange(len(anchor))
-                    for lo, hi in parts(len(own), length):
-                        here = (place >= lo) & (place <= hi - length)
-                        if here.any():
-                            at = place[here] - lo
-                            window = Hashes(own[lo:hi]).some(at, at + length).view(np.int64)
-                            columns = [pa.array(np.full(len(at), id), pa.int64()), pa.array(place[here]), pa.array(anchor[here]), pa.array(sole[here]), pa.array(window)]
-                            yield pa.RecordBatch.from_arrays(columns, ["id", "start", "anchor", "sole", "window"])
-
-    return docs.mapInArrow(work, "id long, start long, anchor long, sole boolean, window long")
+            for id, own, (start, count, key, sole) in each_asked(batch, tokens):
+                for lo, hi in parts(len(own), length):
+                    mine = (start >= lo) & (start + count - 1 <= hi - length)
+                    if not mine.any():
+                        continue
+                    hashes = Hashes(own[lo:hi])
+                    first, many = start[mine] - lo, count[mine]
+                    anchor = first_lowest(hashes.all(gram), length - gram + 1)[first]
+                    # windows by distance to the anchor: the farthest starts first
+                    far, near = anchor - first, anchor - first - many + 1
+                    row, step = spread(far // block - near // block + 1)
+                    number = near[row] // block + step
+                    begin = np.maximum(first[row], anchor[row] - number * block - block + 1)
+                    end = np.minimum(first[row] + many[row], anchor[row] - number * block + 1)
+                    core = hashes.some(anchor[row] - number * block, anchor[row] - number * block - block + 1 + length)
+                    code = mixed(mixed(core + number.astype(np.uint64)) ^ key[mine][row].view(np.uint64))
+                    whole = hashes.some(begin, end + length - 1)
+                    columns = [np.full(len(row), id), begin + lo, end - begin, code.view(np.int64), whole.view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns], pa.array(sole[mine][row])], ["id", "start", "count", "key", "whole", "sole"])
+
+    return asked.mapInArrow(work, "id long, start long, count long, key long, whole long, sole boolean")
+
+
+def window_table(asked: DataFrame, tokens: Tokens, length: int) -> DataFrame:
+    """One row per window asked about: id, start, key, sole, hash of the window."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for id, own, (start, count, key, sole) in each_asked(batch, tokens):
+                row, step = spread(count)
+                place = start[row] + step
+                for lo, hi in parts(len(own), length):
+                    here = (place >= lo) & (place <= hi - length)
+                    if here.any():
+                        at = place[here] - lo
+                        window = Hashes(own[lo:hi]).some(at, at + length).view(np.int64)
+                        columns = [pa.array(np.full(len(at), id), pa.int64()), pa.array(place[here]), pa.array(key[row][here]), pa.array(sole[row][here]), pa.array(window)]
+                        yield pa.RecordBatch.from_arrays(columns, ["id", "start", "key", "sole", "window"])
+
+    return asked.mapInArrow(work, "id long, start long, key long, sole boolean, window long")
+
+
+def settled(rows: DataFrame, earlier: bool, label: str) -> tuple[DataFrame, DataFrame]:
+    """What equal rows under one key settle, and what is left to ask.
+
+    `rows`: id, start, count, key, whole, sole. Settled spans are id, start, count;
+    those to ask are id and an array `asked`.
+    """
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    rows = saved(rows.join(shared, "key", "left_semi"), f"{label}-shared")
+    groups = rows.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.min(F.struct("id", "start")).alias("lead"))
+    groups = saved(groups, f"{label}-groups")
+    varied = groups.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1").select("key", F.lit(True).alias("varied"))
+    known = rows.join(groups.join(varied, "key", "left"), ["key", "whole"])
+    if earlier:
+        done, leads = F.col("id") > F.col("least"), F.col("id") == F.col("least")
+    else:
+        done, leads = F.col("n") > 1, F.struct("id", "start") == F.col("lead")
+    asks = leads & F.coalesce("varied", F.lit(False))
+    known = known.select("id", "start", "count", "key", "sole", done.alias("done"), asks.alias("asks")).where("asks or (done and sole)")
+    known = saved(known, f"{label}-judged")
+    more = F.struct("start", "count", "key", (F.col("sole") & ~F.col("done")).alias("sole"))
+    return known.where("done and sole").select("id", "start", "count"), known.where("asks").groupBy("id").agg(F.collect_list(more).alias("asked"))
 
 
 def repeated_spans(
-    docs: DataFrame, with_asked: Callable[[DataFrame], DataFrame], tokens: Tokens, length: int, gram: int, earlier: bool
+    docs: DataFrame, prepare: Callable[[DataFrame], DataFrame], tokens: Tokens, length: int, gram: int, block: int, earlier: bool
 ) -> DataFrame:
     """Id and spans (start, count) of the windows that are repeated.
 
     `earlier`: a window counts only if it also starts in a row of smaller id;
-    otherwise if it starts anywhere else, in the same row too. `with_asked` joins
-    (id, asked) to `docs`.
+    otherwise if it starts anywhere else, in the same row too. `docs` has id and
+    text; `prepare` makes what `tokens` reads of it, and keeps other columns.
     """
-    runs = saved(run_table(docs, tokens, length, gram), "runs")
-    shared = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    # 1. runs whose anchor is found more than once
-    runs = saved(runs.join(shared, "anchor", "left_semi"), "shared-runs")
-    groups = runs.groupBy("anchor", "run").agg(
-        F.count("*").alias("n"), F.min("id").alias("least"), F.min(F.struct("id", "start")).alias("lead")
-    )
-    groups = saved(groups, "run-groups")
-    mixed_anchors = groups.groupBy("anchor").agg(F.count("*").alias("runs")).where("runs > 1").select("anchor", F.lit(True).alias("mixed"))
-    groups = groups.join(mixed_anchors, "anchor", "left")
-    known = runs.join(groups, ["anchor", "run"])
-    if earlier:
-        settled, leads = F.col("id") > F.col("least"), F.col("id") == F.col("least")
-    else:
-        settled, leads = F.col("n") > 1, F.struct("id", "start") == F.col("lead")
-    known = saved(
-        known.where(settled | (leads & F.col("mixed"))).select(
-            "id", "start", "count", "anchor", settled.alias("settled"), (leads & F.coalesce("mixed", F.lit(False))).alias("asks")
-        ),
-        "judged-runs",
-    )
-    # 2. what equal runs settle
-    whole = known.where("settled").select("id", "start", "count")
-    # 3. the windows of runs that differ under one anchor
-    asked = known.where("asks").groupBy("id").agg(F.collect_list(F.struct("start", "count", "anchor", (~F.col("settled")).alias("sole"))).alias("asked"))
-    windows = saved(window_table(with_asked(asked), tokens, length), "windows")
-    alike = windows.groupBy("anchor", "window").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    single = windows.where("sole").join(alike.where("n > 1"), ["anchor", "window"])
+    runs = run_table(prepare(docs), tokens, length, gram).select("id", "start", "count", F.col("anchor").alias("key"), F.col("run").alias("whole"), F.lit(True).alias("sole"))
+    spans, asked = settled(saved(runs, "runs"), earlier, "runs")
+    texts = saved(docs.join(asked, "id"), "texts-asked")
+    more, asked = settled(saved(block_table(prepare(texts), tokens, length, gram, block), "blocks"), earlier, "blocks")
+    windows = saved(window_table(prepare(texts.drop("asked").join(asked, "id")), tokens, length), "windows")
+    alike = windows.groupBy("key", "window").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    single = windows.where("sole").join(alike.where("n > 1"), ["key", "window"])
     single = single.where("id > least") if earlier else single
-    spans = whole.unionByName(single.select("id", "start", F.lit(1).cast("long").alias("count")))
+    spans = spans.unionByName(more).unionByName(single.select("id", "start", F.lit(1).cast("long").alias("count")))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
 
 

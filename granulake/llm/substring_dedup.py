@@ -27,6 +27,8 @@ from granulake.llm.repeats import covered, maximal, repeated_spans, row_key
 LENGTH = 50
 #: Words of an anchor gram.
 GRAM = 12
+#: Windows decided together.
+BLOCK = 6
 #: Words handled at a time.
 PIECE_WORDS = 500_000
 
@@ -50,8 +52,8 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int =
     """Each row's key and words, kept text, and removed intervals (first word, word after the last)."""
     keyed = docs.select(row_key(id, text).alias("id"), F.col(id).alias("own_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     hashes = F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("tokens")
-    tokens = keyed.select("id", hashes)
-    spans = repeated_spans(tokens, lambda asked: keyed.select("id", "text").join(asked, "id").select("id", hashes, "asked"), word_tokens, length, gram, earlier=True)
+    prepare = lambda rows: rows.select(hashes, *[n for n in rows.columns if n != "text"])
+    spans = repeated_spans(keyed.select("id", "text"), prepare, word_tokens, length, gram, BLOCK, earlier=True)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -6,11 +6,11 @@ depth are exactly the repeated strings of `length` bytes. A byte is removed if
 such a string covers it, wherever else it starts, in the same text too; strings are
 judged on the input and never cross texts.
 
-The passes are grouped counts in Spark (`repeats`): the first digit is the
-window's anchor gram, the second the bytes of the whole run of windows around it,
-the last the window itself, taken only for groups still undecided. Suffixes with
-consecutive starts travel as one row, so the table is about a hundredth of the
-number of suffixes, and no group is gathered in one task.
+The passes are grouped counts in Spark (`repeats`): the first digit is a gram of
+the window, the next a stretch around it, the last the window itself, taken only
+for groups still undecided. Suffixes with consecutive starts travel as one row, so
+the table is about a hundredth of the number of suffixes, and no group is gathered
+in one task.
 
 Null text: empty. Texts shorter than a window lose nothing. A row without id is
 known by its text. Rows repeated under one id are copies of each other, and both
@@ -34,6 +34,8 @@ from granulake.llm.repeats import MIX, covered, maximal, mixed, repeated_spans,
 LENGTH = 200
 #: Bytes of an anchor gram.
 GRAM = 60
+#: Windows decided together.
+BLOCK = 16
 #: Bytes handled at a time.
 PIECE_BYTES = 1_000_000
 
@@ -66,8 +68,7 @@ def cut_repeats(
     What is kept is bytes, or with `as_text` a text without the characters that were cut.
     """
     keyed = docs.select(row_key(id, text).alias("id"), F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    bare = keyed.select("id", "text")
-    spans = repeated_spans(bare, lambda asked: bare.join(asked, "id"), byte_tokens, length, gram, earlier=False)
+    spans = repeated_spans(keyed.select("id", "text"), lambda rows: rows, byte_tokens, length, gram, BLOCK, earlier=False)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
