@@ -13,10 +13,10 @@ listed only for sets that have so many of them that all equal blocks could be su
 Answers from similar sets. Equal sets are one class. Of each list's sets, the one
 whose lists are longest is the pivot, and only the others' distances to it are
 computed. A set linked to the pivot is in its component, so the list's linked sets
-need no more comparisons among them. A set that is not linked to a pivot is held
-against the list's other sets, and their distances to the pivot decide first: the
-difference of the two is a lower bound of the distance, their sum an upper one.
-Only pairs in between are computed.
+need no more comparisons among them. A set that is not linked to a list's pivot is
+held against the list's other sets, but only those outside its component so far, and
+their distances to the pivot decide first: the difference of the two is a lower
+bound of the distance, their sum an upper one. Only pairs in between are computed.
 
 Lists meet by equi-joins and grouped minima, maxima and counts; no list is
 gathered anywhere and no partner is dropped. N-grams and sets are compared by
@@ -187,13 +187,15 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame) -> Da
     to_pivot = saved(distances(reach.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets), "pivot-distances")
     links = to_pivot.where("linked").select("a", "b")
 
-    # sets not linked to a list's pivot, against the list's others
+    # sets not linked to a list's pivot, against the list's others that no links reach yet
+    reached = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "key")
     known = to_pivot.select(F.col("a").alias("key"), F.col("b").alias("pivot"), "apart", "linked")
-    placed = entries.join(known, ["key", "pivot"], "left").where("key <> pivot")
-    placed = saved(placed.select("list", "key", "n", "apart", F.coalesce("linked", F.lit(False)).alias("linked")), "placed")
-    mine = placed.where("not linked").select("list", F.col("key").alias("x"), F.col("n").alias("n_x"), F.col("apart").alias("apart_x"))
-    theirs = placed.select("list", F.col("key").alias("y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"), "linked")
-    near = mine.join(theirs, "list").where("x <> y and (linked or x < y)").where(in_size_reach("n_x", "n_y"))
+    placed = entries.join(known, ["key", "pivot"], "left").where("key <> pivot").join(reached, "key", "left")
+    group = F.coalesce("component", "key").alias("group")
+    placed = saved(placed.select("list", "key", "n", "apart", F.coalesce("linked", F.lit(False)).alias("linked"), group), "placed")
+    mine = placed.where("not linked").select("list", F.col("key").alias("x"), F.col("n").alias("n_x"), F.col("apart").alias("apart_x"), F.col("group").alias("group_x"))
+    theirs = placed.select("list", F.col("key").alias("y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"), F.col("group").alias("group_y"), "linked")
+    near = mine.join(theirs, "list").where("group_x <> group_y and (linked or x < y)").where(in_size_reach("n_x", "n_y"))
     limit = most_apart("n_x", "n_y")
     near = near.where(F.coalesce(F.abs(F.col("apart_x") - F.col("apart_y")) <= limit, F.lit(True)))
     sure = F.coalesce(F.col("apart_x") + F.col("apart_y") <= limit, F.lit(False))
