@@ -95,5 +95,5 @@ def contaminated(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    found = saved(contaminated(docs, benchmark, text=text, id=id).select("doc_id").distinct(), "contaminated")
-    return docs.join(found, F.col(id) == found["doc_id"], "left_anti")
+    found = saved(contaminated(docs, benchmark, text=text, id=id).select(F.col("doc_id").alias("__found_id")).distinct(), "contaminated")
+    return docs.join(found, F.col(id) == F.col("__found_id"), "left_anti")

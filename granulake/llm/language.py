@@ -212,5 +212,5 @@ def of_pages(pages: DataFrame, trained: tuple[list[str], np.ndarray]) -> DataFra
 
 def known_language(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose language is known."""
-    kept = saved(of_documents(docs, id, text).where("kept").select(F.col(id).alias("kept_id")).distinct(), "known-language")
-    return docs.join(kept, F.col(id) == F.col("kept_id"), "left_semi")
+    kept = saved(of_documents(docs, id, text).where("kept").select(F.col(id).alias("__kept_id")).distinct(), "known-language")
+    return docs.join(kept, F.col(id) == F.col("__kept_id"), "left_semi")
