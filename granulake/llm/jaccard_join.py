@@ -15,8 +15,9 @@ whose lists are longest is the pivot, and only the others' distances to it are
 computed. A set linked to the pivot is in its component, so the list's linked sets
 need no more comparisons among them. A set that is not linked to a list's pivot is
 held against the list's other sets, but only those outside its component so far, and
-their distances to the pivot decide first: the difference of the two is a lower
-bound of the distance, their sum an upper one. Only pairs in between are computed.
+bounds decide first: the difference of the two distances to the pivot and the
+number of bits in which the sets' bit maps differ are lower bounds of the distance,
+the sum of the two distances an upper one. Only pairs in between are computed.
 
 Lists meet by equi-joins and grouped minima, maxima and counts; no list is
 gathered anywhere and no partner is dropped. N-grams and sets are compared by
@@ -47,6 +48,8 @@ from granulake.llm.substring_dedup import word_tokens
 NGRAM = 3
 #: Least size that can link with a set of another size or content.
 SMALLEST = 9
+#: 64-bit words of a set's bit map.
+WORDS = 8
 
 
 def lower_ascii(text: Column) -> Column:
@@ -89,6 +92,15 @@ def set_key(grams: np.ndarray) -> int:
     return int(mixed(sums).sum(dtype=np.uint64).view(np.int64))
 
 
+def bit_map(grams: np.ndarray) -> list[int]:
+    """For each of `64 * WORDS` hash classes, whether a set's n-grams in it are odd in number.
+
+    Two sets' maps differ in no more bits than the sets differ in n-grams.
+    """
+    odd = np.bincount((grams >> np.uint64(17)).astype(np.int64) % (64 * WORDS), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def signatures(grams: np.ndarray) -> np.ndarray:
     """Hashes of the blocks under which a set is listed."""
     size = len(grams)
@@ -179,7 +191,7 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame) -> Da
 
     wanted = entries.select("key").distinct().join(classes, "key").select("id", F.col("key").alias("wanted"))
     texts = docs.join(wanted, "id", "left_semi")
-    sets = over_sets(texts, lambda i, g: (set_key(g), len(g), g.tobytes()), "key long, n long, grams binary")
+    sets = over_sets(texts, lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>")
     sets = saved(sets.dropDuplicates(["key"]), "sets")
 
     # distances to the pivots
@@ -193,13 +205,17 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame) -> Da
     placed = entries.join(known, ["key", "pivot"], "left").where("key <> pivot").join(reached, "key", "left")
     group = F.coalesce("component", "key").alias("group")
     placed = saved(placed.select("list", "key", "n", "apart", F.coalesce("linked", F.lit(False)).alias("linked"), group), "placed")
-    mine = placed.where("not linked").select("list", F.col("key").alias("x"), F.col("n").alias("n_x"), F.col("apart").alias("apart_x"), F.col("group").alias("group_x"))
-    theirs = placed.select("list", F.col("key").alias("y"), F.col("n").alias("n_y"), F.col("apart").alias("apart_y"), F.col("group").alias("group_y"), "linked")
-    near = mine.join(theirs, "list").where("group_x <> group_y and (linked or x < y)").where(in_size_reach("n_x", "n_y"))
-    limit = most_apart("n_x", "n_y")
-    near = near.where(F.coalesce(F.abs(F.col("apart_x") - F.col("apart_y")) <= limit, F.lit(True)))
-    sure = F.coalesce(F.col("apart_x") + F.col("apart_y") <= limit, F.lit(False))
-    near = near.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(F.max(sure).alias("sure"))
+    open_lists = saved(placed.where("not linked").select("list").distinct(), "open-lists")
+    maps = sets.select("key", *[F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)])
+    placed = placed.join(open_lists, "list", "left_semi").join(maps, "key")
+    mine = placed.where("not linked").alias("x")
+    near = mine.join(placed.alias("y"), F.col("x.list") == F.col("y.list")).where("x.group <> y.group and (y.linked or x.key < y.key)")
+    near = near.where(in_size_reach("x.n", "y.n"))
+    limit = most_apart("x.n", "y.n")
+    near = near.where(sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(WORDS)), F.lit(0)) <= limit)
+    near = near.where(F.coalesce(F.abs(F.col("x.apart") - F.col("y.apart")) <= limit, F.lit(True)))
+    sure = F.coalesce(F.col("x.apart") + F.col("y.apart") <= limit, F.lit(False))
+    near = near.groupBy(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).agg(F.max(sure).alias("sure"))
     near = saved(near, "pairs-left")
     rest = distances(near.where("not sure").select("a", "b"), sets).where("linked")
     return links.unionByName(near.where("sure").select("a", "b")).unionByName(rest.select("a", "b"))
@@ -223,6 +239,6 @@ def joined(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, that are the first of their component."""
-    first = joined(docs, id, text).where(F.col("row_key") == F.col("component_id")).select(F.col("row_key").alias("first_key")).distinct()
+    first = joined(docs, id, text).where(F.col("row_key") == F.col("component_id")).select(F.col("row_key").alias("__first_key")).distinct()
     first = saved(first, "first-of-group")
-    return docs.join(first, row_key(id, text) == F.col("first_key"), "left_semi")
+    return docs.join(first, row_key(id, text) == F.col("__first_key"), "left_semi")
