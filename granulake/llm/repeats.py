@@ -230,12 +230,15 @@ def settled(rows: DataFrame, earlier: bool, label: str) -> tuple[DataFrame, Data
     `rows`: id, start, count, key, whole, sole. Settled spans are id, start, count;
     those to ask are id and an array `asked`.
     """
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # counts are written before they are joined: a side read from a table is dealt out by the
+    # join itself, and adaptive execution can then split a hot key
+    shared = saved(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), f"{label}-keys")
     rows = saved(rows.join(shared, "key", "left_semi"), f"{label}-shared")
     groups = rows.groupBy("key", "whole").agg(F.count("*").alias("n"), F.min("id").alias("least"), F.min(F.struct("id", "start")).alias("lead"))
     groups = saved(groups, f"{label}-groups")
-    varied = groups.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1").select("key", F.lit(True).alias("varied"))
-    known = rows.join(groups.join(varied, "key", "left"), ["key", "whole"])
+    varied = saved(groups.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1").select("key", F.lit(True).alias("varied")), f"{label}-varied")
+    groups = saved(groups.join(varied, "key", "left"), f"{label}-known")
+    known = rows.join(groups, ["key", "whole"])
     if earlier:
         done, leads = F.col("id") > F.col("least"), F.col("id") == F.col("least")
     else:
@@ -261,8 +264,8 @@ def repeated_spans(
     texts = saved(docs.join(asked, "id"), "texts-asked")
     more, asked = settled(saved(block_table(prepare(texts), tokens, length, gram, block), "blocks"), earlier, "blocks")
     windows = saved(window_table(prepare(texts.drop("asked").join(asked, "id")), tokens, length), "windows")
-    alike = windows.groupBy("key", "window").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    single = windows.where("sole").join(alike.where("n > 1"), ["key", "window"])
+    alike = windows.groupBy("key", "window").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
+    single = windows.where("sole").join(saved(alike, "windows-alike"), ["key", "window"])
     single = single.where("id > least") if earlier else single
     spans = spans.unionByName(more).unionByName(single.select("id", "start", F.lit(1).cast("long").alias("count")))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
