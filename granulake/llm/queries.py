@@ -86,7 +86,8 @@ def op7_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     from granulake.llm.licenses import scan
 
-    return scan(table(spark, sf, "documents"))
+    found = scan(table(spark, sf, "documents"))
+    return found.withColumns({n: F.array_join(n, " ") for n in ("sentence_ids", "licenses")})
 
 
 def op9_toxicity(spark: SparkSession, sf: str) -> DataFrame:
