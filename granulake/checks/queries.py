@@ -329,7 +329,8 @@ def drain_queue(spark: SparkSession, sf: str) -> DataFrame:
 
 def _typed_headers(spark: SparkSession, sf: str) -> DataFrame:
     files = fx.stored_files(spark, sf).select("path", "file_type")
-    return files.join(fx.stored_headers(spark, sf), "path")
+    # headers built inside the plan are estimated far too small; never build on their texts
+    return files.join(fx.stored_headers(spark, sf).hint("merge"), "path")
 
 
 def config_metadata(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from granulake.session import shared_folder
 
-# Up to this many rows Spark's top-k is used: every task sends at most this many
-# to one. Larger requests are cut by position and stay distributed.
-TOP_ROWS = 1_000
-
 _ROW_BITS = 33  # of monotonically_increasing_id, below the partition number
 
 
@@ -40,9 +36,7 @@ def with_position(df: DataFrame, order: list[str], name: str = "position") -> Da
 
 
 def page(df: DataFrame, order: list[str], offset: int, rows: int) -> DataFrame:
-    """Rows `offset + 1 .. offset + rows` of a total order."""
-    if offset + rows <= TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(rows)
+    """Rows `offset + 1 .. offset + rows` of a total order, cut by position whatever their number."""
     position = F.col("_position")
     return (
         with_position(df, order, "_position")

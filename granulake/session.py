@@ -13,11 +13,9 @@ _own_folder: dict[str, str] = {}
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of every job.
 
-    Times are read and shown in UTC. A join side whose partitions all fit in
-    memory is hashed, so the side with the long header texts is not sorted.
+    Times are read and shown in UTC.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     return spark
 
 

@@ -22,11 +22,9 @@ def test_positions_follow_the_global_order(tied):
     assert sorted(r.position for r in placed) == list(range(1, 3001))
 
 
-@pytest.mark.parametrize("limit", [0, 100_000])
-@pytest.mark.parametrize(("offset", "n"), [(0, 10), (995, 20), (2990, 50), (4000, 5)])
-def test_pages_by_either_way(tied, monkeypatch, limit, offset, n):
+@pytest.mark.parametrize(("offset", "n"), [(0, 10), (995, 20), (0, 1500), (2990, 50), (4000, 5)])
+def test_pages_of_any_size(tied, offset, n):
     rows, expected = tied
-    monkeypatch.setattr(ordering, "TOP_ROWS", limit)
     page = ordering.page(rows, ["t", "path"], offset, n).collect()
     assert sorted((r.t, r.path) for r in page) == expected[offset : offset + n]
 
@@ -40,7 +38,6 @@ def test_no_limit_means_no_sort(tied):
 def test_hot_keys_are_split_against_an_aggregated_side(spark, how):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",

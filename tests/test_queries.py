@@ -19,3 +19,10 @@ def test_query_equals_its_sql(spark, name):
 
 def test_entry(spark):
     assert len(entry.entry(spark).columns) == 25
+
+
+@pytest.mark.parametrize("name", ["config_metadata", "metadata_csv_line"])
+def test_header_texts_are_not_broadcast(spark, name):
+    frame = queries()[name](spark, SF_DIR)
+    frame.toArrow()
+    assert "Broadcast" not in frame._jdf.queryExecution().executedPlan().toString()

@@ -149,7 +149,6 @@ def test_an_object_announced_over_and_over_is_split(spark, place):
     ).repartition(8)
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
