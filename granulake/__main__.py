@@ -27,6 +27,10 @@ def _parser() -> argparse.ArgumentParser:
     source.add_argument("--messages", help="folder of message files")
     source.add_argument("--topic", help="Kafka topic, with --servers")
     ingest.add_argument("--servers", default="")
+    ingest.add_argument("--starting", choices=["earliest", "latest"], default="earliest")
+    ingest.add_argument("--one-per-file", action="store_true", help="a message may span lines")
+    ingest.add_argument("--files-per-trigger", type=int, default=1000)
+    ingest.add_argument("--messages-per-trigger", type=int, default=1_000_000)
     ingest.add_argument("--headers", required=True, help="header store by object name")
     ingest.add_argument("--database", default="staging")
     ingest.add_argument("--tables", required=True, help="root folder of the tables")
@@ -65,9 +69,11 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     prepare(spark)
     if args.job == "ingest":
         messages = (
-            stream_kafka(spark, args.servers, args.topic)
+            stream_kafka(
+                spark, args.servers, args.topic, args.messages_per_trigger, args.starting
+            )
             if args.topic
-            else stream_files(spark, args.messages)
+            else stream_files(spark, args.messages, args.files_per_trigger, args.one_per_file)
         )
         start_ingest(
             messages,

@@ -56,6 +56,21 @@ EVENT_TABLES = {
     5: "abi_l1b_radiance",
 }
 
+# One count or number per table whose values are made faulty, and in which rows.
+FAULTY_COLUMNS = {
+    "abi_l1b_radiance": "valid_pixel_count",
+    "abi_l2_cmip": "valid_pixel_count",
+    "abi_l2_mcmip": "outlier_pixel_count_c02",
+    "glm_l2_lcfa": "event_count",
+}
+FAULTS = {
+    "bad": "event_id % 97 = 0",
+    "quoted": "event_id % 79 = 0",
+    "masked": "event_id % 89 = 0",
+    "absent": "event_id % 83 = 0",
+}
+NO_NAME = {"dataset_name": {"absent": "event_id % 73 = 0"}}
+
 MAPPING_CONFIG = {
     "rad": {
         "metadata": {"scene_id": "scene", "dataset_name": "dataset"},
@@ -103,11 +118,13 @@ def header_sql(
     product: str,
     key: str,
     time: str,
-    bad: tuple[str, str] | None = None,
-    omitted: tuple[str, str] | None = None,
+    faults: dict[str, dict[str, str]] | None = None,
 ) -> str:
-    """Header text of one product as SQL; `bad` and `omitted` name a column and
-    the rows in which its value is not a number, or is left out."""
+    """Header text of one product as SQL.
+
+    `faults` names, by column, the rows in which its number is `bad` text, is
+    `quoted`, is `masked` (a field without a value) or its field is `absent`.
+    """
 
     def struct(members: dict[str, str]) -> str:
         return f"named_struct({', '.join(f"'{name}', {sql}" for name, sql in members.items())})"
@@ -123,17 +140,23 @@ def header_sql(
             "TIMESTAMP": time,
             "STRING": f"concat('{column[:3]}_', {key} % 9)",
         }[kind]
-        if bad and column == bad[0]:
-            value = f"CASE WHEN {bad[1]} THEN '\"bad\"' ELSE CAST({value} AS STRING) END"
-            value = f"parse_json({value})"
-        if omitted and column == omitted[0]:
-            value = f"CASE WHEN {omitted[1]} THEN NULL ELSE {value} END"
+        fault = (faults or {}).get(column, {})
+        if "bad" in fault:
+            text = f"CAST({value} AS STRING)"
+            value = (
+                f"parse_json(CASE WHEN {fault['bad']} THEN '\"bad\"' "
+                f"WHEN {fault['quoted']} THEN concat('\"', {text}, '\"') ELSE {text} END)"
+            )
+        if "masked" in fault:
+            value = f"CASE WHEN {fault['masked']} THEN NULL ELSE {value} END"
         if source.kind == "attribute":
-            attributes[source.attribute] = value
+            absent = fault.get("absent")
+            attributes[source.attribute] = f"CASE WHEN {absent} THEN NULL ELSE {value} END" if absent else value
         elif source.kind == "variable_attribute":
             variable_attributes.setdefault(source.variable, {})[source.attribute] = value
         elif source.kind == "variable":
-            variables[source.variable] = struct({"data": value})
+            whole, absent = struct({"data": value}), fault.get("absent")
+            variables[source.variable] = f"CASE WHEN {absent} THEN NULL ELSE {whole} END" if absent else whole
     for variable, own in variable_attributes.items():
         variables[variable] = struct({"attributes": struct(own)})
     return f"to_json({struct({'attributes': struct(attributes), 'variables': struct(variables)})})"
@@ -143,11 +166,15 @@ def header_time(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def granule_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def granule_headers(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
     """`name, header`: the header text of every wanted event's object."""
+
+    def faults(product: str) -> dict[str, dict[str, str]] | None:
+        return {FAULTY_COLUMNS[product]: FAULTS, **NO_NAME} if faulty else None
+
     events = table(spark, sf_dir, "events").filter("event_id % 6 <> 4")
     cases = " ".join(
-        f"WHEN {value} THEN {header_sql(t, 'event_id', 'at')}" for value, t in EVENT_TABLES.items()
+        f"WHEN {value} THEN {header_sql(t, 'event_id', 'at', faults(t))}" for value, t in EVENT_TABLES.items()
     )
     return events.withColumn("at", header_time("ts")).select(
         F.expr(EVENT_NAME_SQL).alias("name"), F.expr(f"CASE event_id % 6 {cases} END").alias("header")

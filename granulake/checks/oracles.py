@@ -5,6 +5,7 @@ from __future__ import annotations
 from granulake.checks.fixtures import (
     EVENT_NAME_SQL,
     EVENT_TABLES,
+    FAULTY_COLUMNS,
     MESSAGES_SQL,
     STORED_FILES_SQL,
     TRACKING_SQL,
@@ -55,6 +56,20 @@ def _product(table: str) -> str:
     return f"SELECT {columns} FROM {_EVENTS} WHERE {_in_table(table, 'k')} AND k % 50 <> 0"
 
 
+def _rejected(table: str, column: str) -> str:
+    position = [name for name, _ in PRODUCT_COLUMNS[table]].index(column)
+    value = _value(column, "INTEGER", position)
+    return (
+        f"SELECT concat('{_URL}', name) AS base_url, "
+        f"CASE WHEN k % 83 <> 0 AND k % 73 <> 0 AND k % 89 <> 0 AND k % 97 <> 0 THEN {value} END "
+        "AS value, CASE WHEN k % 83 = 0 OR k % 73 = 0 THEN 'missing_field' "
+        "WHEN k % 97 = 0 AND k % 89 <> 0 THEN 'bad_value' ELSE 'loaded' END AS verdict "
+        f"FROM {_EVENTS} WHERE {_in_table(table, 'k')}"
+    )
+
+
+_REJECTED = " UNION ALL ".join(_rejected(table, column) for table, column in FAULTY_COLUMNS.items())
+
 _DEST = "concat('goes/', replace(split_part(name, '/', 5), '.nc', '.csv'))"
 
 
@@ -162,13 +177,7 @@ def oracle_sql() -> dict[str, str]:
         "product_cmip": _product("abi_l2_cmip"),
         "product_mcmip": _product("abi_l2_mcmip"),
         "product_glm": _product("glm_l2_lcfa"),
-        "load_rejects": (
-            f"SELECT concat('{_URL}', name) AS base_url, "
-            "CASE WHEN k % 89 <> 0 AND k % 97 <> 0 THEN (k * 31 + 98) % 100000 END "
-            "AS valid_pixel_count, "
-            "CASE WHEN k % 89 <> 0 AND k % 97 = 0 THEN 'rejected' ELSE 'loaded' END AS verdict "
-            f"FROM {_EVENTS}"
-        ),
+        "load_rejects": _REJECTED,
         "granule_csv": " UNION ALL ".join(_csv(table) for table in PRODUCT_COLUMNS),
         "destination_uri": (
             f"SELECT name, concat('gs://products/', {_DEST}) AS dest_uri, {_DEST} AS local_name "

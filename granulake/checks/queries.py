@@ -131,31 +131,22 @@ def _product(table: str) -> Query:
 
 
 def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    column = "valid_pixel_count"
-    header = fx.header_sql(
-        "abi_l1b_radiance",
-        "event_id",
-        "at",
-        bad=(column, "event_id % 97 = 0"),
-        omitted=(column, "event_id % 89 = 0"),
-    )
-    events = fx.table(spark, sf, "events").withColumn("at", fx.header_time("ts"))
-    loaded = events.select(
-        F.expr(fx.EVENT_NAME_SQL).alias("name"),
-        F.lit("1").alias("size"),
-        F.lit("abi_l1b_radiance").alias("table_name"),
-        F.expr(header).alias("header"),
+    headers = fx.granule_headers(spark, sf, faulty=True)
+    loaded = headers.select(
+        "name", F.lit("1").alias("size"), product_table(F.col("name")).alias("table_name"), "header"
     )
     typed = products.typed_rows(loaded)
-    good = products.good_rows(typed, "abi_l1b_radiance").select(
-        "base_url", column, F.lit("loaded").alias("verdict")
-    )
-    bad = products.bad_rows(typed).select(
+    found = products.bad_rows(typed).select(
         F.concat(F.lit(OBJECT_URL_PREFIX), "name").alias("base_url"),
-        F.lit(None).cast("bigint").alias(column),
-        F.lit("rejected").alias("verdict"),
+        F.lit(None).cast("bigint").alias("value"),
+        F.col("reason").alias("verdict"),
     )
-    return good.unionByName(bad)
+    for table, column in fx.FAULTY_COLUMNS.items():
+        good = products.good_rows(typed, table)
+        found = found.unionByName(
+            good.select("base_url", F.col(column).alias("value"), F.lit("loaded").alias("verdict"))
+        )
+    return found
 
 
 # --- sinks ------------------------------------------------------------------

@@ -54,6 +54,11 @@ def plain_numbers(values: Column) -> Column:
     ).otherwise(values)
 
 
+def has_exponent(values: Column) -> Column:
+    """Whether any text in an array is, or holds, a number with an exponent."""
+    return F.array_join(values, " ").rlike(r"\dE-?\d")
+
+
 def plain_number(text: Column) -> Column:
     """Number text in the form most CSV writers use.
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +20,12 @@ _NUMERIC_KEY = r'"(data|geospatial_\w+)"\s*:\s*'
 _QUOTED_NUMBER = _NUMERIC_KEY + r'"(-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][-+]?\d+)?)"'
 _EMPTY_VALUE = r':\s*""'
 
+# The names a header gives, whatever their values.
+_NAMES = (
+    "struct<attributes:map<string,string>,"
+    "variables:map<string,struct<attributes:map<string,string>>>>"
+)
+
 
 def full_header(header: Column) -> Column:
     """The whole header as maps, for any attribute or variable name."""
@@ -88,6 +97,35 @@ def header_path(source: Source, header: str = "_header") -> str:
     return f"{variable}.attributes.{quoted(source.attribute)}"
 
 
+def lacks_any(sources: list[Source], header: str = "header") -> Column:
+    """Whether header text lacks one of these fields; null if it cannot be read.
+
+    A field that is there without a value, or with null, is masked and not lacking.
+    """
+    attributes: dict[str, list[str]] = {}
+    variables: set[str] = set()
+    for source in sources:
+        if source.kind == "attribute":
+            attributes.setdefault("", []).append(source.attribute)
+        elif source.kind in ("variable", "variable_attribute"):
+            variables.add(source.variable)
+            if source.attribute is not None:
+                attributes.setdefault(source.variable, []).append(source.attribute)
+
+    def lacks(names: set[str] | list[str], held: Column) -> Column:
+        given = F.coalesce(F.map_keys(held), F.array().cast("array<string>"))
+        return F.size(F.array_except(F.array(*map(F.lit, sorted(names))), given)) > 0
+
+    def any_of(parsed: Column) -> Column:
+        tests = [lacks(variables, parsed["variables"])] if variables else []
+        for variable, names in attributes.items():
+            own = parsed["variables"][variable]["attributes"] if variable else parsed["attributes"]
+            tests.append(lacks(names, own))
+        return F.when(parsed.isNotNull(), reduce(or_, tests))
+
+    return F.transform(F.array(F.from_json(F.col(header), _NAMES)), any_of)[0]
+
+
 def readable(header: str = "_header") -> Column:
     """Whether there was a JSON header with values of the right types."""
     return F.col(header).isNotNull() & F.col(f"{header}.{_CORRUPT}").isNull()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.functions.csv_text import header_line, joined_line, plain_numbers
+from granulake.functions.csv_text import has_exponent, header_line, joined_line, plain_number
 from granulake.functions.paths import public_url
 from granulake.operators.headers import header_path, readable, with_text_header
 from granulake.operators.once import with_computed
@@ -18,6 +18,12 @@ from granulake.schemas import Source
 
 URL_COLUMN = "base_url"
 
+# Any header with the kind of each value kept.
+_VALUES = (
+    "struct<attributes:map<string,variant>,"
+    "variables:map<string,struct<attributes:map<string,variant>,data:variant>>>"
+)
+
 
 def mapped_columns(type_config: dict) -> list[tuple[str, Source]]:
     """Output columns of one file type in header order, with their sources."""
@@ -55,6 +61,26 @@ def _value(source: Source, store_prefix: str) -> Column:
     return F.expr(header_path(source))
 
 
+def _is_text(source: Source, header: Column) -> Column:
+    """Whether a header gives this value as text, not as a bare number."""
+    if source.kind == "url":
+        return F.lit(True)
+    if source.kind == "attribute":
+        value = header["attributes"][source.attribute]
+    elif source.kind == "variable":
+        value = header["variables"][source.variable]["data"]
+    else:
+        value = header["variables"][source.variable]["attributes"][source.attribute]
+    return F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False))
+
+
+def _are_texts(sources: list[Source], header: Column) -> Column:
+    """`_is_text` of each source, of a header parsed once."""
+    return F.transform(
+        F.array(header), lambda parsed: F.array(*[_is_text(s, parsed) for s in sources])
+    )[0]
+
+
 def records(files: DataFrame, config: dict, store_prefix: str) -> DataFrame:
     """`path, file_type` and the mapped columns of all file types in one pass.
 
@@ -76,11 +102,18 @@ def with_csv_line(files: DataFrame, config: dict, store_prefix: str) -> DataFram
     """Add `csv_line` by each row's file type.
 
     It is null for a type the config lacks and for an unreadable header.
+    Numbers are spelled in plain digits and text stays as it is. Which is which
+    takes a second look at the header, only for rows with a value like `1.0E7`.
     """
+    as_variants = F.from_json("header", _VALUES)
     line = F.lit(None).cast("string")
     for file_type in config:
-        values = F.array(*[_value(s, store_prefix) for _, s in mapped_columns(config[file_type])])
-        text = joined_line(plain_numbers(values))
+        sources = [s for _, s in mapped_columns(config[file_type])]
+        values = F.array(*[_value(s, store_prefix) for s in sources])
+        spelled = F.zip_with(
+            values, _are_texts(sources, as_variants), lambda v, text: F.when(text, v).otherwise(plain_number(v))
+        )
+        text = joined_line(F.when(has_exponent(values), spelled).otherwise(values))
         line = F.when(F.col("file_type") == file_type, text).otherwise(line)
     parsed = with_mapped_header(files, config)
     lined = with_computed(parsed, "_line", F.struct(F.when(readable(), line).alias("csv_line")))

@@ -69,8 +69,8 @@ class Ingest:
     def rejects(self) -> DataFrame:
         """Messages that were wanted but gave no product row, and why."""
 
-        def because(rows: DataFrame, reason: str) -> DataFrame:
-            known = {"reason": F.lit(reason)}
+        def because(rows: DataFrame, reason: str | None = None) -> DataFrame:
+            known = {} if reason is None else {"reason": F.lit(reason)}
             return rows.select(
                 *[
                     known.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name)
@@ -84,5 +84,5 @@ class Ingest:
             because(malformed(self.parsed), "malformed")
             .unionByName(because(self.sizeless, "missing_size"))
             .unionByName(because(missing, "object_not_found"))
-            .unionByName(because(bad_rows(self.typed), "bad_value"))
+            .unionByName(because(bad_rows(self.typed)))
         )

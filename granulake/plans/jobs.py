@@ -99,15 +99,17 @@ def process(
     is given.
     """
     project = store.project
-    table = store.read()
+    versions = store.versions()
+    table = store.read(versions)
     claimed = _written(claim(table, project, claim_rows(batch_size, max_to_process)), "claimed")
     count = claimed.count()
     queued = F.col("inqueue") == QUEUED
     if count == 0:
         return Processed(0, 0, 0, table.filter(queued).count())
-    store.replace(mark_claimed(table, claimed, project))
+    store.replace(mark_claimed(table, claimed, project), versions)
     lines = _written(extract_lines(claimed, headers, config, store_prefix), "lines")
-    store.replace(mark_done(store.read(), lines, project))
+    versions = store.versions()
+    store.replace(mark_done(store.read(versions), lines, project), versions)
     if rejects is not None:
         rejected_files(claimed, lines).write.mode("append").parquet(rejects)
     processed = lines.count()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,58 +12,100 @@ from granulake.schemas import TRACKING_SCHEMA
 
 _FULL = "full"
 _APPEND = "append"
-_VERSION = re.compile(rf"v(\d+)-({_FULL}|{_APPEND})")
+_VERSION = re.compile(rf"v(\d+)-({_FULL}|{_APPEND})-\w+")
+_COVERED = "covered-"
 
 
 class TrackingStore:
     """A table that changes by adding folders, never by editing files.
 
     `append` adds a folder of new rows; `replace` adds a folder holding the
-    whole table. A folder counts once Spark has marked it complete, so a lost
-    job leaves the table as it was, and a plan reading one version can write
-    the next. One writer per project at a time; a second one writing the same
-    version fails.
+    whole table, and before it a list of the additions that went into it. The
+    table is the newest whole version and every complete addition its list does
+    not name. So an addition that overlaps a rewrite is kept, whichever ends
+    first. A folder counts once Spark has marked it complete: a lost job leaves
+    the table as it was, and a plan reading one version can write the next.
+
+    Any number of jobs may append at once; one at a time may replace.
     """
 
     def __init__(self, spark: SparkSession, root: str, project: str):
         self.spark = spark
         self.project = project
         self.folder = f"{root.rstrip('/')}/{quote(project, safe='')}"
+        self._hadoop = spark._jvm.org.apache.hadoop.fs
+        path = self._hadoop.Path(self.folder)
+        self._files = path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _versions(self) -> list[tuple[int, str, bool]]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(self.folder)
-        files = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
+    def _names(self) -> list[str]:
+        folder = self._hadoop.Path(self.folder)
+        if not self._files.exists(folder):
             return []
-        versions = []
-        for status in files.listStatus(folder):
-            named = _VERSION.fullmatch(status.getPath().getName())
-            if named:
-                complete = files.exists(hadoop.Path(status.getPath(), "_SUCCESS"))
-                versions.append((int(named[1]), named[2], complete))
-        return sorted(versions)
-
-    def _path(self, number: int, kind: str) -> str:
-        return f"{self.folder}/v{number:08d}-{kind}"
-
-    def _write(self, rows: DataFrame, kind: str) -> int:
-        number = max((n for n, _, _ in self._versions()), default=0) + 1
+        return sorted(status.getPath().getName() for status in self._files.listStatus(folder))
+
+    def versions(self) -> list[str]:
+        """Names of the complete versions, oldest first."""
+        return [
+            name
+            for name in self._names()
+            if _VERSION.fullmatch(name)
+            and self._files.exists(self._hadoop.Path(f"{self.folder}/{name}/_SUCCESS"))
+        ]
+
+    def _base(self, versions: list[str]) -> tuple[str | None, set[str]]:
+        """The newest whole version and the additions it holds."""
+        full = [name for name in versions if _VERSION.fullmatch(name)[2] == _FULL]
+        if not full:
+            return None, set()
+        covered = self.spark.read.text(f"{self.folder}/{_COVERED}{full[-1]}")
+        return full[-1], {row.value for row in covered.collect()}
+
+    def _live(self, versions: list[str]) -> list[str]:
+        base, covered = self._base(versions)
+        added = [n for n in versions if _VERSION.fullmatch(n)[2] == _APPEND and n not in covered]
+        return added if base is None else [base, *added]
+
+    def _name(self, kind: str) -> str:
+        numbers = [int(found[1]) for found in map(_VERSION.fullmatch, self._names()) if found]
+        return f"v{max(numbers, default=0) + 1:08d}-{kind}-{uuid.uuid4().hex[:8]}"
+
+    def _write(self, rows: DataFrame, name: str) -> str:
         columns = rows.select(*[rows[f.name].cast(f.dataType) for f in TRACKING_SCHEMA])
-        columns.write.mode("errorifexists").parquet(self._path(number, kind))
-        return number
-
-    def read(self) -> DataFrame:
-        """The newest whole table and every later addition."""
-        complete = [(n, kind) for n, kind, done in self._versions() if done]
-        base = max((n for n, kind in complete if kind == _FULL), default=0)
-        current = [self._path(n, kind) for n, kind in complete if n >= base]
-        if not current:
+        columns.write.mode("errorifexists").parquet(f"{self.folder}/{name}")
+        return name
+
+    def read(self, versions: list[str] | None = None) -> DataFrame:
+        """The table as the given versions have it; by default as it is now."""
+        live = self._live(self.versions() if versions is None else versions)
+        if not live:
             return self.spark.createDataFrame([], TRACKING_SCHEMA)
-        return self.spark.read.schema(TRACKING_SCHEMA).parquet(*current)
+        return self.spark.read.schema(TRACKING_SCHEMA).parquet(*[f"{self.folder}/{n}" for n in live])
+
+    def append(self, rows: DataFrame) -> str:
+        return self._write(rows, self._name(_APPEND))
+
+    def replace(self, rows: DataFrame, versions: list[str] | None = None) -> str:
+        """Make `rows`, made from the given versions, the whole table.
+
+        Additions that are not among these versions stay in the table.
+        """
+        made_from = self.versions() if versions is None else versions
+        covered = [(n,) for n in made_from if _VERSION.fullmatch(n)[2] == _APPEND]
+        name = self._name(_FULL)
+        listed = self.spark.createDataFrame(covered, "value string").coalesce(1)
+        listed.write.text(f"{self.folder}/{_COVERED}{name}")
+        return self._write(rows, name)
 
-    def append(self, rows: DataFrame) -> int:
-        return self._write(rows, _APPEND)
+    def compact(self) -> list[str]:
+        """Delete the complete versions the newest whole one covers, and name them.
 
-    def replace(self, rows: DataFrame) -> int:
-        return self._write(rows, _FULL)
+        Run it while no job reads the table: plans made earlier may still
+        name these folders.
+        """
+        versions = self.versions()
+        live = self._live(versions)
+        gone = [name for name in versions if name not in live]
+        for name in gone:
+            for folder in (name, _COVERED + name):
+                self._files.delete(self._hadoop.Path(f"{self.folder}/{folder}"), True)
+        return gone

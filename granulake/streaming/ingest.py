@@ -62,6 +62,8 @@ def start_ingest(
         # Streams switch adaptive execution off; these are ordinary batch jobs.
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         run_id = spark.sparkContext.getLocalProperty(_QUERY_ID)
+        if not run_id:
+            raise RuntimeError("no query id: the load could overwrite another run's rows")
         load_batch(batch, load_headers(spark), tables, run_id, batch_id, url_prefix)
 
     writer = messages.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)

@@ -268,9 +268,39 @@ def test_walk_process_export(spark, tmp_path):
 def test_unfinished_versions_do_not_count(spark, tmp_path):
     store = TrackingStore(spark, str(tmp_path), "P")
     store.append(tracked(spark, ("P", "/a", "", 1, "x", 1)))
-    number = store.replace(tracked(spark, ("P", "/a", "d", 1, "x", 0)))
+    store.replace(tracked(spark, ("P", "/a", "d", 1, "x", 0)))
     assert [r.data for r in store.read().collect()] == ["d"]
-    (tmp_path / "P" / f"v{number + 1:08d}-full").mkdir()
+    (tmp_path / "P" / "v00000003-full-0").mkdir()
     assert [r.data for r in store.read().collect()] == ["d"]
-    assert store.append(tracked(spark, ("P", "/b", "", 1, "x", 1))) == number + 2
+    assert store.append(tracked(spark, ("P", "/b", "", 1, "x", 1))).startswith("v00000004-append")
     assert store.read().count() == 2
+
+
+def test_additions_that_overlap_a_rewrite_stay(spark, tmp_path):
+    store = TrackingStore(spark, str(tmp_path), "P")
+    store.append(tracked(spark, ("P", "/a", "", 1, "x", 1)))
+    versions = store.versions()
+    # both take their number after the rewrite read the table, one ends before it and one after
+    store.append(tracked(spark, ("P", "/b", "", 1, "x", 1)))
+    late = store.append(tracked(spark, ("P", "/c", "", 1, "x", 1)))
+    done = tmp_path / "P" / late / "_SUCCESS"
+    done.rename(tmp_path / "later")
+    store.replace(tracked(spark, ("P", "/a", "d", 1, "x", 0)), versions)
+    assert sorted(r.path for r in store.read().collect()) == ["/a", "/b"]
+    (tmp_path / "later").rename(done)
+    assert sorted((r.path, r.data) for r in store.read().collect()) == [("/a", "d"), ("/b", ""), ("/c", "")]
+    store.replace(store.read())
+    store.append(tracked(spark, ("P", "/d", "", 1, "x", 1)))
+    gone = store.compact()
+    assert len(gone) == 4 and not any((tmp_path / "P" / name).exists() for name in gone)
+    assert sorted(r.path for r in store.read().collect()) == ["/a", "/b", "/c", "/d"]
+
+
+def test_text_that_looks_like_a_number_stays(spark):
+    rows = [
+        ("/store/a.nc", "rad", header(scene="1.0E7", west=1e7)),
+        ("/store/b.nc", "rad", header(scene="x", px="2.5E8", west=-1e-5)),
+    ]
+    files = spark.createDataFrame(rows, "path string, file_type string, header string")
+    lines = {r.path[7]: r.csv_line for r in with_csv_line(files, CONFIG, "/store").collect()}
+    assert lines == {"a": ",gs://a.nc,1,1.0E7,10000000.0", "b": ",gs://b.nc,2.5E8,x,-1e-05"}

@@ -98,12 +98,29 @@ def test_values_that_load(spark, column, given, loaded):
 )
 def test_values_that_do_not_load(spark, column, given):
     good, bad = load(spark, header(**{column: given}))
-    assert not good and bad[0].name == NAME
+    assert not good and bad[0].name == NAME and bad[0].reason == "bad_value"
 
 
-def test_missing_variable_and_attribute_are_null(spark):
-    tree = header()
-    del tree["variables"]["event_count"], tree["attributes"]["platform_ID"]
+@pytest.mark.parametrize("table", PRODUCT_SCHEMAS)
+def test_headers_that_lack_a_field_are_rejected(spark, table):
+    trees = [{}, {"attributes": {}, "variables": {}}]
+    for section, name in [("attributes", "platform_ID"), ("variables", None)]:
+        tree = header(table)
+        del tree[section][name or sorted(tree[section])[0]]
+        trees.append(tree)
+    for variable in header(table)["variables"]:
+        tree = header(table)
+        if tree["variables"][variable].get("attributes"):
+            tree["variables"][variable]["attributes"].popitem()
+            trees.append(tree)
+    for tree in trees:
+        good, bad = load(spark, tree, table)
+        assert not good and [r.reason for r in bad] == ["missing_field"]
+
+
+def test_fields_without_a_value_are_null(spark):
+    tree = header(platform_ID=None)
+    tree["variables"]["event_count"] = {}
     good, bad = load(spark, tree)
     assert not bad and good[0].event_count is None and good[0].platform_ID is None
 
