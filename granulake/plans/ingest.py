@@ -21,13 +21,20 @@ def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
     execution can split an object announced over and over. The table is part
     of the key: headers of unwanted objects are dropped before the shuffle, and
     so are all but one table's when only that table is asked for.
+
+    Of headers with a `version` only the latest of each name counts. It is found
+    among the objects the messages name, so the rest of the store is not shuffled.
     """
     keys = ["table_name", "name"]
     routed = headers.withColumn("table_name", product_table(F.col("name")))
     if "day" in headers.columns:
         keys.append("day")
         messages = messages.withColumn("day", day_folder(F.col("name")))
-    return messages.join(routed, keys).drop("day")
+    if "version" not in headers.columns:
+        return messages.join(routed, keys).drop("day")
+    named = routed.join(messages.select(*keys).distinct(), keys, "left_semi")
+    newest = F.max_by("header", F.struct("version", "header")).alias("header")
+    return join_unique(messages, named.groupBy(*keys).agg(newest), keys, "inner").drop("day")
 
 
 class Ingest:

@@ -177,3 +177,14 @@ def test_small_batches_prune_the_header_store_by_day(spark, place):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "dynamicpruning" in plan
     assert joined.count() == 1
+
+
+def test_a_header_stored_again_counts_once_and_the_latest_counts(spark, place):
+    name = name_of("glm_l2_lcfa", 1)
+    for title in ("old", "new", "new"):
+        rows = [(name, json.dumps(header("glm_l2_lcfa", dataset_name=title)))]
+        write_header_store(spark.createDataFrame(rows, "name string, header string"), place.store)
+    messages = spark.createDataFrame([(message(name),)], "value string")
+    batch = Ingest(messages, read_header_store(spark, place.store))
+    assert [r.dataset_name for r in batch.product("glm_l2_lcfa").collect()] == ["new"]
+    assert batch.rejects().count() == 0
