@@ -1,4 +1,4 @@
-"""Command line for spark-submit: `ingest`, `walk`, `process`, `export`."""
+"""Command line for spark-submit: `ingest`, `headers`, `walk`, `process`, `export`, `compact`."""
 
 from __future__ import annotations
 
@@ -6,13 +6,19 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from granulake.operators.catalog import DEFAULT_FILE_TYPES, DEFAULT_LOCATIONS
+from granulake.operators.catalog import DEFAULT_FILE_TYPES, DEFAULT_LOCATIONS, location_patterns
 from granulake.operators.tracking import DEFAULT_BATCH_SIZE, NO_CAP
 from granulake.plans.jobs import export, process, walk
 from granulake.session import prepare
 from granulake.sinks.product_tables import ProductTables
 from granulake.sinks.tracking_store import TrackingStore
-from granulake.sources.granules import granule_files, read_header_store
+from granulake.sources.granules import (
+    granule_files,
+    named_headers,
+    read_header_store,
+    stored_path,
+    write_header_store,
+)
 from granulake.sources.mapping_config import load_mapping
 from granulake.sources.notifications import stream_files, stream_kafka
 from granulake.streaming.ingest import start_ingest
@@ -37,6 +43,11 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--interval", help="e.g. '1 minute'; without it, load what is there")
 
+    storing = jobs.add_parser("headers", help="add decoded headers to the header store")
+    storing.add_argument("--input", required=True, help="Parquet with path, header")
+    storing.add_argument("--location-root", required=True, help="names are paths below it")
+    storing.add_argument("--store", required=True, help="header store, read by ingest and process")
+
     def catalogue_job(name: str, text: str) -> argparse.ArgumentParser:
         job = jobs.add_parser(name, help=text)
         job.add_argument("--tracking", required=True, help="root folder of the tracking table")
@@ -51,7 +62,10 @@ def _parser() -> argparse.ArgumentParser:
 
     processing = catalogue_job("process", "extract the mapped fields of queued files")
     processing.add_argument("--config", required=True)
-    processing.add_argument("--headers", required=True, help="Parquet with path, header")
+    processing.add_argument(
+        "--headers", required=True, help="header store, or without --location-root Parquet with path, header"
+    )
+    processing.add_argument("--location-root", help="names in the header store are paths below it")
     processing.add_argument("--store-prefix", required=True)
     processing.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
     processing.add_argument("--max-to-process", type=int, default=NO_CAP)
@@ -61,6 +75,8 @@ def _parser() -> argparse.ArgumentParser:
     exporting.add_argument("--config", required=True)
     exporting.add_argument("--file-type", default="rad")
     exporting.add_argument("--output", required=True)
+
+    catalogue_job("compact", "merge updates into the tracking table; run it alone")
     return parser
 
 
@@ -83,17 +99,28 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             args.interval,
         ).awaitTermination()
         return
+    if args.job == "headers":
+        headers = spark.read.parquet(args.input)
+        write_header_store(named_headers(headers, args.location_root), args.store)
+        return
     store = TrackingStore(spark, args.tracking, args.project)
+    if args.job == "compact":
+        store.fold()
+        store.compact()
+        return
     if args.job == "walk":
-        patterns = [f"{args.location_root.rstrip('/')}/{p}" for p in args.locations]
-        listing = (
-            spark.read.parquet(args.listing) if args.listing else granule_files(spark, patterns)
-        )
-        walk(store, listing, args.location_root, args.locations, args.file_types)
+        patterns = location_patterns(args.location_root, args.locations)
+        if args.listing:
+            listing = spark.read.parquet(args.listing)
+        else:
+            patterns = [stored_path(spark, pattern) for pattern in patterns]
+            listing = granule_files(spark, patterns)
+        walk(store, listing, args.location_root, patterns, args.file_types)
         return
     config = load_mapping(spark, args.config)
     if args.job == "process":
-        headers = spark.read.parquet(args.headers)
+        by_path = args.location_root is None
+        headers = (spark.read.parquet if by_path else lambda f: read_header_store(spark, f))(args.headers)
         print(
             process(
                 store,
@@ -103,6 +130,7 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
                 args.batch_size,
                 args.max_to_process,
                 args.rejects,
+                args.location_root,
             )
         )
     else:

@@ -21,13 +21,13 @@ from granulake.operators.headers import full_header
 from granulake.operators.messages import kept, malformed, parse_messages, product_table, skipped
 from granulake.operators.ordering import page, with_position
 from granulake.plans.ingest import Ingest, attach_headers
-from granulake.plans.jobs import drained, process, walk
+from granulake.plans.jobs import process, walk
 from granulake.schemas import OBJECT_URL_PREFIX, PRODUCT_SCHEMAS
 from granulake.session import prepare, working_path
 from granulake.sinks.csv_files import write_product_csv
 from granulake.sinks.product_tables import REJECTS, ProductTables
 from granulake.sinks.tracking_store import TrackingStore
-from granulake.sources.granules import read_header_store, write_header_store
+from granulake.sources.granules import named_headers, read_header_store, write_header_store
 from granulake.sources.notifications import stream_files
 from granulake.sources.product_csv import read_product_csv
 from granulake.streaming.ingest import load_batch, start_ingest
@@ -276,8 +276,15 @@ def _seeded_store(spark: SparkSession, sf: str) -> TrackingStore:
     return store
 
 
+def _full_store(spark: SparkSession, sf: str) -> TrackingStore:
+    """A store that holds the rows of all projects."""
+    store = TrackingStore(spark, working_path(spark, "tracking"), PROJECT)
+    store.replace(fx.tracking(spark, sf))
+    return store
+
+
 def tracking_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.tracking(spark, sf).filter(F.col("project") == PROJECT)
+    return _seeded_store(spark, sf).read()
 
 
 def queue_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -298,23 +305,27 @@ def claim_capped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def claim_state(spark: SparkSession, sf: str) -> DataFrame:
-    return tracking.mark_claimed(fx.tracking(spark, sf), _claim(spark, sf, 50), PROJECT)
+    store = _full_store(spark, sf)
+    rows = tracking.claim_rows(tracking.DEFAULT_BATCH_SIZE, 50)
+    claimed = tracking.claim(store.read(), PROJECT, rows)
+    store.update(tracking.changed_rows(store.files(), tracking.claimed_updates(claimed, PROJECT)))
+    return store.read()
 
 
 def complete_batch(spark: SparkSession, sf: str) -> DataFrame:
-    return drained(
-        fx.tracking(spark, sf),
-        _claim(spark, sf, 50),
-        fx.stored_headers(spark, sf),
-        fx.MAPPING_CONFIG,
-        PROJECT,
-        STORE_PREFIX,
-    )
+    store = _full_store(spark, sf)
+    headers = fx.stored_headers(spark, sf)
+    process(store, headers, fx.MAPPING_CONFIG, STORE_PREFIX, max_to_process=50)
+    return store.read()
 
 
 def drain_queue(spark: SparkSession, sf: str) -> DataFrame:
     store = _seeded_store(spark, sf)
-    process(store, fx.stored_headers(spark, sf), fx.MAPPING_CONFIG, STORE_PREFIX)
+    folder = working_path(spark, "headers")
+    write_header_store(named_headers(fx.stored_headers(spark, sf), LOCATION_ROOT), folder)
+    process(
+        store, read_header_store(spark, folder), fx.MAPPING_CONFIG, STORE_PREFIX, location_root=LOCATION_ROOT
+    )
     return store.read()
 
 

@@ -44,6 +44,12 @@ def public_url(path: Column, store_prefix: str) -> Column:
     return F.regexp_replace(path, store_prefix, "gs:/")
 
 
+def object_name(path: Column, root: str) -> Column:
+    """The part of a path below a root; null for a path elsewhere."""
+    folder = root.rstrip("/") + "/"
+    return F.when(path.startswith(folder), F.substring(path, len(folder) + 1, 1 << 30))
+
+
 def day_folder(name: Column) -> Column:
     """`product/year/day` part of an object name, or `-` for a flat name.
 

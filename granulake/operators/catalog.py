@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from functools import reduce
 from operator import or_
 
@@ -18,6 +19,15 @@ DEFAULT_LOCATIONS = ["ABI-L2-MCMIPM/2017/*/*/*.nc", "ABI-L1b-RadM/2017/*/*/*.nc"
 DEFAULT_FILE_TYPES = ["mcm", "rad"]
 
 
+def location_patterns(location_root: str, locations: list[str]) -> list[str]:
+    """Globs of the locations; one that is absolute, by a slash or a scheme, wins
+    over the root."""
+    return [
+        location if re.match("[A-Za-z][A-Za-z0-9+.-]*:/", location) else posixpath.join(location_root, location)
+        for location in locations
+    ]
+
+
 def match_locations(
     listing: DataFrame, location_root: str, locations: list[str], file_types: list[str]
 ) -> DataFrame:
@@ -33,7 +43,7 @@ def match_locations(
         raise ValueError(f"{len(locations)} locations but {len(file_types)} file types")
     if not locations:
         return listing.select("path", "mtime", F.lit(None).cast("string").alias("file_type")).limit(0)
-    patterns = [posixpath.join(location_root, location) for location in locations]
+    patterns = location_patterns(location_root, locations)
     path = F.col("path")
     first = F.coalesce(
         *[F.when(matches_glob(path, pattern), F.lit(i)) for i, pattern in enumerate(patterns)]

@@ -37,16 +37,17 @@ def claim(tracking: DataFrame, project: str, rows: int | None) -> DataFrame:
     )
 
 
-def apply_updates(tracking: DataFrame, updates: DataFrame) -> DataFrame:
-    """Replace `data, inqueue` of every row with an updated project + filename.
+def apply_updates(tracking: DataFrame, updates: DataFrame, keys: list[str] = _KEY) -> DataFrame:
+    """Replace `data, inqueue` of every row with an updated key, by default
+    project + filename.
 
-    `updates` holds one row per key. Rows sharing a file name are all updated;
+    `updates` holds one row per key. Rows sharing a key are all updated;
     other rows pass through.
     """
     new = updates.select(
-        *_KEY, F.struct(F.col("data").alias("data"), F.col("inqueue").alias("inqueue")).alias("_new")
+        *keys, F.struct(F.col("data").alias("data"), F.col("inqueue").alias("inqueue")).alias("_new")
     )
-    joined = join_unique(tracking, new, _KEY, "left")
+    joined = join_unique(tracking, new, keys, "left")
     changed = F.col("_new").isNotNull()
     value = {
         "data": F.when(changed, F.col("_new.data")).otherwise(F.col("data")),
@@ -55,52 +56,39 @@ def apply_updates(tracking: DataFrame, updates: DataFrame) -> DataFrame:
     return joined.select(*[value.get(c, F.col(c)).alias(c) for c in tracking.columns])
 
 
-def mark_claimed(tracking: DataFrame, claimed: DataFrame, project: str) -> DataFrame:
-    """The table after a claim: state 2 and cleared data."""
-    updates = (
-        claimed.select(F.lit(project).alias("project"), "filename")
-        .distinct()
-        .withColumns({"data": F.lit(""), "inqueue": F.lit(CLAIMED)})
-    )
-    return apply_updates(tracking, updates)
+def changed_rows(files: DataFrame, updates: DataFrame) -> DataFrame:
+    """Updates by file name as one update for each row they reach.
 
+    `files` holds `project, filename, path`; the result `project, path, data, inqueue`.
+    """
+    return join_unique(files, updates, _KEY, "inner").select("project", "path", "data", "inqueue")
 
-def _last_lines(lines: DataFrame, project: str) -> DataFrame:
-    """One update per file name: its last line in queue order, or none."""
-    last = F.max(
-        F.when(F.col("csv_line").isNotNull(), F.struct(*QUEUE_ORDER, "csv_line"))
-    )
+
+def claimed_updates(claimed: DataFrame, project: str) -> DataFrame:
+    """The updates of a claim: state 2 and cleared data."""
+    names = claimed.select(F.lit(project).alias("project"), "filename").distinct()
+    return names.withColumns({"data": F.lit(""), "inqueue": F.lit(CLAIMED)})
+
+
+def done_updates(lines: DataFrame, project: str) -> DataFrame:
+    """The updates of a completion: state 0 and, of each file name, the last line
+    in queue order.
+
+    `lines` holds `filename, path, mtime, csv_line`.
+    """
+    last = F.max(F.struct(*QUEUE_ORDER, "csv_line")).alias("_last")
     return (
         lines.groupBy("filename")
-        .agg(last.alias("_last"))
+        .agg(last)
         .select(
             F.lit(project).alias("project"),
             "filename",
-            F.coalesce(F.col("_last.csv_line"), F.lit("")).alias("data"),
-            F.when(F.col("_last").isNull(), CLAIMED).otherwise(DONE).alias("inqueue"),
+            F.col("_last.csv_line").alias("data"),
+            F.lit(DONE).alias("inqueue"),
         )
     )
 
 
-def mark_done(tracking: DataFrame, lines: DataFrame, project: str) -> DataFrame:
-    """The table after completion: state 0 and the file's CSV line.
-
-    `lines` holds `filename, path, mtime, csv_line`.
-    """
-    return apply_updates(tracking, _last_lines(lines, project))
-
-
-def mark_outcome(
-    tracking: DataFrame, claimed: DataFrame, lines: DataFrame, project: str
-) -> DataFrame:
-    """The table after claim and completion in one pass: `mark_done` for file
-    names with a line, `mark_claimed` for the rest."""
-    lineless = claimed.select(
-        "filename", "path", "mtime", F.lit(None).cast("string").alias("csv_line")
-    )
-    return apply_updates(tracking, _last_lines(lines.unionByName(lineless), project))
-
-
 def queue_counts(tracking: DataFrame) -> DataFrame:
     """Files per project and state."""
     return tracking.groupBy("project", "inqueue").agg(F.count("*").alias("files"))

@@ -12,6 +12,16 @@ from granulake.operators.products import bad_rows, good_rows, typed_rows
 from granulake.schemas import OBJECT_URL_PREFIX, REJECT_SCHEMA
 
 
+def latest_named(headers: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each key among `wanted`, the latest header in a store, one row per key.
+
+    It is found among the objects that are wanted, so the rest of the store is not shuffled.
+    """
+    named = headers.join(wanted.select(*keys).distinct(), keys, "left_semi")
+    newest = F.max_by("header", F.struct("version", "header")).alias("header")
+    return named.groupBy(*keys).agg(newest)
+
+
 def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
     """Routed messages with the header of the object they name; others are dropped.
 
@@ -22,8 +32,7 @@ def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
     of the key: headers of unwanted objects are dropped before the shuffle, and
     so are all but one table's when only that table is asked for.
 
-    Of headers with a `version` only the latest of each name counts. It is found
-    among the objects the messages name, so the rest of the store is not shuffled.
+    Of headers with a `version` only the latest of each name counts.
     """
     keys = ["table_name", "name"]
     routed = headers.withColumn("table_name", product_table(F.col("name")))
@@ -32,9 +41,7 @@ def attach_headers(messages: DataFrame, headers: DataFrame) -> DataFrame:
         messages = messages.withColumn("day", day_folder(F.col("name")))
     if "version" not in headers.columns:
         return messages.join(routed, keys).drop("day")
-    named = routed.join(messages.select(*keys).distinct(), keys, "left_semi")
-    newest = F.max_by("header", F.struct("version", "header")).alias("header")
-    return join_unique(messages, named.groupBy(*keys).agg(newest), keys, "inner").drop("day")
+    return join_unique(messages, latest_named(routed, messages, keys), keys, "inner").drop("day")
 
 
 class Ingest:

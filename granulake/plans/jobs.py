@@ -8,17 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granulake.operators.catalog import match_locations, new_tracking_rows, unseen_files
+from granulake.functions.paths import day_folder, object_name
 from granulake.operators.joins import join_unique
 from granulake.operators.mapping import with_csv_line
 from granulake.operators.tracking import (
     DEFAULT_BATCH_SIZE,
     NO_CAP,
+    changed_rows,
     claim,
     claim_rows,
-    mark_claimed,
-    mark_done,
-    mark_outcome,
+    claimed_updates,
+    done_updates,
 )
+from granulake.plans.ingest import latest_named
 from granulake.schemas import QUEUED
 from granulake.session import working_path
 from granulake.sinks.csv_files import write_export
@@ -52,16 +54,40 @@ def walk(
 ) -> None:
     """Queue listed files the project does not track yet: one join, one append."""
     files = match_locations(listing, location_root, locations, file_types)
-    unseen = unseen_files(files, store.read(), store.project)
+    unseen = unseen_files(files, store.files(), store.project)
     store.append(new_tracking_rows(unseen, store.project))
 
 
+def located_headers(claimed: DataFrame, headers: DataFrame, location_root: str) -> DataFrame:
+    """Claimed files with their latest header from a header store.
+
+    An object's name is its path below the root. Days are part of the key, so a
+    small claim opens only the days it names.
+    """
+    # Spark prunes days at run time only for a side that is filtered
+    below = claimed.filter(F.col("path").startswith(location_root.rstrip("/") + "/"))
+    named = below.withColumn("name", object_name(F.col("path"), location_root))
+    named = named.withColumn("day", day_folder(F.col("name")))
+    keys = ["name", "day"]
+    return join_unique(named, latest_named(headers, named, keys), keys, "inner").drop(*keys)
+
+
 def extract_lines(
-    claimed: DataFrame, headers: DataFrame, config: dict, store_prefix: str
+    claimed: DataFrame,
+    headers: DataFrame,
+    config: dict,
+    store_prefix: str,
+    location_root: str | None = None,
 ) -> DataFrame:
     """`filename, path, mtime, csv_line` of the claimed files that can be read
-    and typed."""
-    files = claimed.join(headers.select("path", "header"), "path")
+    and typed.
+
+    `headers` holds `path, header`, or with a `location_root` is a header store.
+    """
+    if location_root is None:
+        files = claimed.join(headers.select("path", "header"), "path")
+    else:
+        files = located_headers(claimed, headers, location_root)
     return (
         with_csv_line(files, config, store_prefix)
         .filter(F.col("csv_line").isNotNull())
@@ -69,20 +95,6 @@ def extract_lines(
     )
 
 
-def drained(
-    tracking: DataFrame,
-    claimed: DataFrame,
-    headers: DataFrame,
-    config: dict,
-    project: str,
-    store_prefix: str,
-) -> DataFrame:
-    """The table after claiming rows and completing those that can be read;
-    the others stay claimed. One pass over the table."""
-    lines = extract_lines(claimed, headers, config, store_prefix)
-    return mark_outcome(tracking, claimed, lines, project)
-
-
 def process(
     store: TrackingStore,
     headers: DataFrame,
@@ -91,25 +103,26 @@ def process(
     batch_size: int = DEFAULT_BATCH_SIZE,
     max_to_process: int = NO_CAP,
     rejects: str | None = None,
+    location_root: str | None = None,
 ) -> Processed:
     """Claim queued files, extract their fields, store each file's CSV line.
 
+    Both steps add updates as large as the claim; `TrackingStore.fold` merges them
+    into the table now and then. `headers` as in `extract_lines`.
     Files without a header, of a type the config lacks, or with a header that
     cannot be read stay claimed and are added to the `rejects` folder if one
     is given.
     """
     project = store.project
-    versions = store.versions()
-    table = store.read(versions)
+    table = store.read()
     claimed = _written(claim(table, project, claim_rows(batch_size, max_to_process)), "claimed")
     count = claimed.count()
     queued = F.col("inqueue") == QUEUED
     if count == 0:
         return Processed(0, 0, 0, table.filter(queued).count())
-    store.replace(mark_claimed(table, claimed, project), versions)
-    lines = _written(extract_lines(claimed, headers, config, store_prefix), "lines")
-    versions = store.versions()
-    store.replace(mark_done(store.read(versions), lines, project), versions)
+    store.update(changed_rows(store.files(), claimed_updates(claimed, project)))
+    lines = _written(extract_lines(claimed, headers, config, store_prefix, location_root), "lines")
+    store.update(changed_rows(store.files(), done_updates(lines, project)))
     if rejects is not None:
         rejected_files(claimed, lines).write.mode("append").parquet(rejects)
     processed = lines.count()
@@ -124,5 +137,3 @@ def rejected_files(claimed: DataFrame, lines: DataFrame) -> DataFrame:
 def export(store: TrackingStore, config: dict, file_type: str, folder: str) -> None:
     """Write the stored lines of one file type as ordered CSV text."""
     write_export(store.read(), config, store.project, file_type, folder)
-
-

@@ -7,26 +7,34 @@ import uuid
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from granulake.operators.tracking import apply_updates
 from granulake.schemas import TRACKING_SCHEMA
 
 _FULL = "full"
 _APPEND = "append"
-_VERSION = re.compile(rf"v(\d+)-({_FULL}|{_APPEND})-\w+")
+_UPDATE = "update"
+_VERSION = re.compile(rf"v(\d+)-({_FULL}|{_APPEND}|{_UPDATE})-\w+")
 _COVERED = "covered-"
+_ROW_KEY = ["project", "path"]
+_UPDATE_SCHEMA = T.StructType([TRACKING_SCHEMA[n] for n in (*_ROW_KEY, "data", "inqueue")])
 
 
 class TrackingStore:
     """A table that changes by adding folders, never by editing files.
 
-    `append` adds a folder of new rows; `replace` adds a folder holding the
-    whole table, and before it a list of the additions that went into it. The
-    table is the newest whole version and every complete addition its list does
-    not name. So an addition that overlaps a rewrite is kept, whichever ends
-    first. A folder counts once Spark has marked it complete: a lost job leaves
-    the table as it was, and a plan reading one version can write the next.
+    `append` adds a folder of new rows and `update` one of new states, by project
+    and path; reading takes the latest state of each row, so changing a few rows
+    costs no rewrite of the others. `replace` adds a folder holding the whole
+    table, and before it a list of the additions and updates that went into it.
+    The table is the newest whole version with every complete addition and update
+    its list does not name. So an addition that overlaps a rewrite is kept,
+    whichever ends first. A folder counts once Spark has marked it complete: a lost
+    job leaves the table as it was, and a plan reading one version can write the next.
 
-    Any number of jobs may append at once; one at a time may replace.
+    Any number of jobs may append at once; one at a time may update or replace.
     """
 
     def __init__(self, spark: SparkSession, root: str, project: str):
@@ -53,7 +61,7 @@ class TrackingStore:
         ]
 
     def _base(self, versions: list[str]) -> tuple[str | None, set[str]]:
-        """The newest whole version and the additions it holds."""
+        """The newest whole version and the additions and updates it holds."""
         full = [name for name in versions if _VERSION.fullmatch(name)[2] == _FULL]
         if not full:
             return None, set()
@@ -62,40 +70,65 @@ class TrackingStore:
 
     def _live(self, versions: list[str]) -> list[str]:
         base, covered = self._base(versions)
-        added = [n for n in versions if _VERSION.fullmatch(n)[2] == _APPEND and n not in covered]
+        added = [n for n in versions if _VERSION.fullmatch(n)[2] != _FULL and n not in covered]
         return added if base is None else [base, *added]
 
     def _name(self, kind: str) -> str:
         numbers = [int(found[1]) for found in map(_VERSION.fullmatch, self._names()) if found]
         return f"v{max(numbers, default=0) + 1:08d}-{kind}-{uuid.uuid4().hex[:8]}"
 
-    def _write(self, rows: DataFrame, name: str) -> str:
-        columns = rows.select(*[rows[f.name].cast(f.dataType) for f in TRACKING_SCHEMA])
+    def _write(self, rows: DataFrame, name: str, schema: T.StructType = TRACKING_SCHEMA) -> str:
+        columns = rows.select(*[rows[f.name].cast(f.dataType) for f in schema])
         columns.write.mode("errorifexists").parquet(f"{self.folder}/{name}")
         return name
 
     def read(self, versions: list[str] | None = None) -> DataFrame:
         """The table as the given versions have it; by default as it is now."""
         live = self._live(self.versions() if versions is None else versions)
-        if not live:
+        rows, updates = self._rows(live), [n for n in live if _VERSION.fullmatch(n)[2] == _UPDATE]
+        if not updates:
+            return rows
+        found = self.spark.read.schema(_UPDATE_SCHEMA).parquet(*[f"{self.folder}/{n}" for n in updates])
+        number = F.regexp_extract("_metadata.file_path", rf"/v(\d+)-{_UPDATE}-\w+/[^/]*$", 1).cast("bigint")
+        last = F.max(F.struct(number.alias("number"), "inqueue", "data")).alias("last")
+        latest = found.groupBy(*_ROW_KEY).agg(last).select(*_ROW_KEY, "last.data", "last.inqueue")
+        return apply_updates(rows, latest, _ROW_KEY)
+
+    def _rows(self, live: list[str]) -> DataFrame:
+        """Rows as they were added, whatever happened to their state since."""
+        folders = [f"{self.folder}/{n}" for n in live if _VERSION.fullmatch(n)[2] != _UPDATE]
+        if not folders:
             return self.spark.createDataFrame([], TRACKING_SCHEMA)
-        return self.spark.read.schema(TRACKING_SCHEMA).parquet(*[f"{self.folder}/{n}" for n in live])
+        return self.spark.read.schema(TRACKING_SCHEMA).parquet(*folders)
+
+    def files(self) -> DataFrame:
+        """`project, filename, path` of all rows, which no update changes."""
+        return self._rows(self._live(self.versions())).select("project", "filename", "path")
 
     def append(self, rows: DataFrame) -> str:
         return self._write(rows, self._name(_APPEND))
 
+    def update(self, rows: DataFrame) -> str:
+        """Give the rows of a project and path new `data, inqueue`."""
+        return self._write(rows, self._name(_UPDATE), _UPDATE_SCHEMA)
+
     def replace(self, rows: DataFrame, versions: list[str] | None = None) -> str:
         """Make `rows`, made from the given versions, the whole table.
 
-        Additions that are not among these versions stay in the table.
+        Additions and updates that are not among these versions stay in the table.
         """
         made_from = self.versions() if versions is None else versions
-        covered = [(n,) for n in made_from if _VERSION.fullmatch(n)[2] == _APPEND]
+        covered = [(n,) for n in made_from if _VERSION.fullmatch(n)[2] != _FULL]
         name = self._name(_FULL)
         listed = self.spark.createDataFrame(covered, "value string").coalesce(1)
         listed.write.text(f"{self.folder}/{_COVERED}{name}")
         return self._write(rows, name)
 
+    def fold(self) -> str:
+        """Write the table as it is as one whole version."""
+        versions = self.versions()
+        return self.replace(self.read(versions), versions)
+
     def compact(self) -> list[str]:
         """Delete the complete versions the newest whole one covers, and name them.
 

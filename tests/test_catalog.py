@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from granulake.operators.catalog import (
     existing_paths,
+    location_patterns,
     match_locations,
     new_tracking_rows,
     unseen_files,
@@ -15,13 +16,21 @@ from granulake.operators.tracking import (
     apply_updates,
     claim,
     claim_rows,
-    mark_claimed,
-    mark_done,
+    changed_rows,
+    claimed_updates,
+    done_updates,
 )
-from granulake.plans.jobs import export, process, walk
+from granulake.plans.jobs import export, extract_lines, process, walk
 from granulake.schemas import TRACKING_SCHEMA
 from granulake.sinks.tracking_store import TrackingStore
-from granulake.sources.granules import decode_headers, granule_files, latest_headers
+from granulake.sources.granules import (
+    decode_headers,
+    granule_files,
+    named_headers,
+    read_header_store,
+    stored_path,
+    write_header_store,
+)
 from granulake.sources.mapping_config import load_mapping
 
 T0 = datetime(2020, 1, 1)
@@ -109,11 +118,40 @@ def test_stored_files_and_decoder(spark, tmp_path):
     assert [tuple(r) for r in decoded.collect()] == [(f"{tmp_path}/a/one.nc", "one")]
 
 
-def test_latest_header(spark):
-    rows = spark.createDataFrame(
-        [("a", "old", 1), ("a", "new", 2), ("b", "only", 1)], "name string, header string, at int"
+def test_listing_with_a_scheme_an_absolute_location_and_no_file_in_the_plan(spark, tmp_path):
+    for day in ("1", "2"):
+        (tmp_path / "s" / day).mkdir(parents=True)
+        for name in ("a.nc", "b.nc", "d.nc", "c.txt"):
+            (tmp_path / "s" / day / name).write_bytes(b"x")
+    (tmp_path / "s" / "file.nc").write_bytes(b"x")
+    listed = {f"{tmp_path}/s/{day}/{name}.nc" for day in "12" for name in "abd"}
+    for root in (f"{tmp_path}/s", f"file://{tmp_path}/s/"):
+        patterns = [stored_path(spark, p) for p in location_patterns(root, ["*/*.nc"])]
+        files = granule_files(spark, patterns)
+        # two folders, and the file beside them
+        assert "(3 paths)" in files._jdf.queryExecution().executedPlan().toString()
+        found = match_locations(files, root, patterns, ["x"])
+        assert {r.path for r in files.collect()} == {r.path for r in found.collect()} == listed
+    assert location_patterns("/r", ["a", "/b", "file:/c"]) == ["/r/a", "/b", "file:/c"]
+    elsewhere = location_patterns("/none", [f"{tmp_path}/s/1/*.nc"])
+    found = match_locations(granule_files(spark, elsewhere), "/none", elsewhere, ["x"])
+    assert found.count() == 3
+
+
+def test_lines_from_the_header_store_use_the_latest_and_prune_days(spark, tmp_path):
+    folder = str(tmp_path)
+    for px in (1, 2):
+        rows = [(f"/s/p/2020/{d}/g.nc", header(px=px)) for d in (1, 2)] + [("/other/g.nc", header())]
+        found = named_headers(spark.createDataFrame(rows, "path string, header string"), "/s/")
+        write_header_store(found, folder)
+    stored = read_header_store(spark, folder)
+    assert {r.name for r in stored.collect()} == {"p/2020/1/g.nc", "p/2020/2/g.nc"}
+    claimed = spark.createDataFrame(
+        [("g.nc", "/s/p/2020/1/g.nc", T0, "mcm")], "filename string, path string, mtime timestamp_ntz, file_type string"
     )
-    assert {r.name: r.header for r in latest_headers(rows, "at").collect()} == {"a": "new", "b": "only"}
+    lines = extract_lines(claimed, stored, CONFIG, "/s", "/s")
+    assert [r.csv_line for r in lines.collect()] == ["gs://p/2020/1/g.nc,2"]
+    assert "dynamicpruning" in lines._jdf.queryExecution().executedPlan().toString()
 
 
 # --- queue ------------------------------------------------------------------
@@ -147,7 +185,7 @@ def test_updates_reach_every_row_of_a_file_name_and_the_last_line_stays(spark):
         ("Q", "/x/f.nc", "old", 1, "x", 1),
     )
     claimed = claim(table, "P", None)
-    assert state(mark_claimed(table, claimed, "P")) == {
+    assert state(apply_updates(table, claimed_updates(claimed, "P"))) == {
         ("P", "/x/f.nc"): ("", 2),
         ("P", "/y/f.nc"): ("", 2),
         ("P", "/z/g.nc"): ("old", 0),
@@ -157,7 +195,7 @@ def test_updates_reach_every_row_of_a_file_name_and_the_last_line_stays(spark):
         [("f.nc", "/y/f.nc", datetime(2020, 1, 2), "late"), ("f.nc", "/x/f.nc", T0, "early")],
         "filename string, path string, mtime timestamp_ntz, csv_line string",
     )
-    done = state(mark_done(table, lines, "P"))
+    done = state(apply_updates(table, done_updates(lines, "P")))
     assert done[("P", "/x/f.nc")] == done[("P", "/y/f.nc")] == ("late", 0)
     assert done[("Q", "/x/f.nc")] == ("old", 1)
     none = lines.limit(0).selectExpr("'P' project", "filename", "'' data", "1 inqueue")
@@ -304,3 +342,29 @@ def test_text_that_looks_like_a_number_stays(spark):
     files = spark.createDataFrame(rows, "path string, file_type string, header string")
     lines = {r.path[7]: r.csv_line for r in with_csv_line(files, CONFIG, "/store").collect()}
     assert lines == {"a": ",gs://a.nc,1,1.0E7,10000000.0", "b": ",gs://b.nc,2.5E8,x,-1e-05"}
+
+
+def test_updates_cost_their_own_size_and_the_latest_counts(spark, tmp_path):
+    store = TrackingStore(spark, str(tmp_path), "P")
+    table = tracked(
+        spark, ("P", "/x/f", "", 1, "x", 1), ("P", "/y/f", "", 1, "x", 1), ("P", "/g", "", 1, "x", 1), ("Q", "/x/f", "", 1, "x", 1)
+    )
+    store.append(table)
+    names = spark.createDataFrame([("f",)], "filename string")
+    update = store.update(changed_rows(store.files(), claimed_updates(names, "P")))
+    assert spark.read.parquet(f"{store.folder}/{update}").count() == 2
+    changed = {("P", "/x/f"): ("", 2), ("P", "/y/f"): ("", 2), ("P", "/g"): ("", 1), ("Q", "/x/f"): ("", 1)}
+    assert state(store.read()) == changed
+    # a later addition of the same name is not reached by the claim before it
+    store.append(tracked(spark, ("P", "/z/f", "", 1, "x", 1)))
+    lines = spark.createDataFrame([("f", "/x/f", T0, "line")], "filename string, path string, mtime timestamp_ntz, csv_line string")
+    versions = store.versions()
+    assert state(store.read())[("P", "/z/f")] == ("", 1)
+    store.update(changed_rows(store.files().filter("path <> '/z/f'"), done_updates(lines, "P")))
+    # a rewrite that did not read the last update does not undo it
+    store.replace(store.read(versions), versions)
+    expected = changed | {("P", "/x/f"): ("line", 0), ("P", "/y/f"): ("line", 0), ("P", "/z/f"): ("", 1)}
+    assert state(store.read()) == expected
+    store.fold()
+    store.compact()
+    assert len(store.versions()) == 1 and state(store.read()) == expected

@@ -19,11 +19,12 @@ def test_catalogue_jobs(spark, tmp_path):
     (tmp_path / "map.json").write_text(json.dumps({"rad": {"metadata": {"scene_id": "scene"}}}))
     tracking = ["--tracking", f"{tmp_path}/tracking"]
     config = ["--config", f"{tmp_path}/map.json"]
-    run(spark, ["walk", *tracking, "--location-root", root])
-    run(
-        spark,
-        ["process", *tracking, *config, "--headers", f"{tmp_path}/headers", "--store-prefix", root],
-    )
+    run(spark, ["walk", *tracking, "--location-root", f"file://{root}"])
+    store = f"{tmp_path}/header-store"
+    at_root = ["--location-root", root]
+    run(spark, ["headers", "--input", f"{tmp_path}/headers", *at_root, "--store", store])
+    run(spark, ["process", *tracking, *config, *at_root, "--headers", store, "--store-prefix", root])
+    run(spark, ["compact", *tracking])
     run(spark, ["export", *tracking, *config, "--output", f"{tmp_path}/out"])
     lines = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))).split("\n")
     assert lines[0] == "base_url,scene"
