@@ -1,18 +1,22 @@
 """Operator 1: quality rules with risk-controlled cutoffs.
 
-A rule rejects a text whose feature exceeds a cutoff. The cutoffs come from the
-labelled rows (a holdout: nothing is fitted on them before). For every stratum,
-rule and candidate cutoff, k of the n good labelled texts would be rejected; the
-cutoff is safe if Bin(n, `risk` / rules) gives k or fewer with probability of at
-most `error` / (strata * rules * cutoffs), that is, if the exact upper binomial
-bound of its false rejections is below its share of the risk. Of the safe
-cutoffs, the one that removes most bad texts less good ones is taken; none if
-none removes more bad than good. With probability 1 - `error`, the rules
-together then reject no more than `risk` of the good texts of any stratum.
+A rule rejects a text whose feature exceeds a cutoff. The cutoffs of a stratum come
+from one path of growing sets of (rule, cutoff): set t holds the first t cells, and
+rejects what any of them rejects. The path is ordered by rows the tests do not use,
+the labelled bad texts and those without a label: cells by how many bad texts they
+reject per other text. (A stratum with fewer unlabelled than good texts gives one in
+`ORDERING` of its good texts to this side.) Then every set is held against the good
+labelled texts: all its rules together would reject k of n; the set is safe if
+Bin(n, `risk`) gives k or fewer with probability of at most `error` / (strata * rules *
+cutoffs), that is, if the exact upper binomial bound of its false rejections is below
+the risk. A path has no more sets than rules * cutoffs. Of the safe sets, the one that
+removes most bad texts less good ones is taken; none if none removes more bad than
+good. With probability 1 - `error`, the rules together then reject no more than
+`risk` of the good texts of any stratum.
 
 All is DataFrame code. Features are computed once per text, inside the row, and
 written as numbers; texts are never shuffled. Labels meet features by id, and
-what is counted is a table of (stratum, rule, cutoff step).
+what is counted is a table of (stratum, label, step of each rule).
 
 Null text: no words, fails the base rule. Empty tables: no rows, no cutoffs. Null
 stratum: a stratum of its own. A stratum without enough labels gets no cutoff and
@@ -38,6 +42,8 @@ SYMBOLS = "#*$%&|<>"
 #: Candidate cutoffs of every rule: first * ratio ** step.
 STEPS, FIRST, RATIO = 24, 0.01, 1.4
 RISK, ERROR = 0.02, 0.05
+#: One in so many good texts orders the path where unlabelled ones are few.
+ORDERING = 5
 #: More strata than this are joined by key instead of being sent to all executors.
 BROADCAST_STRATA = 10_000
 
@@ -142,36 +148,46 @@ def cutoffs(measured: DataFrame, labels: DataFrame, id: str = "doc_id", risk: fl
     """Stratum, rule, and the step and value of its cutoff; at most one row per stratum and rule."""
     known = rules()
     good = labels.where("quality is not null").groupBy(id).agg(F.min("quality").alias("good"))
-    held = measured.where("not base_failed").join(good, id)
-    steps = F.array(*[F.struct(F.lit(name).alias("rule"), step_of(value).alias("step")) for name, value in known.items()])
-    counts = (
-        held.select("stratum", "good", F.explode(steps).alias("at"))
-        .groupBy("stratum", "at.rule", "at.step")
-        .agg(F.sum(F.col("good")).cast("long").alias("n_good"), F.sum(1 - F.col("good")).cast("long").alias("n_bad"))
-    )
-    # every row adds to all cutoffs below its own step
-    below = F.explode(F.sequence(F.lit(0), F.lit(STEPS))).alias("cutoff")
+    held = measured.where("not base_failed").join(good, id, "left")
+    key = F.coalesce(F.concat(F.lit("="), F.col("stratum")), F.lit("")).alias("key")
+    part = (F.pmod(F.xxhash64(F.lit("order"), id), F.lit(ORDERING)) == 0).alias("part")
+    steps = F.array(*[step_of(value) for value in known.values()]).alias("steps")
+    rows = saved(held.select(key, "stratum", "good", part, steps).groupBy("key", "stratum", "good", "part", "steps").agg(F.count("*").alias("n")), "quality-steps")
+    number = lambda which: F.sum(F.when(which, F.col("n")).otherwise(0))
+    few = rows.groupBy("key").agg((number(F.col("good").isNull()) < number(F.col("good") == 1)).alias("few"))
+    tested = (F.col("good") == 1) & ~(F.col("few") & F.col("part"))
+    rows = rows.join(few, "key").withColumn("tested", F.coalesce(tested, F.lit(False))).withColumn("bad", F.coalesce(F.col("good") == 0, F.lit(False)))
+
+    at = F.posexplode("steps").alias("rule", "step")
+    cells = rows.where("not tested").select("key", "bad", "n", at).where("step > 0")
+    cells = cells.select("key", "rule", "bad", "n", F.explode(F.sequence(F.lit(0), F.col("step") - 1)).alias("cutoff"))
+    cells = cells.groupBy("key", "rule", "cutoff").agg(number(F.col("bad")).alias("n_bad"), number(~F.col("bad")).alias("n_other")).where("n_bad > 0")
+    order = F.struct((-F.col("n_bad") / (F.col("n_other") + 1)).alias("score"), (-F.col("cutoff")).alias("lenient"), "rule", "cutoff")
+    paths = saved(cells.groupBy("key").agg(F.sort_array(F.collect_list(order)).alias("path")), "quality-paths")
+
+    # the first set of the path that rejects a text, 0 if none does
+    rejects = F.transform("path", lambda cell: F.get("steps", cell["rule"]) > cell["cutoff"])
+    counts = rows.where("tested or bad").join(paths, "key").select("key", "stratum", "bad", "n", F.array_position(rejects, F.lit(True)).alias("first"), F.size("path").alias("sets"))
+    counts = counts.groupBy("key", "stratum", "sets", "first").agg(number(~F.col("bad")).alias("n_good"), number(F.col("bad")).alias("n_bad"))
+    hit = (F.col("first") > 0) & (F.col("first") <= F.col("set"))
     tests = (
-        counts.select("stratum", "rule", "step", "n_good", "n_bad", below)
-        .groupBy("stratum", "rule", "cutoff")
-        .agg(
-            F.sum("n_good").alias("n"),
-            F.sum(F.when(F.col("step") > F.col("cutoff"), F.col("n_good")).otherwise(0)).alias("k"),
-            F.sum(F.when(F.col("step") > F.col("cutoff"), F.col("n_bad")).otherwise(0)).alias("bad"),
-        )
-        .where((F.col("cutoff") < STEPS) & (F.col("n") > 0))
+        counts.withColumn("set", F.explode(F.sequence(F.lit(1), F.col("sets"))))
+        .groupBy("key", "stratum", "set")
+        .agg(F.sum("n_good").alias("n"), F.sum(F.when(hit, F.col("n_good")).otherwise(0)).alias("k"), F.sum(F.when(hit, F.col("n_bad")).otherwise(0)).alias("bad"))
+        .where("n > 0")
     )
     tests = saved(tests, "quality-tests")
-    strata = max(1, tests.select("stratum").distinct().count())
+    strata = max(1, rows.where("tested").select("key").distinct().count())
     level = error / (strata * len(known) * STEPS)
     gain = F.col("bad") - F.col("k")
-    best = F.max_by(F.struct("cutoff", "k", "n", "bad"), F.struct(gain, F.col("cutoff"))).alias("best")
+    safe = tests.where((gain > 0) & (at_most(F.col("k"), F.col("n"), risk) <= level))
+    best = safe.groupBy("key", "stratum").agg(F.max_by("set", F.struct(gain, -F.col("set"))).cast("int").alias("set"))
+    taken = best.join(paths, "key").select("stratum", F.explode(F.slice("path", F.lit(1), F.col("set"))).alias("cell"))
+    name = F.element_at(F.array(*[F.lit(x) for x in known]), F.col("rule") + 1).alias("rule")
     return (
-        tests.where((gain > 0) & (at_most(F.col("k"), F.col("n"), risk / len(known)) <= level))
-        .groupBy("stratum", "rule")
-        .agg(best)
-        .select("stratum", "rule", F.col("best.cutoff").alias("step"), (F.lit(FIRST) * F.pow(F.lit(RATIO), F.col("best.cutoff"))).alias("above"))
-    )
+        taken.groupBy("stratum", F.col("cell.rule").alias("rule")).agg(F.min("cell.cutoff").alias("step"))
+        .select("stratum", name, "step", (F.lit(FIRST) * F.pow(F.lit(RATIO), F.col("step"))).alias("above"))
+    )
 
 
 def judged(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:

@@ -186,6 +186,16 @@ def test_binomial_tail_and_cutoffs(spark):
     assert quality.cutoffs(measured, labels.where("doc_id < 400")).count() == 0  # too few to be sure
 
 
+def test_planted_junk_is_rejected_on_a_given_table(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{n}.parquet") for n in ("documents", "labels"))
+    found = quality.judged(docs, labels).join(labels, "doc_id").where("stratum <> 'es' and not base_failed").select("doc_id", "kept", "quality", "n_symbols", "n_words")
+    rows = {r.doc_id: r for r in found.collect()}
+    assert not rows[39].kept  # full of '$$$ %%% ###'
+    junk = [r.kept for r in rows.values() if not r.quality and 2 * r.n_symbols > r.n_words]
+    good = [r.kept for r in rows.values() if r.quality]
+    assert len(junk) > 50 and not any(junk) and np.mean(good) > 0.98
+
+
 def test_licenses(docs):
     found = by_id(licenses.scan(docs), "verdict")
     assert found[8] == ("CC-BY-NC-4.0",) and found[13] == ("MIT",) and found[3] == found[4] == ("NONE",)
