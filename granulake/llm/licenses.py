@@ -1,8 +1,12 @@
 """Operator 8: licence scans by sentence rules.
 
-A text is cut into sentences, each is brought to a normal form and looked up
-among known licence sentences; what remains is a sequence of sentence
-identifiers. Ordered rules, most specific first, each name a licence and the
+A text is brought to a normal form and its sentences are looked up among known licence
+sentences; what remains is a sequence of sentence identifiers. Sentences end at marks,
+blank lines, addresses and list numbers, and a
+copyright notice ends where a licence's first words follow. A line end, colon or semicolon may end one or
+lie inside it, so wrapped and one-line forms give the same identifiers; of several known
+sentences that start at one place the longest counts. Signs, list marks and `dnl` or
+`rem` at the start of a line are dropped, and holders named inside BSD sentences do not matter. Ordered rules, most specific first, each name a licence and the
 identifiers that follow one another in it; a rule takes what it matches out of the
 sequence, so a shorter rule does not match the same sentences again. Identifiers
 no rule takes make the result UNKNOWN.
@@ -16,13 +20,9 @@ each its own result. Very long texts are read whole.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import let
-
 #: Licence sentences in normal form, from the texts of public licences.
 SENTENCES = {
     "mit-release": "released under the mit license",
@@ -50,10 +50,62 @@ SENTENCES = {
     "cc-by-nc-4-work": "this work is licensed under cc by nc 4.0",
     "mpl-2-subject": "this source code form is subject to the terms of the mozilla public license v. 2.0",
     "all-rights": "all rights reserved",
+    "mpl-2-copy": "if a copy of the mpl was not distributed with this file you can obtain one at",
+    "gpl-copy": "you should have received a copy of the gnu general public license along with this program",
+    "gpl-2-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "gpl-2-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl-2-name": "this work is licensed under the gnu general public license version 2",
+    "gpl-2-short": "licensed under the gnu general public license version 2",
+    "lgpl-2.1-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version",
+    "lgpl-3-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-3-program": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-see": "see the gnu lesser general public license for more details",
+    "lgpl-copy": "you should have received a copy of the gnu lesser general public license along with this library",
+    "lgpl-copy-program": "you should have received a copy of the gnu lesser general public license along with this program",
+    "agpl-3-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-see": "see the gnu affero general public license for more details",
+    "agpl-copy": "you should have received a copy of the gnu affero general public license along with this program",
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-endorse": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "bsd-no-liability": "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "isc-no-liability": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "unlicense": "this is free and unencumbered software released into the public domain",
 }
 
 #: Licence and the identifiers that follow one another in it, tried in this order.
 RULES = [
+    *(
+        (name, [*all_rights, "bsd-redistribute", *clauses, *ending])
+        for name, clauses in (("BSD-3-Clause", ["bsd-source", "bsd-binary", "bsd-endorse"]), ("BSD-2-Clause", ["bsd-source", "bsd-binary"]))
+        for ending in (["bsd-as-is", "bsd-no-liability"], ["bsd-as-is"], [])
+        for all_rights in (["all-rights"], [])
+    ),
+    *(
+        (name, [first, hope, see, copy][:n])
+        for name, first, hope, see, copy in (
+            ("GPL-3.0-or-later", "gpl-free", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("GPL-2.0-or-later", "gpl-2-free", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("GPL-2.0-only", "gpl-2-only", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("LGPL-2.1-or-later", "lgpl-2.1-free", "lgpl-hope", "lgpl-see", "lgpl-copy"),
+            ("LGPL-3.0-or-later", "lgpl-3-free", "lgpl-hope", "lgpl-see", "lgpl-copy"),
+            ("LGPL-3.0-or-later", "lgpl-3-program", "gpl-hope", "lgpl-see", "lgpl-copy-program"),
+            ("AGPL-3.0-or-later", "agpl-3-free", "gpl-hope", "agpl-see", "agpl-copy"),
+        )
+        for n in (4, 3, 2, 1)
+        if first != "gpl-free" or n == 4
+    ),
+    ("ISC", ["isc-grant", "isc-as-is", "isc-no-liability"]),
+    ("ISC", ["isc-grant", "isc-as-is"]),
+    ("ISC", ["isc-grant"]),
+    ("MPL-2.0", ["mpl-2-subject", "mpl-2-copy"]),
+    ("GPL-2.0-only", ["gpl-2-name"]),
+    ("GPL-2.0-only", ["gpl-2-short"]),
+    ("Unlicense", ["unlicense"]),
     ("MIT", ["mit-grant", "mit-notice", "as-is", "no-liability"]),
     ("MIT", ["mit-grant", "mit-notice", "as-is"]),
     ("MIT", ["mit-grant", "mit-notice"]),
@@ -79,41 +131,80 @@ RULES = [
     ("all-rights-reserved", ["all-rights"]),
 ]
 
-#: A sentence ends at marks before white space or the end of the text, and at a colon before white space.
-SENTENCE_END = "[.!?:]+([ \\t\\n\\x0b\\f\\r]+|$)"
+#: Signs of the normal form: the end of a sentence, and a place where one may end or go on.
+END, MAYBE = "\x01", "\x02"
+AFTER = "[\"'”’)\\]}*/]*+(?=[ \\t\\n\\x0b\\f]|\\z)"
+GAP = f"[ {MAYBE}]++"
 
 
-def sentences(text: Column) -> Column:
-    """Sentences of a text in normal form: lower case, runs of other characters as one space."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), SENTENCE_END, "\n")
-    plain = F.regexp_replace(plain, "[^a-z0-9.\n]+", " ")
-    return F.transform(F.split(plain, "\n"), lambda s: F.btrim(s))
+def gapped(words: str) -> str:
+    return words.replace(" ", GAP)
 
 
-def take(name: str, sought: str) -> Callable[[Column], Column]:
+#: Names of holders inside licence sentences, and the words that stand for them.
+HOLDERS = [
+    ("neither the name of", "nor the names of its contributors", "the copyright holder"),
+    ("this software is provided by", "as is and any express or implied", "the copyright holders and contributors"),
+    ("in no event shall", "be liable for any direct indirect incidental special exemplary", "the copyright holder or contributors"),
+]
+#: What may follow a copyright notice that no mark ends.
+OPENINGS = [
+    "permission is hereby granted free of charge", "permission to use copy modify", "licensed under the", "this work is licensed under", "released under the",
+    "redistribution and use in source and binary forms", "all rights reserved", "this program is free software", "this library is free software",
+    "this source code form is subject to",
+]
+
+
+def normal(text: Column) -> Column:
+    """Lower case, runs of other characters as one space, and signs where sentences end or may end."""
+    plain = F.translate(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "\r\n?", "\n"), END + MAYBE, "  ")
+    steps = [
+        ("https?://[^ \\t\\n\\x0b\\f<>\"]++", END),
+        ("(?md)^[^a-z0-9\\n(]++", ""),  # signs of comments and lists
+        ("(?md)^(?:dnl|rem)[ \\t]++", ""),
+        ("(?<![^ \\t\\n])\\((?:[0-9]{1,2}|[abd-hj-z]|[ivx]{1,4})\\)(?=[ \\t\\n])", END),
+        ("(?md)^[a-z][.)][ \\t]++", END),
+        ("(?md)^[0-9]{1,2}\\)[ \\t]++", END),
+        (f"(?<![.!?])(?<!\\bv)[.!?][.!?:;]*+{AFTER}", END),
+        (f"(?<![:;])[:;]++{AFTER}", MAYBE),
+        (f"[^a-z0-9.\n{END}{MAYBE}]++", " "),
+        ("\n ?\n[ \n]*+", END),
+        ("\n", MAYBE),
+    ]
+    for sought, put in steps:
+        plain = F.regexp_replace(plain, sought, put)
+    plain = F.regexp_replace(plain, f"(copyright[^{END}]{{0,200}}?) (?={'|'.join(gapped(o) for o in OPENINGS)})", f"$1{MAYBE}")
+    for before, after, holder in HOLDERS:
+        some = f"({gapped(before)}{GAP}).{{1,100}}?({GAP}{gapped(after)})"
+        plain = F.regexp_replace(plain, "(?s)" + some, f"$1{holder}$2")
+    return plain
+
+
+def known_sentences(text: Column) -> Column:
+    """The known sentences of a text, in order."""
+    longest = sorted(SENTENCES.values(), key=len, reverse=True)
+    each = "|".join(gapped(s.replace(".", "\\.")) for s in longest)
+    found = F.regexp_extract_all(normal(text), F.lit(f"(?<=^ ?|[{END}{MAYBE}] ?)(?:{each})(?= ?(?:[{END}{MAYBE}]|\\z))"), F.lit(0))
+    return F.transform(found, lambda s: F.regexp_replace(s, GAP, " "))
+
+
+def take(state: Column, rule: Column) -> Column:
     """One rule's step: take its identifiers out of the rest and note its licence."""
-
-    def step(state: Column) -> Column:
-        rest = F.replace(state["rest"], F.lit(sought), F.lit("|"))
-        taken = F.struct(rest.alias("rest"), F.array_append(state["names"], F.lit(name)).alias("names"))
-        return F.when(F.contains(state["rest"], F.lit(sought)), taken).otherwise(state)
-
-    return step
+    rest = F.replace(state["rest"], rule["sought"], F.lit("|"))
+    taken = F.struct(rest.alias("rest"), F.array_append(state["names"], rule["name"]).alias("names"))
+    return F.when(F.contains(state["rest"], rule["sought"]), taken).otherwise(state)
 
 
 def scan(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Id, sentence identifiers in order, licences in rule order, and the verdict of each text."""
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
-    lengths = F.array(*[F.lit(n) for n in sorted({len(s) for s in SENTENCES.values()})])
-    likely = F.filter(sentences(F.col(text)), lambda s: F.array_contains(lengths, F.length(s)))
-    found = docs.select(F.col(id), F.transform(likely, lambda s: known[s]).alias("found"))
-    found = found.select(id, F.filter("found", lambda x: x.isNotNull()).alias("sentence_ids"))
+    found = docs.select(F.col(id), F.transform(known_sentences(F.col(text)), lambda s: known[s]).alias("sentence_ids"))
 
     # a sequence is text with a bar on either side of each identifier: |a||b|
     start = F.concat_ws("", F.transform("sentence_ids", lambda x: F.concat(F.lit("|"), x, F.lit("|"))))
     state = F.struct(start.alias("rest"), F.array().cast("array<string>").alias("names"))
-    for name, ids in RULES:
-        state = let(state, take(name, "".join(f"|{i}|" for i in ids)))
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{i}|" for i in ids)).alias("sought")) for name, ids in RULES])
+    state = F.aggregate(rules, state, take)
     nothing = F.struct(F.lit("").alias("rest"), F.array().cast("array<string>").alias("names"))
     matched = found.withColumn("state", F.when(F.size("sentence_ids") > 0, state).otherwise(nothing))
     names = F.array_distinct("state.names")

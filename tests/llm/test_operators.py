@@ -207,6 +207,122 @@ def test_license_rules_in_order(spark):
     assert row.licenses == ["MIT", "Apache-2.0"] and row.verdict == "UNKNOWN"  # a sentence no rule takes
 
 
+#: As their owners print them; `{}` stands for what begins a line.
+LICENSE_TEXTS = {
+    "MIT": """Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "Apache-2.0": """Copyright 2020 Somebody
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "BSD-3-Clause": """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of Some Body, Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT OWNER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+}
+GNU = """This {what} is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU {name}General Public License as published by
+the Free Software Foundation{then} either version {number} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {name}General Public License for more details.
+
+You should have received a copy of the GNU {name}General Public License
+along with this {what}{end} <https://www.gnu.org/licenses/>."""
+for licence, what, name, mark, then, number, end in (
+    ("GPL-3.0-or-later", "program", "", ":", ",", "3", ".  If not, see"),
+    ("GPL-2.0-or-later", "program", "", ";", ";", "2", "; if not, see"),
+    ("LGPL-2.1-or-later", "library", "Lesser ", ";", ";", "2.1", "; if not, see"),
+    ("AGPL-3.0-or-later", "program", "Affero ", ":", ",", "3", ".  If not, see"),
+):
+    LICENSE_TEXTS[licence] = GNU.format(what=what, name=name, mark=mark, then=then, number=number, end=end)
+
+
+def test_licences_wrapped_on_one_line_and_in_comments(spark):
+    rows, expected = [], {}
+    for name, text in LICENSE_TEXTS.items():
+        lines = text.split("\n")
+        narrow = "\n\n".join("\n".join(p.split()[i] if k == 0 else " ".join(p.split()[i : i + 4]) for k, i in enumerate([0, *range(1, len(p.split()), 4)])) for p in text.split("\n\n"))
+        forms = [text, text.replace("\n", "\r\n"), " ".join(text.split()), narrow]
+        forms += ["\n".join(sign + x for x in lines) for sign in ("// ", "# ", " * ", ";; ", "dnl ", "! ")] + ["/* " + text + " */", "Some prose\n\n" + text + "\n\nmore prose"]
+        for form in forms:
+            expected[len(rows)] = (name,)
+            rows.append((len(rows), form))
+    for name, ids in licenses.RULES:
+        for joint in (". ", ".\n", "; ", "\n"):
+            expected[len(rows)] = (name,)
+            rows.append((len(rows), joint.join(licenses.SENTENCES[i] for i in ids) + "."))
+    found = by_id(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")), "verdict")
+    wrong = {i: (found[i], expected[i], rows[i][1]) for i in expected if found[i] != expected[i]}
+    assert not wrong, list(wrong.values())[:3]
+
+
 def test_language(spark):
     rows = [(i, t, lang, "h") for i, (t, lang) in enumerate([("the cat and the dog are there", "en"), ("der hund und die katze sind da", "de")] * 20)]
     rows += [(100, None, "en", None), (101, "123 %%", "de", "h"), (102, "und die katze", None, "h")]
