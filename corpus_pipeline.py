@@ -1,7 +1,8 @@
 """From raw documents to encoded training text: five stages, each written and read again.
 
 1. Language identification: documents whose language is not known go.
-2. Jaccard join: of each group of near copies the first document stays.
+2. Jaccard join: of each group of near copies (0.8 of their five-word shingles in common)
+   the first document stays.
 3. Suffix-array dedup: strings of 200 bytes found more than once go from the texts.
 4. Benchmark decontamination: documents that hold a benchmark item go.
 5. BPE encoding and decoding: token ids of each text, and the text they stand for.
@@ -21,7 +22,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, n=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Operator 10: exact Jaccard join of word n-gram sets, by set-relation skipping.
 
-Two sets link when |A & B| * 100 >= 90 * |A | B|.
+Two sets link when |A & B| * 100 >= percent * |A | B|; percent is 90 and n is 3 unless given.
 
 Index lists skipped by blocks of positions. The order of all n-grams (by hash) is
 cut into m blocks. Linked sets of up to a given size differ in at most h n-grams,
@@ -45,9 +45,7 @@ from granulake.llm.components import components
 from granulake.llm.repeats import BASE, MIX, mixed, row_key
 from granulake.llm.substring_dedup import word_tokens
 
-NGRAM = 3
-#: Least size that can link with a set of another size or content.
-SMALLEST = 9
+NGRAM, PERCENT = 3, 90
 #: 64-bit words of a set's bit map.
 WORDS = 8
 
@@ -56,32 +54,38 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def smallest(percent: int) -> int:
+    """Least size that can link with a set of another size or content."""
+    return -(-percent // (100 - percent))
+
+
 @lru_cache(maxsize=4096)
-def size_part(size: int) -> tuple[int, int, int]:
+def size_part(size: int, percent: int = PERCENT) -> tuple[int, int, int]:
     """Least and largest size of the part a size belongs to, and how many n-grams linked sets can differ in."""
-    low, high = SMALLEST, 11
+    low = smallest(percent)
+    high = low + low // 4
     while size > high:
         low, high = high + 1, high + 1 + (high + 1) // 4
-    # sizes a + b = s, at least 9 s / 19 in common
-    return low, high, (high + high * 10 // 9) // 19
+    # sizes a + b = s, at least percent * s / (100 + percent) in common
+    return low, high, (high + high * 100 // percent) * (100 - percent) // (100 + percent)
 
 
 def blocks(differ: int) -> int:
     return differ + 1 + max(1, differ // 8)
 
 
-def ngrams(hashes: np.ndarray) -> np.ndarray:
+def ngrams(hashes: np.ndarray, n: int = NGRAM) -> np.ndarray:
     """The sorted set of n-grams of a text's word hashes."""
-    if len(hashes) < NGRAM:
+    if len(hashes) < n:
         if not len(hashes):
             return hashes
         code = np.uint64(len(hashes))
         for h in hashes:
             code = mixed(np.array([code ^ h]))[0]
         return np.array([code], dtype=np.uint64)
-    code = np.zeros(len(hashes) - NGRAM + 1, dtype=np.uint64)
-    for i in range(NGRAM):
-        code = mixed(code + hashes[i : len(hashes) - NGRAM + 1 + i])
+    code = np.zeros(len(hashes) - n + 1, dtype=np.uint64)
+    for i in range(n):
+        code = mixed(code + hashes[i : len(hashes) - n + 1 + i])
     return np.unique(code)
 
 
@@ -101,15 +105,14 @@ def bit_map(grams: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-def signatures(grams: np.ndarray) -> np.ndarray:
+def signatures(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Hashes of the blocks under which a set is listed."""
     size = len(grams)
-    if size < SMALLEST:
+    if size < smallest(percent):
         return np.empty(0, dtype=np.int64)
-    own = size_part(size)
-    listed = [own]
-    if -(-size * 9 // 10) < own[0]:
-        listed.append(size_part(own[0] - 1))
+    listed = [size_part(size, percent)]
+    while max(smallest(percent), -(-size * percent // 100)) < listed[-1][0]:
+        listed.append(size_part(listed[-1][0] - 1, percent))
     out = []
     for low, _, differ in listed:
         m = blocks(differ)
@@ -126,7 +129,7 @@ def signatures(grams: np.ndarray) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
-def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text") -> DataFrame:
+def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text", n: int = NGRAM) -> DataFrame:
     """`rows(id, n-grams)` of each text of (id, text)."""
     hashes = F.transform(words(lower_ascii(F.col(text))), lambda w: F.xxhash64(w))
     types = [f for f in schema.split(", ")]
@@ -138,20 +141,20 @@ def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema:
         for batch in batches:
             for ids, flat, ends in word_tokens(batch):
                 starts = np.concatenate([[0], ends[:-1]])
-                made = [rows(i, ngrams(flat[a:b])) for i, a, b in zip(ids.tolist(), starts.tolist(), ends.tolist(), strict=True)]
+                made = [rows(i, ngrams(flat[a:b], n)) for i, a, b in zip(ids.tolist(), starts.tolist(), ends.tolist(), strict=True)]
                 columns = zip(*made, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, arrow, strict=True)], names)
 
     return docs.select("id", hashes.alias("tokens")).mapInArrow(work, schema)
 
 
-def most_apart(a: str, b: str) -> Column:
+def most_apart(a: str, b: str, percent: int) -> Column:
     """The largest number of n-grams in which linked sets of sizes `a` and `b` differ."""
     total = F.col(a) + F.col(b)
-    return total - 2 * F.ceil(total * 90 / 190 - 1e-9)
+    return total - 2 * F.ceil(total * percent / (100 + percent) - 1e-9)
 
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, apart, linked) of pairs (a, b) of set keys."""
     mine = sets.select(F.col("key").alias("a"), F.col("grams").alias("mine"), F.col("n").alias("n_a"))
     theirs = sets.select(F.col("key").alias("b"), F.col("grams").alias("theirs"), F.col("n").alias("n_b"))
@@ -168,15 +171,15 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     met = pairs.join(mine, "a").join(theirs, "b").select("a", "b", "n_a", "n_b", "mine", "theirs")
     counted = met.mapInArrow(work, "a long, b long, n_a long, n_b long, common long")
     apart = F.col("n_a") + F.col("n_b") - 2 * F.col("common")
-    linked = 100 * F.col("common") >= 90 * (F.col("n_a") + F.col("n_b") - F.col("common"))
+    linked = 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
     return counted.select("a", "b", "n_a", "n_b", apart.alias("apart"), linked.alias("linked"))
 
 
-def in_size_reach(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= 90 * F.greatest(a, b)
+def in_size_reach(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of set keys that connect every two linked sets.
 
     `listed` has (key, n, signatures), `classes` (key, id of one member).
@@ -191,12 +194,12 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame) -> Da
 
     wanted = entries.select("key").distinct().join(classes, "key").select("id", F.col("key").alias("wanted"))
     texts = docs.join(wanted, "id", "left_semi")
-    sets = over_sets(texts, lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>")
+    sets = over_sets(texts, lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>", n=n)
     sets = saved(sets.dropDuplicates(["key"]), "sets")
 
     # distances to the pivots
-    reach = entries.where("key <> pivot").where(in_size_reach("n", "n_pivot"))
-    to_pivot = saved(distances(reach.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets), "pivot-distances")
+    reach = entries.where("key <> pivot").where(in_size_reach("n", "n_pivot", percent))
+    to_pivot = saved(distances(reach.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent), "pivot-distances")
     links = to_pivot.where("linked").select("a", "b")
 
     # sets not linked to a list's pivot, against the list's others that no links reach yet
@@ -210,26 +213,28 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame) -> Da
     placed = placed.join(open_lists, "list", "left_semi").join(maps, "key")
     mine = placed.where("not linked").alias("x")
     near = mine.join(placed.alias("y"), F.col("x.list") == F.col("y.list")).where("x.group <> y.group and (y.linked or x.key < y.key)")
-    near = near.where(in_size_reach("x.n", "y.n"))
-    limit = most_apart("x.n", "y.n")
+    near = near.where(in_size_reach("x.n", "y.n", percent))
+    limit = most_apart("x.n", "y.n", percent)
     near = near.where(sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(WORDS)), F.lit(0)) <= limit)
     near = near.where(F.coalesce(F.abs(F.col("x.apart") - F.col("y.apart")) <= limit, F.lit(True)))
     sure = F.coalesce(F.col("x.apart") + F.col("y.apart") <= limit, F.lit(False))
     near = near.groupBy(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).agg(F.max(sure).alias("sure"))
     near = saved(near, "pairs-left")
-    rest = distances(near.where("not sure").select("a", "b"), sets).where("linked")
+    rest = distances(near.where("not sure").select("a", "b"), sets, percent).where("linked")
     return links.unionByName(near.where("sure").select("a", "b")).unionByName(rest.select("a", "b"))
 
 
-def joined(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each row's id, set size, and the smallest id reachable by links."""
+def joined(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
+    """Each row's id, set size, and the smallest id reachable by links between sets of n-grams."""
+    if n < 1 or not 1 <= percent <= 99:
+        raise ValueError(f"{n}-grams, {percent} percent")
     keyed = docs.select(F.col(id).alias("own_id"), row_key(id, text).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = over_sets(
-        keyed, lambda i, g: (i, len(g), set_key(g) if len(g) else None, signatures(g).tolist()), "id long, n long, key long, signatures array<long>"
+        keyed, lambda i, g: (i, len(g), set_key(g) if len(g) else None, signatures(g, percent).tolist()), "id long, n long, key long, signatures array<long>", n=n
     )
     rows = saved(rows, "set-signatures")
     classes = saved(rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id")), "set-classes")
-    links = linked_classes(rows.where(F.size("signatures") > 0), classes, keyed.select("id", "text"))
+    links = linked_classes(rows.where(F.size("signatures") > 0), classes, keyed.select("id", "text"), n, percent)
     ends = links.join(classes.select(F.col("key").alias("a"), F.col("id").alias("u")), "a").join(classes.select(F.col("key").alias("b"), F.col("id").alias("v")), "b")
     groups = components(ends.select("u", "v"))
     named = classes.join(groups, F.col("id") == F.col("node"), "left").select("key", F.coalesce("component", "id").alias("component_id"))
@@ -237,8 +242,8 @@ def joined(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
     return own.select(F.when(F.col("id") >= 0, F.col("id")).alias(id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.col("id").alias("row_key"))
 
 
-def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, that are the first of their component."""
-    first = joined(docs, id, text).where(F.col("row_key") == F.col("component_id")).select(F.col("row_key").alias("__first_key")).distinct()
+    first = joined(docs, id, text, n, percent).where(F.col("row_key") == F.col("component_id")).select(F.col("row_key").alias("__first_key")).distinct()
     first = saved(first, "first-of-group")
     return docs.join(first, row_key(id, text) == F.col("__first_key"), "left_semi")

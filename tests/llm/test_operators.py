@@ -124,6 +124,33 @@ def test_jaccard_join_of_drifting_copies(spark):
     assert {c for (c,) in found.values()} == {0, len(chain)}
 
 
+def test_near_copies_of_five_words_and_four_fifths(spark):
+    """Brute force at other parameters; the pipeline's stage drops a copy with 20 of 1,000 words changed."""
+    import corpus_pipeline
+
+    draw = np.random.default_rng(5)
+    base = [f"b{i}" for i in range(1000)]
+    texts = [base, [f"new{i}" if i % 50 == 25 else w for i, w in enumerate(base)], base[:850], base[:780]]
+    for size in (4, 5, 8, 9, 12, 30, 57, 120, 400):
+        words = [f"{size}w{i}" for i in range(size)]
+        for cut in (0, 1, 2, 5, 20, 60):
+            texts += [words[: max(1, size - cut)], [w if draw.random() > 0.02 * cut else f"x{draw.integers(99)}" for w in words]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    for n, percent in ((5, 80), (2, 60), (3, 90), (1, 95)):
+        sets = [{tuple(t[k : k + n]) for k in range(len(t) - n + 1)} or {tuple(t)} for t in texts]
+        group = list(range(len(texts)))
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if 100 * len(a & b) >= percent * len(a | b):
+                    old, new = max(group[i], group[j]), min(group[i], group[j])
+                    group = [new if g == old else g for g in group]
+        found = by_id(jaccard_join.joined(docs, n=n, percent=percent), "n_shingles", "component_id")
+        assert found == {i: (len(s), g) for i, (s, g) in enumerate(zip(sets, group, strict=True))}, (n, percent)
+    stays = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs.where("doc_id < 4"), "").collect()}
+    assert stays == {0}  # 3 hangs on 2
+    assert {r.doc_id for r in jaccard_join.one_of_each(docs.where("doc_id < 2")).collect()} == {0, 1}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(20)] + [(30, 31), (32, 31), (40, 40)], "u long, v long")
     found = {r.node: r.component for r in components.components(edges).collect()}
