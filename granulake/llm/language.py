@@ -15,8 +15,8 @@ host; the posterior over all languages and "unknown" decides.
 A row is kept if its best language is known and has at least `SURE`.
 
 Null and empty texts, and texts without letters: unknown, not kept. Null declaration
-or suffix: no evidence. Null host: a host of its own. Rows without id are kept as
-they are. Repeated rows: each its own result. Empty tables: no rows. Other columns
+or suffix: no evidence. Null host: a host of its own. Rows without id are
+judged as others are. Repeated rows: each its own result. Empty tables: no rows. Other columns
 are not read.
 """
 
@@ -212,5 +212,9 @@ def of_pages(pages: DataFrame, trained: tuple[list[str], np.ndarray]) -> DataFra
 
 def known_language(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows, with all their columns, whose language is known."""
-    kept = saved(of_documents(docs, id, text).where("kept").select(F.col(id).alias("__kept_id")).distinct(), "known-language")
-    return docs.join(kept, F.col(id) == F.col("__kept_id"), "left_semi")
+    read = [x for n in (text, "lang", "source") for x in (F.col(n).isNull(), F.col(n))]
+    # never null: rows without id, or with one id, are told apart by all that is read of them
+    key = F.concat_ws(":", F.coalesce(F.col(id).cast("string"), F.lit("")), F.xxhash64(F.col(id).isNull(), *read))
+    kept = of_documents(docs.withColumn("__key", key), "__key", text).where("kept").select(F.col("__key").alias("__kept_key"))
+    kept = saved(kept.distinct(), "known-language")
+    return docs.join(kept, key == F.col("__kept_key"), "left_semi")

@@ -183,6 +183,18 @@ def test_decontamination(docs, none, spark):
     assert decontamination.contaminated(none, items).count() == decontamination.contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_rows_without_id_are_judged_too(spark):
+    item = " ".join(f"word{i}" for i in range(30))
+    rows = [(None, "before " + item, "en", "h"), (None, "the cat and the dog are there", "en", "h"), (None, "123 %%", "en", "h"), (1, item, "en", "h"), (2, "the cat and the dog", "en", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    items = spark.createDataFrame([(7, item), (None, item + " more"), (None, "not there at all in any of them")], "item_id long, text string")
+    found = sorted(((r.doc_id, r.item_id) for r in decontamination.contaminated(docs, items).collect()), key=str)
+    assert found == sorted([(None, 7), (None, None), (1, 7), (1, None)], key=str)
+    assert {r.text for r in decontamination.without_contaminated(docs, items).collect()} == {rows[1][1], rows[2][1], rows[4][1]}
+    kept = language.known_language(docs)
+    assert kept.columns == docs.columns and {r.text for r in kept.collect()} == {r[1] for r in rows} - {"123 %%"}
+
+
 def test_quality_features(docs, none, spark):
     expected = {}
     for i, t in TEXTS.items():
