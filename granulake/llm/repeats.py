@@ -124,19 +124,34 @@ def runs_of(tokens: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tup
 Tokens = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]
 
 
+def stretches(flat: np.ndarray, ends: np.ndarray, length: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row, its first token, tokens, and row ends of what is hashed at a time.
+
+    A row of several parts is taken part by part, whatever rows it comes with; `block_table`
+    cuts at the same places, so every run lies inside one part.
+    """
+    begin = np.concatenate([[0], ends[:-1]])
+    long = np.flatnonzero(ends - begin - length + 1 > PART).tolist()
+    done = 0
+    for row in [*long, len(ends)]:
+        if row > done:
+            yield done, 0, flat[begin[done] : ends[row - 1]], ends[done:row] - begin[done]
+        if row < len(ends):
+            own = flat[begin[row] : ends[row]]
+            for lo, hi in parts(len(own), length):
+                yield row, lo, own[lo:hi], np.array([hi - lo])
+        done = row + 1
+
+
 def run_table(docs: DataFrame, tokens: Tokens, length: int, gram: int) -> DataFrame:
     """One row per run: id, first window, number of windows, anchor, hash of the run."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, flat, ends in tokens(batch):
-                if len(ends) == 1:  # one long row, in parts
-                    pieces = [(lo, flat[lo:hi], np.array([hi - lo])) for lo, hi in parts(len(flat), length)]
-                else:
-                    pieces = [(0, flat, ends)]
-                for shift, some, its_ends in pieces:
+                for first, shift, some, its_ends in stretches(flat, ends, length):
                     row, start, count, anchor, whole = runs_of(some, its_ends, length, gram)
-                    columns = [ids[row], start + shift, count, anchor, whole]
+                    columns = [ids[row + first], start + shift, count, anchor, whole]
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "start", "count", "anchor", "run"])
 
     return docs.mapInArrow(work, "id long, start long, count long, anchor long, run long")

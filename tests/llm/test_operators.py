@@ -78,6 +78,29 @@ def test_suffix_dedup(docs, none):
     assert suffix_dedup.without_repeats(none).count() == 0
 
 
+def test_long_row_after_empty_ones_is_cut_in_the_same_parts(monkeypatch):
+    from granulake.llm import repeats
+
+    class Rows:
+        def mapInArrow(self, work, schema):  # noqa: N802
+            return work
+
+    monkeypatch.setattr(repeats, "PART", 1000)
+    draw = np.random.default_rng(2)
+    flat = draw.integers(0, 1 << 60, 5200).astype(np.uint64)
+    ends, ids = np.array([0, 0, 100, 3400, 3400, 3700, 5200]), np.arange(10, 17)
+    work = repeats.run_table(Rows(), lambda batch: [(ids, flat, ends)], 50, 12)
+    covered, begin = Counter(), dict(zip(ids.tolist(), [0, *ends[:-1].tolist()], strict=True))
+    stop = dict(zip(ids.tolist(), ends.tolist(), strict=True))
+    for out in work([None]):
+        for id, start, count in zip(*(out.column(n).to_pylist() for n in ("id", "start", "count")), strict=True):
+            covered.update((id, start + k) for k in range(count))
+            cuts = list(repeats.parts(stop[id] - begin[id], 50))
+            assert any(lo <= start and start + count - 1 <= hi - 50 for lo, hi in cuts), (id, start, count)
+    assert set(covered.values()) == {1}
+    assert len(covered) == sum(max(0, stop[i] - begin[i] - 49) for i in stop)
+
+
 def test_runs_cut_anywhere_give_the_same_windows():
     draw = np.random.default_rng(1)
     tokens = draw.integers(0, 3, 4000).astype(np.uint64) * np.uint64(suffix_dedup.MIX)
