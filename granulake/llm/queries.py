@@ -102,5 +102,37 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return joined(table(spark, sf, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    from granulake.llm.lexical_search import ranked
+
+    return ranked(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from granulake.llm.sentence_pieces import encode_decode
+
+    coded = encode_decode(table(spark, sf, "documents").select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        hex_digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    from granulake.llm.alignment import aligned
+
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    hashed = aligned(
+        table(spark, sf, "documents"), *files, groups=lambda text: F.when(text == "", "").otherwise(hex_digest(text))
+    )
+    return hashed.withColumnRenamed("groups", "groups_sha256")
+
+
 def queries() -> dict[str, Query]:
     return {name: value for name, value in globals().items() if name.startswith(("op", "language_")) and callable(value)}
