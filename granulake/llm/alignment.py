@@ -24,6 +24,7 @@ further columns do no harm.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -31,7 +32,6 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,15 +42,16 @@ from granulake.llm.chunk_codes import ChunkCodes, ranges
 from granulake.llm.common import pieces, saved
 from granulake.llm.sentence_pieces import BLANK, PieceModel
 
-#: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 2_000_000
+#: Bytes of text in a block (a longer text is a block of its own), and bytes aligned at a time.
+BLOCK_BYTES, PIECE_BYTES = 2_000_000, 300_000
 
 
 class ByteTokens:
     """A byte-level tokenizer without special tokens, read from a tokenizer file's bytes."""
 
-    #: How byte-level tokenizers of this kind cut a text before they merge; a fixed pattern.
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    #: White space, and the chunks no cut of the tokenizer looks beyond: white space with what follows it.
+    SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+    CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
     def __init__(self, file: bytes) -> None:
         from tokenizers import Tokenizer
@@ -60,13 +61,12 @@ class ByteTokens:
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
         size = tokenizer.get_vocab_size()
         self.bytes = [bytes(byte_of.get(c, 0) for c in tokenizer.id_to_token(i) or "") for i in range(size)]
-        self.pattern = regex.compile(self.PATTERN)
         self.codes = ChunkCodes(
             lambda chunks: [e.ids for e in tokenizer.encode_batch(chunks, add_special_tokens=False)]
         )
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return self.codes.tokens([self.pattern.findall(" " + t) for t in texts])
+        return self.codes.tokens([self.CHUNK.findall(" " + t) for t in texts])
 
 
 class PieceTokens:
@@ -81,21 +81,33 @@ class PieceTokens:
         return self.model.codes.tokens([self.model.chunk.findall(form) for form in forms])
 
 
+class Vocabulary:
+    """What each token of a tokenizer stands for, one after the other."""
+
+    def __init__(self, coder: ByteTokens | PieceTokens) -> None:
+        self.coder, self.said = coder, coder.bytes
+        self.sizes = np.array([len(b) for b in self.said], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(self.said), dtype=np.uint8)
+
+
 class Side:
     """One tokenizer's tokens of a batch: ids, where they start and end among the bytes of all texts, and their document."""
 
-    def __init__(self, coder: ByteTokens | PieceTokens, texts: list[str]) -> None:
-        self.ids, self.ends = coder.encode(texts)
-        self.coder = coder
-        self.sizes = np.array([len(b) for b in coder.bytes], dtype=np.int64)
+    def __init__(self, words: Vocabulary, texts: list[str]) -> None:
+        self.ids, self.ends = words.coder.encode(texts)
+        self.words, self.sizes = words, words.sizes
 
-    def holds(self, texts: list[bytes]) -> list[bool]:
+    def holds(self, texts: list[bytes]) -> np.ndarray:
         """Whether the tokens of each text stand for exactly these bytes."""
-        flat, said = self.ids.tolist(), self.coder.bytes
-        ends = self.ends.tolist()
-        return [
-            b"".join(map(said.__getitem__, flat[a:b])) == text for a, b, text in zip(ends, ends[1:], texts, strict=False)
-        ]
+        said = self.words.flat[ranges(self.words.starts[self.ids], self.sizes[self.ids])]
+        if np.array_equal(said, np.frombuffer(b"".join(texts), dtype=np.uint8)):
+            lengths = np.concatenate([[0], np.cumsum(self.sizes[self.ids])])[self.ends]
+            if np.array_equal(np.diff(lengths), [len(t) for t in texts]):
+                return np.ones(len(texts), dtype=bool)
+        flat, ends = self.ids.tolist(), self.ends.tolist()
+        parts = zip(ends, ends[1:], texts, strict=False)
+        return np.array([b"".join(map(self.words.said.__getitem__, flat[a:b])) == t for a, b, t in parts], dtype=bool)
 
     def keep(self, wanted: np.ndarray) -> None:
         """Lay out the tokens of the wanted documents; the others have none."""
@@ -126,20 +138,20 @@ class Aligner:
     """Both tokenizers of a task, and how their ids are written."""
 
     def __init__(self, file: bytes, model: bytes) -> None:
-        self.coders = (ByteTokens(file), PieceTokens(model))
+        self.words = (Vocabulary(ByteTokens(file)), Vocabulary(PieceTokens(model)))
         marks = ((",", "|"), (",", ";"))
         self.texts = [
-            np.array([f"{i}{mark}" for mark in own for i in range(len(coder.bytes))], dtype=object)
-            for coder, own in zip(self.coders, marks, strict=True)
+            np.array([f"{i}{mark}" for mark in own for i in range(len(words.said))], dtype=object)
+            for words, own in zip(self.words, marks, strict=True)
         ]
 
     def align(self, texts: list[str]) -> dict[str, np.ndarray | list]:
         """Of a batch of texts: numbers per document, groups as text, and all overlapping id pairs."""
-        sides = [Side(coder, texts) for coder in self.coders]
+        sides = [Side(words, texts) for words in self.words]
         wanted = [(" " + t).encode() if t else None for t in texts]
         whole = np.array([t is not None for t in wanted], dtype=bool)
         for side in sides:
-            whole &= np.array(side.holds([t or b"" for t in wanted]), dtype=bool)
+            whole &= side.holds([t or b"" for t in wanted])
         for side in sides:
             side.keep(whole)
         a, b = sides
@@ -154,18 +166,21 @@ class Aligner:
 
     def groups(self, a: Side, b: Side) -> dict[str, np.ndarray | list]:
         """Number of groups per document and their text: ids of A, a bar, ids of B, and a semicolon between groups."""
-        # both sides end at a group's end, and ends rise, so a group is numbered by the ends before it
-        common = np.intersect1d(a.stop, b.stop)
+        # how many sides end at each byte; where both do, a group ends, so a token's group is the number of ends before it
+        ending = np.zeros(1 + (int(a.stop[-1]) if len(a.stop) else 0), dtype=np.int8)
+        ending[a.stop] += 1
+        ending[b.stop] += 1
+        common = ending == 2
+        before = np.cumsum(common) - common
         codes, orders = [], []
         for part, side in enumerate((a, b)):
-            last = np.isin(side.stop, common)
-            codes.append(self.texts[part][side.ids + last * len(self.coders[part].bytes)])
-            orders.append(2 * np.searchsorted(common, side.stop) + part)
+            codes.append(self.texts[part][side.ids + common[side.stop] * len(side.words.said)])
+            orders.append(2 * before[side.stop] + part)
         order = np.argsort(np.concatenate(orders), kind="stable")
         written = np.concatenate(codes)[order].tolist()
         ends = (a.ends + b.ends).tolist()
         return {
-            "n_groups": np.bincount(a.doc[np.isin(a.stop, common)], minlength=len(a.ends) - 1),
+            "n_groups": np.bincount(a.doc[common[a.stop]], minlength=len(a.ends) - 1),
             "groups": ["".join(written[i:j])[:-1] for i, j in zip(ends, ends[1:], strict=False)],
         }
 
@@ -180,18 +195,27 @@ def _lists(ends: np.ndarray, values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
 
 
-def _block(found: dict, ids: pa.Array) -> list[pa.Array]:
-    """One block: its documents, and distinct pairs with the number of documents that hold them."""
-    n = len(found["n_a"])
+def _pairs_of_docs(found: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, pair and number of links of each id pair of a document, by document."""
     pairs, at = np.unique(found["link"], return_inverse=True)
     held, times = np.unique(found["link_doc"] * max(len(pairs), 1) + at, return_counts=True)
     doc, at = np.divmod(held, max(len(pairs), 1))
+    return doc, pairs[at], times
+
+
+def _block(pieces: list[tuple[dict, tuple, pa.Array]]) -> list[pa.Array]:
+    """One block of aligned pieces: its documents, and distinct pairs with the number of documents that hold them."""
+    counts = [len(found["n_a"]) for found, _, _ in pieces]
+    n = sum(counts)
+    doc = np.concatenate([own[0] + before for (_, own, _), before in zip(pieces, np.cumsum([0, *counts]).tolist(), strict=False)])
+    times = np.concatenate([own[2] for _, own, _ in pieces])
+    pairs, at = np.unique(np.concatenate([own[1] for _, own, _ in pieces]), return_inverse=True)
     n_docs = np.bincount(at, minlength=len(pairs))
     ends = np.searchsorted(doc, np.arange(n + 1))
     columns = {
-        "id": ids,
-        **{name: pa.array(found[name], pa.int64()) for name in ("n_a", "n_b", "n_groups")},
-        "groups": pa.array(found["groups"], pa.string()),
+        "id": pa.concat_arrays([ids for *_, ids in pieces]),
+        **{name: pa.array(np.concatenate([found[name] for found, *_ in pieces]), pa.int64()) for name in ("n_a", "n_b", "n_groups")},
+        "groups": pa.array([text for found, *_ in pieces for text in found["groups"]], pa.string()),
         "at": _lists(ends, pa.array(at, pa.int32())),
         "times": _lists(ends, pa.array(times, pa.int32())),
     }
@@ -220,10 +244,13 @@ def blocks(docs: DataFrame, byte_file: str, piece_file: str, id: str, text: str)
         both = aligner(file, model)
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for piece in pieces(batch, text, BLOCK_BYTES):
-                found = both.align([t or "" for t in piece.column(text).to_pylist()])
-                row = _block(found, piece.column(id))
-                yield pa.RecordBatch.from_arrays([pa.array([block]), *row], out.names)
+            for part in pieces(batch, text, BLOCK_BYTES):
+                done = []
+                for piece in pieces(part, text, min(PIECE_BYTES, BLOCK_BYTES)):
+                    found = both.align([t or "" for t in piece.column(text).to_pylist()])
+                    done.append((found, _pairs_of_docs(found), piece.column(id)))
+                    del found["link"], found["link_doc"]
+                yield pa.RecordBatch.from_arrays([pa.array([block]), *_block(done)], out.names)
                 block += 1
 
     return docs.select(F.col(f"`{id}`").alias(id), F.col(f"`{text}`").alias(text)).mapInArrow(run, out)

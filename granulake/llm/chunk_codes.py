@@ -14,7 +14,7 @@ from itertools import chain
 import numpy as np
 
 #: Chunks remembered at most; beyond it a task starts afresh, with the same results.
-KNOWN_CHUNKS = 400_000
+KNOWN_CHUNKS = 200_000
 
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
