@@ -8,7 +8,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from granulake.operators.ordering import with_position
 from granulake.session import working_path
 
 #: The six ASCII characters that separate words.
@@ -48,6 +50,19 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keyed_rows(docs: DataFrame, id: str, text: str, key: str) -> DataFrame:
+    """The rows with `key`, a whole number of each row's own, in the order of ids.
+
+    Whole-number ids that no two rows share, and that no row lacks, are the keys themselves.
+    Otherwise rows are numbered by id, rows of one id by their text, and rows without id last.
+    """
+    whole = isinstance(docs.schema[id].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    own = F.col(f"`{id}`")
+    if whole and docs.groupBy(own.alias("id")).agg(F.count("*").alias("n")).where("n > 1 or id is null").isEmpty():
+        return docs.withColumn(key, own.cast("long"))
+    return with_position(docs, [own.asc_nulls_last(), F.col(f"`{text}`").asc_nulls_first()], key)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

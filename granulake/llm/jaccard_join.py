@@ -19,14 +19,19 @@ bounds decide first: the difference of the two distances to the pivot and the
 number of bits in which the sets' bit maps differ are lower bounds of the distance,
 the sum of the two distances an upper one. Only pairs in between are computed.
 
+Most lists hold one set only. They are left out before anything is moved entry by
+entry: texts are read in chunks, each chunk sends the lists it opens as short codes to
+the buckets of all lists, once each, and gets back one bit per code, whether
+another chunk sent it too. What stays is exact again: only lists of two or more sets.
+
 Lists meet by equi-joins and grouped minima, maxima and counts; no list is
 gathered anywhere and no partner is dropped. N-grams and sets are compared by
-64-bit hash. Ids are not negative.
+64-bit hash.
 
 Null texts and texts without words: no n-grams, linked with nothing. Fewer words
 than n: the whole sequence is the one n-gram. Repeated rows: linked with each
-other; under one id they stay or go together. Rows without id are known by a negative number made of the text. Other
-columns are not read. Empty table: no rows.
+other, whatever their ids; the first of them, by id and text, stays. Ids of any type that has an order; rows
+without id come last. Other columns are not read. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -37,12 +42,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import saved, words
+from granulake.llm.common import keyed_rows, saved, words
 from granulake.llm.components import components
-from granulake.llm.repeats import BASE, MIX, mixed, row_key
+from granulake.llm.repeats import BASE, MIX, mixed
 from granulake.llm.substring_dedup import word_tokens
 
 NGRAM, PERCENT = 3, 90
@@ -148,6 +154,96 @@ def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema:
     return docs.select("id", hashes.alias("tokens")).mapInArrow(work, schema)
 
 
+#: Codes that meet in one bucket, on average.
+BUCKET_CODES = 2_000_000
+
+
+def set_chunks(docs: DataFrame, n: int, percent: int, text: str = "text") -> DataFrame:
+    """One row per chunk of texts of (id, text): ids, sizes and keys of their sets, and the lists that each set is in."""
+    longs = ["ids", "sizes", "keys", "listed", "lists"]
+    schema = ", ".join(["chunk long, n_lists long", *[f"{name} array<long>" for name in longs]])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for ids, flat, ends in word_tokens(batch):
+                sets = [ngrams(part, n) for part in np.split(flat, ends[:-1])]
+                lists = [signatures(grams, percent) for grams in sets]
+                columns = [
+                    ids,
+                    np.array([len(grams) for grams in sets]),
+                    np.array([set_key(grams) if len(grams) else 0 for grams in sets]),
+                    np.array([len(own) for own in lists]),
+                    np.concatenate(lists),
+                ]
+                arrays = [pa.ListArray.from_arrays([0, len(c)], pa.array(c, pa.int64())) for c in columns]
+                row = [pa.array([chunk]), pa.array([len(columns[-1])]), *arrays]
+                yield pa.RecordBatch.from_arrays(row, ["chunk", "n_lists", *longs])
+                chunk += 1
+
+    hashes = F.transform(words(lower_ascii(F.col(text))), lambda w: F.xxhash64(w))
+    return docs.select("id", hashes.alias("tokens")).mapInArrow(work, schema)
+
+
+def bucket_codes(lists: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and code of each list; equal lists have equal ones."""
+    plain = mixed(lists.view(np.uint64))
+    return ((plain >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), plain.astype(np.uint32)
+
+
+def sent_codes(chunks: DataFrame, n_buckets: int) -> DataFrame:
+    """Per chunk and bucket the codes of its lists, each once, in rising order."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, lists in zip(batch.column("chunk"), batch.column("lists"), strict=True):
+                bucket, code = bucket_codes(lists.values.to_numpy(), n_buckets)
+                both = np.unique(bucket << 32 | code)
+                used, starts = np.unique(both >> 32, return_index=True)
+                packed = [part.astype(np.uint32).tobytes() for part in np.split(both, starts[1:])]
+                columns = [pa.array(np.full(len(used), chunk.as_py())), pa.array(used), pa.array(packed[: len(used)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "bucket", "codes"])
+
+    return chunks.select("chunk", "lists").mapInArrow(work, "chunk long, bucket long, codes binary")
+
+
+def met_elsewhere(bucket: pa.Table) -> pa.Table:
+    """Per chunk of a bucket, a bit for each of its codes: whether another chunk sent it."""
+    sent = [np.frombuffer(codes.as_buffer(), dtype=np.uint32) for codes in bucket.column("codes")]
+    codes, counts = np.unique(np.concatenate(sent), return_counts=True)
+    shared = codes[counts > 1]
+    bits = [np.packbits(np.isin(own, shared, assume_unique=True)).tobytes() for own in sent]
+    return pa.table({"chunk": bucket.column("chunk"), "bucket": bucket.column("bucket"), "bits": pa.array(bits, pa.binary())})
+
+
+def shared_lists(chunks: DataFrame, n_buckets: int) -> DataFrame:
+    """(key, n, id, signatures) of the sets that are in lists which may hold another set; the other lists are left out."""
+    replies = sent_codes(chunks, n_buckets).groupBy("bucket").applyInArrow(met_elsewhere, "chunk long, bucket long, bits binary")
+    replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("replies"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, sizes, keys, listed, lists = (batch.column(c)[row].values.to_numpy() for c in ("ids", "sizes", "keys", "listed", "lists"))
+                bucket, code = bucket_codes(lists, n_buckets)
+                both, at, times = np.unique(bucket << 32 | code, return_inverse=True, return_counts=True)
+                met = times > 1
+                given = batch.column("replies")[row].values
+                number = given.field("bucket").to_numpy()
+                low, high = np.searchsorted(both, number << 32), np.searchsorted(both, (number + 1) << 32)
+                for lo, hi, bits in zip(low.tolist(), high.tolist(), given.field("bits"), strict=True):
+                    met[lo:hi] |= np.unpackbits(np.frombuffer(bits.as_buffer(), dtype=np.uint8), count=hi - lo).astype(bool)
+                stays = met[at]
+                ends = np.concatenate([[0], np.cumsum(stays)])[np.concatenate([[0], np.cumsum(listed)])]
+                some = np.flatnonzero(np.diff(ends))
+                offsets = np.concatenate([[0], ends[some + 1]])
+                columns = [pa.array(c[some], pa.int64()) for c in (keys, sizes, ids)]
+                columns.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(lists[stays])))
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "id", "signatures"])
+
+    return chunks.join(replies, "chunk").mapInArrow(work, "key long, n long, id long, signatures array<long>")
+
+
 def most_apart(a: str, b: str, percent: int) -> Column:
     """The largest number of n-grams in which linked sets of sizes `a` and `b` differ."""
     total = F.col(a) + F.col(b)
@@ -226,24 +322,35 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: in
 
 def joined(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """Each row's id, set size, and the smallest id reachable by links between sets of n-grams."""
+    keyed = keyed_rows(docs, id, text, "__key")
+    own = keyed.select(F.col("__key").alias("row_key"), F.col(f"`{id}`").alias("own_id"))
+    first = own.select(F.col("row_key").alias("component"), F.col("own_id").alias("component_id"))
+    found = joined_rows(keyed, text, n, percent).join(own, "row_key").join(first, "component")
+    return found.select(F.col("own_id").alias(id), "n_shingles", "component_id")
+
+
+def joined_rows(keyed: DataFrame, text: str, n: int, percent: int) -> DataFrame:
+    """`row_key`, `n_shingles` and `component`, the smallest key reachable, of rows with a `__key`."""
     if n < 1 or not 1 <= percent <= 99:
         raise ValueError(f"{n}-grams, {percent} percent")
-    keyed = docs.select(F.col(id).alias("own_id"), row_key(id, text).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = over_sets(
-        keyed, lambda i, g: (i, len(g), set_key(g) if len(g) else None, signatures(g, percent).tolist()), "id long, n long, key long, signatures array<long>", n=n
-    )
-    rows = saved(rows, "set-signatures")
+    keyed = keyed.select(F.col("__key").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    chunks = saved(set_chunks(keyed.select("id", "text"), n, percent), "set-chunks")
+    sets = chunks.select(F.explode(F.arrays_zip("ids", "sizes", "keys")).alias("s"))
+    rows = saved(sets.select(F.col("s.ids").alias("id"), F.col("s.sizes").alias("n"), F.when(F.col("s.sizes") > 0, F.col("s.keys")).alias("key")), "set-rows")
     classes = saved(rows.where("key is not null").groupBy("key").agg(F.min("id").alias("id")), "set-classes")
-    links = linked_classes(rows.where(F.size("signatures") > 0), classes, keyed.select("id", "text"), n, percent)
+    n_buckets = 64 + (chunks.agg(F.sum("n_lists")).first()[0] or 0) // BUCKET_CODES
+    # of equal sets one speaks
+    listed = saved(shared_lists(chunks, n_buckets).join(classes, ["key", "id"], "left_semi").drop("id"), "shared-lists")
+    links = linked_classes(listed, classes, keyed.select("id", "text"), n, percent)
     ends = links.join(classes.select(F.col("key").alias("a"), F.col("id").alias("u")), "a").join(classes.select(F.col("key").alias("b"), F.col("id").alias("v")), "b")
     groups = components(ends.select("u", "v"))
     named = classes.join(groups, F.col("id") == F.col("node"), "left").select("key", F.coalesce("component", "id").alias("component_id"))
     own = rows.select("id", "n", "key").join(named, "key", "left")
-    return own.select(F.when(F.col("id") >= 0, F.col("id")).alias(id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"), F.col("id").alias("row_key"))
+    return own.select(F.col("id").alias("row_key"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component"))
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", n: int = NGRAM, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, that are the first of their component."""
-    first = joined(docs, id, text, n, percent).where(F.col("row_key") == F.col("component_id")).select(F.col("row_key").alias("__first_key")).distinct()
-    first = saved(first, "first-of-group")
-    return docs.join(first, row_key(id, text) == F.col("__first_key"), "left_semi")
+    keyed = keyed_rows(docs, id, text, "__key")
+    first = joined_rows(keyed, text, n, percent).where("row_key = component").select(F.col("row_key").alias("__key"))
+    return keyed.join(saved(first, "first-of-group"), "__key", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,10 +6,10 @@ the input. How windows are counted is told in `repeats`; what is removed is give
 as maximal intervals.
 
 Words are separated by ASCII white space and otherwise taken as they are. Null and
-empty texts, and texts shorter than a window, lose nothing. A row without id comes
-before all others and is known by its text. Rows repeated under one id are not
-earlier than each other; ids are otherwise taken to be unique. Other columns pass
-through, whatever their names. Empty table: no rows.
+empty texts, and texts shorter than a window, lose nothing. Ids may be of any type
+that has an order. Rows of one id follow each other by text (the first of repeated
+rows keeps its words), rows without id come after all others. Other columns are
+not read, whatever their names. Empty table: no rows.
 """
 
 from __future__ import annotations
@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import words
-from granulake.llm.repeats import covered, maximal, repeated_spans, row_key
+from granulake.llm.common import keyed_rows, words
+from granulake.llm.repeats import covered, maximal, repeated_spans
 
 LENGTH = 50
 #: Words of an anchor gram.
@@ -50,7 +50,8 @@ def word_tokens(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray,
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Each row's key and words, kept text, and removed intervals (first word, word after the last)."""
-    keyed = docs.select(row_key(id, text).alias("id"), F.col(id).alias("own_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    numbered = keyed_rows(docs, id, text, "__key")
+    keyed = numbered.select(F.col("__key").alias("id"), F.col(f"`{id}`").alias("own_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     hashes = F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("tokens")
     prepare = lambda rows: rows.select(hashes, *[n for n in rows.columns if n != "text"])
     spans = repeated_spans(keyed.select("id", "text"), prepare, word_tokens, length, gram, BLOCK, earlier=True)

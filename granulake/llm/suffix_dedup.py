@@ -12,9 +12,9 @@ for groups still undecided. Suffixes with consecutive starts travel as one row,
 the table is about a hundredth of the number of suffixes, and no group is gathered
 in one task.
 
-Null text: empty. Texts shorter than a window lose nothing. A row without id is
-known by its text. Rows repeated under one id are copies of each other, and both
-lose what they share; ids are otherwise taken to be unique. Removed runs may cut a character;
+Null text: empty. Texts shorter than a window lose nothing. Rows may have any id, or
+none, or share one: each row is a text of its own, so repeated rows are copies of
+each other and both lose what they share. Removed runs may cut a character;
 the kept text as bytes is `kept`. Other columns pass through `without_repeats`.
 Empty table: no rows.
 """
@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import pieces
-from granulake.llm.repeats import MIX, covered, maximal, mixed, repeated_spans, row_key
+from granulake.llm.common import keyed_rows, pieces
+from granulake.llm.repeats import MIX, covered, maximal, mixed, repeated_spans
 
 LENGTH = 200
 #: Bytes of an anchor gram.
@@ -67,7 +67,9 @@ def cut_repeats(
 
     What is kept is bytes, or with `as_text` a text without the characters that were cut.
     """
-    keyed = docs.select(row_key(id, text).alias("id"), F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    numbered = keyed_rows(docs, id, text, "__key")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = numbered.select(F.col("__key").alias("id"), row.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = repeated_spans(keyed.select("id", "text"), lambda rows: rows, byte_tokens, length, gram, BLOCK, earlier=False)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
