@@ -24,6 +24,7 @@ further columns do no harm.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -53,17 +54,26 @@ class ByteTokens:
     SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
     CHUNK = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 
+    #: How byte-level tokenizers of this kind cut a text before they merge; a fixed pattern.
+    CUTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
     def __init__(self, file: bytes) -> None:
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        tokenizer = Tokenizer.from_str(file.decode())
-        tokenizer.encode_special_tokens = True
+        spec = json.loads(file)
+        vocabulary = spec["model"]["vocab"]
+        added = {token["content"] for token in spec["added_tokens"]}
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
-        size = tokenizer.get_vocab_size()
-        self.bytes = [bytes(byte_of.get(c, 0) for c in tokenizer.id_to_token(i) or "") for i in range(size)]
-        self.codes = ChunkCodes(
-            lambda chunks: [e.ids for e in tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        )
+        self.bytes = [b""] * (1 + max(vocabulary.values()))
+        for token, number in vocabulary.items():
+            if token not in added:
+                self.bytes[number] = bytes(map(byte_of.__getitem__, token))
+        merged = ("".join(m if isinstance(m, list) else m.split(" ")) for m in spec["model"]["merges"])
+        if any(vocabulary[token] != 256 + i for i, token in enumerate(merged)):
+            raise ValueError("the ids of a byte-level vocabulary must be in the order of its merges")
+        ranks = {said: number for number, said in enumerate(self.bytes) if said}
+        merger = tiktoken.Encoding("byte-level", pat_str=self.CUTS, mergeable_ranks=ranks, special_tokens={})
+        self.codes = ChunkCodes(lambda chunks: list(map(merger.encode_ordinary, chunks)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return self.codes.tokens([self.CHUNK.findall(" " + t) for t in texts])
