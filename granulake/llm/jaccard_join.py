@@ -39,6 +39,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -111,15 +112,15 @@ def bit_map(grams: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-def signatures(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Hashes of the blocks under which a set is listed."""
+def signatures(grams: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[int], list[int]]:
+    """Hashes of the blocks under which a set is listed; of each size part, how many there are and how many a linked set shares at least."""
     size = len(grams)
     if size < smallest(percent):
-        return np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.int64), [], []
     listed = [size_part(size, percent)]
     while max(smallest(percent), -(-size * percent // 100)) < listed[-1][0]:
         listed.append(size_part(listed[-1][0] - 1, percent))
-    out = []
+    out, counts, needs = [], [], []
     for low, _, differ in listed:
         m = blocks(differ)
         # hash ranges: the n-grams are sorted, so each block is a stretch of them
@@ -128,15 +129,44 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         cuts = np.concatenate([[0], edges, [size]])
         content = np.diff(sums[cuts])
         used = np.diff(cuts) > 0
-        if (~used).sum() >= m - differ:
-            used[:] = True
+        # of the blocks that are equal in linked sets, some may be without n-grams
+        need = m - differ - int((~used).sum())
+        if need <= 0:
+            used[:], need = True, m - differ
+        counts.append(int(used.sum()))
+        needs.append(need)
         number = np.arange(m, dtype=np.uint64) + np.uint64(low << 32)
         out.append(mixed(content + mixed(number * np.uint64(MIX)))[used])
-    return np.concatenate(out).view(np.int64)
+    return np.concatenate(out).view(np.int64), counts, needs
 
 
-def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text", n: int = NGRAM) -> DataFrame:
-    """`rows(id, n-grams)` of each text of (id, text)."""
+#: Bits of the map of wanted ids: its size, 8 MB, is the same for any number of ids.
+MAP_BITS = 1 << 26
+
+
+def marked(ids: DataFrame) -> np.ndarray:
+    """A bit map of hashed ids: an id whose bit is 0 is not among them."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)) + 1
+    found = ids.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("position"))
+    flags = np.zeros(MAP_BITS // 8, dtype=np.uint8)
+    for row in found.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")).collect():
+        part = np.frombuffer(row.bits, dtype=np.uint8)
+        flags[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
+    return flags
+
+
+def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text", n: int = NGRAM, wanted: np.ndarray | None = None) -> DataFrame:
+    """`rows(id, n-grams)` of each text of (id, text); with a bit map of the wanted ids, of these and the few others it cannot tell from them."""
+    if wanted is not None:
+        flags = docs.sparkSession.sparkContext.broadcast(wanted)
+        some = docs.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)))
+
+        def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bit = batch.column("bit").to_numpy()
+                yield batch.filter(pa.array(flags.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0))
+
+        docs = some.mapInArrow(told, some.schema)
     hashes = F.transform(words(lower_ascii(F.col(text))), lambda w: F.xxhash64(w))
     types = [f for f in schema.split(", ")]
     names = [t.split(" ")[0] for t in types]
@@ -159,8 +189,12 @@ BUCKET_CODES = 2_000_000
 
 
 def set_chunks(docs: DataFrame, n: int, percent: int, text: str = "text") -> DataFrame:
-    """One row per chunk of texts of (id, text): ids, sizes and keys of their sets, and the lists that each set is in."""
-    longs = ["ids", "sizes", "keys", "listed", "lists"]
+    """One row per chunk of texts of (id, text): ids, sizes and keys of their sets, and the lists that each set is in.
+
+    `parts` is the number of size parts of each set; for each of these `counts` has the number of lists and `needs` how many
+    of them a linked set shares.
+    """
+    longs = ["ids", "sizes", "keys", "parts", "counts", "needs", "lists"]
     schema = ", ".join(["chunk long, n_lists long", *[f"{name} array<long>" for name in longs]])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,12 +202,14 @@ def set_chunks(docs: DataFrame, n: int, percent: int, text: str = "text") -> Dat
         for batch in batches:
             for ids, flat, ends in word_tokens(batch):
                 sets = [ngrams(part, n) for part in np.split(flat, ends[:-1])]
-                lists = [signatures(grams, percent) for grams in sets]
+                lists, counts, needs = zip(*[signatures(grams, percent) for grams in sets], strict=True)
                 columns = [
                     ids,
-                    np.array([len(grams) for grams in sets]),
-                    np.array([set_key(grams) if len(grams) else 0 for grams in sets]),
-                    np.array([len(own) for own in lists]),
+                    [len(grams) for grams in sets],
+                    [set_key(grams) if len(grams) else 0 for grams in sets],
+                    [len(own) for own in counts],
+                    list(chain.from_iterable(counts)),
+                    list(chain.from_iterable(needs)),
                     np.concatenate(lists),
                 ]
                 arrays = [pa.ListArray.from_arrays([0, len(c)], pa.array(c, pa.int64())) for c in columns]
@@ -217,14 +253,19 @@ def met_elsewhere(bucket: pa.Table) -> pa.Table:
 
 
 def shared_lists(chunks: DataFrame, n_buckets: int) -> DataFrame:
-    """(key, n, id, signatures) of the sets that are in lists which may hold another set; the other lists are left out."""
+    """(key, n, id, signatures) of the sets that may have a link; lists that hold no other set are left out.
+
+    Linked sets share a number of lists of a size part, so one that shares fewer lists of it with any others has no link there.
+    """
     replies = sent_codes(chunks, n_buckets).groupBy("bucket").applyInArrow(met_elsewhere, "chunk long, bucket long, bits binary")
     replies = replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("replies"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, sizes, keys, listed, lists = (batch.column(c)[row].values.to_numpy() for c in ("ids", "sizes", "keys", "listed", "lists"))
+                ids, sizes, keys, parts, counts, needs, lists = (
+                    batch.column(c)[row].values.to_numpy() for c in ("ids", "sizes", "keys", "parts", "counts", "needs", "lists")
+                )
                 bucket, code = bucket_codes(lists, n_buckets)
                 both, at, times = np.unique(bucket << 32 | code, return_inverse=True, return_counts=True)
                 met = times > 1
@@ -234,7 +275,10 @@ def shared_lists(chunks: DataFrame, n_buckets: int) -> DataFrame:
                 for lo, hi, bits in zip(low.tolist(), high.tolist(), given.field("bits"), strict=True):
                     met[lo:hi] |= np.unpackbits(np.frombuffer(bits.as_buffer(), dtype=np.uint8), count=hi - lo).astype(bool)
                 stays = met[at]
-                ends = np.concatenate([[0], np.cumsum(stays)])[np.concatenate([[0], np.cumsum(listed)])]
+                part = np.repeat(np.arange(len(counts)), counts)
+                stays &= (np.bincount(part, weights=stays, minlength=len(counts)) >= needs)[part]
+                listed = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(parts)])]
+                ends = np.concatenate([[0], np.cumsum(stays)])[listed]
                 some = np.flatnonzero(np.diff(ends))
                 offsets = np.concatenate([[0], ends[some + 1]])
                 columns = [pa.array(c[some], pa.int64()) for c in (keys, sizes, ids)]
@@ -288,10 +332,9 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: in
     pivots = entries.join(weights, "key").groupBy("list").agg(F.max(F.struct("weight", "key", "n")).alias("top"))
     entries = saved(entries.join(pivots.select("list", F.col("top.key").alias("pivot"), F.col("top.n").alias("n_pivot")), "list"), "pivoted-lists")
 
-    wanted = entries.select("key").distinct().join(classes, "key").select("id", F.col("key").alias("wanted"))
-    texts = docs.join(wanted, "id", "left_semi")
-    sets = over_sets(texts, lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>", n=n)
-    sets = saved(sets.dropDuplicates(["key"]), "sets")
+    wanted = entries.select("key").distinct().join(classes, "key").select("id")
+    sets = over_sets(docs, lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>", n=n, wanted=marked(wanted))
+    sets = saved(sets, "sets")
 
     # distances to the pivots
     reach = entries.where("key <> pivot").where(in_size_reach("n", "n_pivot", percent))
