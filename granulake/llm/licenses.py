@@ -8,8 +8,9 @@ lie inside it, so wrapped and one-line forms give the same identifiers; of sever
 sentences that start at one place the longest counts. Signs, list marks and `dnl` or
 `rem` at the start of a line are dropped, and holders named inside BSD sentences do not matter. Ordered rules, most specific first, each name a licence and the
 identifiers that follow one another in it; a rule takes what it matches out of the
-sequence, so a shorter rule does not match the same sentences again. Identifiers
-no rule takes make the result UNKNOWN.
+sequence, so a shorter rule does not match the same sentences again. Any other sentence
+between two known ones parts them, so an added clause is not overlooked; copyright lines,
+list numbers and addresses are no sentences. Identifiers no rule takes make the result UNKNOWN.
 
 All of it is an expression on the row: nothing is shuffled, and the tables are
 fixed values, far below any broadcast limit.
@@ -75,6 +76,13 @@ SENTENCES = {
     "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
     "isc-no-liability": "in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "asf-agreements": "licensed to the apache software foundation asf under one or more contributor license agreements",
+    "asf-notice": "see the notice file distributed with this work for additional information regarding copyright ownership",
+    "asf-licenses": "the asf licenses this file to you under the apache license version 2.0 the license",
+    "gpl-3-only-of": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 3 of the license",
+    "gpl-3-only-as": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 3",
+    "gpl-3-only": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation",
+    "gpl-2-only-of": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2 of the license",
 }
 
 #: Licence and the identifiers that follow one another in it, tried in this order.
@@ -91,6 +99,10 @@ RULES = [
             ("GPL-3.0-or-later", "gpl-free", "gpl-hope", "gpl-see", "gpl-copy"),
             ("GPL-2.0-or-later", "gpl-2-free", "gpl-hope", "gpl-see", "gpl-copy"),
             ("GPL-2.0-only", "gpl-2-only", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("GPL-2.0-only", "gpl-2-only-of", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("GPL-3.0-only", "gpl-3-only-of", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("GPL-3.0-only", "gpl-3-only-as", "gpl-hope", "gpl-see", "gpl-copy"),
+            ("GPL-3.0-only", "gpl-3-only", "gpl-hope", "gpl-see", "gpl-copy"),
             ("LGPL-2.1-or-later", "lgpl-2.1-free", "lgpl-hope", "lgpl-see", "lgpl-copy"),
             ("LGPL-3.0-or-later", "lgpl-3-free", "lgpl-hope", "lgpl-see", "lgpl-copy"),
             ("LGPL-3.0-or-later", "lgpl-3-program", "gpl-hope", "lgpl-see", "lgpl-copy-program"),
@@ -99,6 +111,7 @@ RULES = [
         for n in (4, 3, 2, 1)
         if first != "gpl-free" or n == 4
     ),
+    *(("Apache-2.0", [*before, "asf-licenses", "apache-comply", "apache-copy", "apache-as-is", "apache-see"][:n]) for before in (["asf-agreements", "asf-notice"], []) for n in (7, 5, 3, 1) if n > len(before)),
     ("ISC", ["isc-grant", "isc-as-is", "isc-no-liability"]),
     ("ISC", ["isc-grant", "isc-as-is"]),
     ("ISC", ["isc-grant"]),
@@ -131,6 +144,18 @@ RULES = [
     ("all-rights-reserved", ["all-rights"]),
 ]
 
+#: Licences that an identifier line names, each as a sentence and a rule of its own.
+for licence in ["MIT", "Apache-2.0", "ISC", "MPL-2.0", "Unlicense", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0"] + [
+    f"{name}-{which}" for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for which in ("only", "or-later")
+]:
+    SENTENCES[f"spdx-{licence.lower()}"] = f"spdx license identifier {licence.lower().replace('-', ' ')}"
+    RULES.append((licence, [f"spdx-{licence.lower()}"]))
+
+#: In a sequence: any sentence that is not known.
+OTHER = "~"
+#: No sentences: what has no word, and copyright lines.
+NO_SENTENCE = "^(?!.*[a-z]{3})|^(?:portions )?(?:copyright|c) "
+
 #: Signs of the normal form: the end of a sentence, and a place where one may end or go on.
 END, MAYBE = "\x01", "\x02"
 AFTER = "[\"'”’)\\]}*/]*+(?=[ \\t\\n\\x0b\\f]|\\z)"
@@ -180,11 +205,13 @@ def normal(text: Column) -> Column:
     return plain
 
 
-def known_sentences(text: Column) -> Column:
-    """The known sentences of a text, in order."""
+def all_sentences(text: Column) -> Column:
+    """The sentences of a text in order: known ones whole, others as they are cut."""
     longest = sorted(SENTENCES.values(), key=len, reverse=True)
     each = "|".join(gapped(s.replace(".", "\\.")) for s in longest)
-    found = F.regexp_extract_all(normal(text), F.lit(f"(?<=^ ?|[{END}{MAYBE}] ?)(?:{each})(?= ?(?:[{END}{MAYBE}]|\\z))"), F.lit(0))
+    cut = f"[{END}{MAYBE}]"
+    some = f"(?<=^ ?|{cut} ?)(?:(?:{each})(?= ?(?:{cut}|\\z))|[a-z0-9.][^{END}{MAYBE}]*+)"
+    found = F.regexp_extract_all(normal(text), F.lit(some), F.lit(0))
     return F.transform(found, lambda s: F.regexp_replace(s, GAP, " "))
 
 
@@ -198,16 +225,19 @@ def take(state: Column, rule: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Id, sentence identifiers in order, licences in rule order, and the verdict of each text."""
     known = F.create_map(*[F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)])
-    found = docs.select(F.col(id), F.transform(known_sentences(F.col(text)), lambda s: known[s]).alias("sentence_ids"))
+    name = lambda s: F.coalesce(known[s], F.when(~F.rlike(s, F.lit(NO_SENTENCE)), F.lit(OTHER)))
+    sequence = F.filter(F.transform(all_sentences(F.col(text)), name), lambda x: x.isNotNull())
+    found = docs.select(F.col(id), sequence.alias("sequence"))
+    found = found.withColumn("sentence_ids", F.filter("sequence", lambda x: x != OTHER))
 
     # a sequence is text with a bar on either side of each identifier: |a||b|
-    start = F.concat_ws("", F.transform("sentence_ids", lambda x: F.concat(F.lit("|"), x, F.lit("|"))))
+    start = F.concat_ws("", F.transform("sequence", lambda x: F.concat(F.lit("|"), x, F.lit("|"))))
     state = F.struct(start.alias("rest"), F.array().cast("array<string>").alias("names"))
     rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{i}|" for i in ids)).alias("sought")) for name, ids in RULES])
     state = F.aggregate(rules, state, take)
     nothing = F.struct(F.lit("").alias("rest"), F.array().cast("array<string>").alias("names"))
     matched = found.withColumn("state", F.when(F.size("sentence_ids") > 0, state).otherwise(nothing))
     names = F.array_distinct("state.names")
-    left = F.translate("state.rest", "|", "") != ""
+    left = F.translate("state.rest", f"|{OTHER}", "") != ""
     verdict = F.when(F.size("sentence_ids") == 0, "NONE").when(left | (F.size(names) == 0), "UNKNOWN").otherwise(F.array_join(names, " AND "))
     return matched.select(id, "sentence_ids", names.alias("licenses"), verdict.alias("verdict"))

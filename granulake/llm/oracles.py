@@ -75,13 +75,17 @@ plain AS (
   SELECT doc_id, string_split(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[.!?:]+([ \t\n\x0b\f\r]+|$)', chr(10), 'g'),
     '[^a-z0-9.\n]+', ' ', 'g'), chr(10)) AS parts FROM documents),
 each AS (SELECT doc_id, trim(unnest(parts)) AS sentence, unnest(range(len(parts))) AS i FROM plain),
-found AS (SELECT doc_id, list(name ORDER BY i) AS ids FROM each JOIN known USING (sentence) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, i, coalesce(name, CASE WHEN regexp_matches(sentence, '[a-z]{{3}}') AND NOT regexp_matches(sentence, '^(portions )?(copyright|c) ') THEN '~' END) AS name
+  FROM each LEFT JOIN known USING (sentence)),
+found AS (SELECT doc_id, list(name ORDER BY i) AS ids FROM named WHERE name IS NOT NULL GROUP BY doc_id),
 r0 AS (
-  SELECT doc_id, coalesce(ids, []::VARCHAR[]) AS ids, array_to_string(list_transform(coalesce(ids, []::VARCHAR[]), lambda x: '|' || x || '|'), '') AS rest,
-    []::VARCHAR[] AS names FROM documents LEFT JOIN found USING (doc_id)),
+  SELECT doc_id, list_filter(coalesce(ids, []::VARCHAR[]), lambda x: x <> '~') AS ids,
+    array_to_string(list_transform(coalesce(ids, []::VARCHAR[]), lambda x: '|' || x || '|'), '') AS rest, []::VARCHAR[] AS names
+  FROM documents LEFT JOIN found USING (doc_id)),
 {", ".join(steps)}
 SELECT doc_id, array_to_string(ids, ' ') AS sentence_ids, array_to_string(names, ' ') AS licenses,
-  CASE WHEN len(ids) = 0 THEN 'NONE' WHEN replace(rest, '|', '') <> '' OR len(names) = 0 THEN 'UNKNOWN' ELSE array_to_string(names, ' AND ') END AS verdict
+  CASE WHEN len(ids) = 0 THEN 'NONE' WHEN translate(rest, '|~', '') <> '' OR len(names) = 0 THEN 'UNKNOWN' ELSE array_to_string(names, ' AND ') END AS verdict
 FROM r{len(RULES)}
 """
 

@@ -1,25 +1,32 @@
-"""Operator 9: toxicity by a subsequence string-kernel SVM with Nyström landmarks.
-
-The kernel of two words sums, over common subsequences of `ORDER` letters that lie
-within `SPAN` letters, a decay per letter spanned, so gaps and inserted characters
-lower a match instead of losing it. Words are mapped to their kernels with landmark words (whitened:
-Nyström), where a linear SVM is trained. A sentence scores as its worst word does,
-and a text as its worst sentences.
-
-Training. Sentences take the label of their text. For every word, the labelled
-training sentences of either label that hold it are counted in Spark, each distinct
-sentence once. Words surely likelier in toxic sentences are positives, words no
-likelier there negatives; the SVM is fitted on at most `POSITIVES` and `NEGATIVES` of them (a
-documented bound), landmarks are the `LANDMARKS` most telling positives. A
-logistic curve on the text's worst words, fitted on at most `CALIBRATED` labelled
-texts, makes the score a probability.
-
-Only the text is read by the score. Runs of at least three single characters count
-as one more word; words longer than `WORD_PIECE` are read in overlapping pieces.
-
-Null and empty texts: no words, scored by the curve like a text without any bad
-word. Null labels: not used; an id labelled twice takes the higher label. Without
-positive or negative examples every score is the share of toxic labels. Repeated
+"""Operator 9: toxicity by a subsequence string-kernel SVM with Nyström landmarks, over sentences.
+
+The kernel of a stretch of text and a landmark sums, over common subsequences of
+`ORDER` letters that lie within `SPAN` places, a decay per place spanned. A gap, an
+inserted character or a blank inside an insult costs places and lowers a match
+instead of losing it. A sentence is compared through its stretches, letter by letter
+across blanks: of all stretches of `WINDOW` starting places the worst one speaks for it.
+The SVM is linear in the whitened kernels with the landmarks (Nyström), so its decision
+is one table of weights by subsequence, and all stretches of a text are decided
+in one pass over its letters.
+
+Training. Sentences take the label of their text. Of the labelled rows that are not held
+out about `TOXIC_ROWS` and `OTHER_ROWS` are drawn by hash of their id (a documented bound:
+their ids alone are broadcast, their texts are not shuffled), and of their distinct
+sentences about `SENTENCES` of either label, long ones in overlapping parts. Landmarks are the
+words surely likelier in sentences labelled toxic. The SVM is fitted in rounds: each
+sentence is shown by its worst stretch so far, and from the second round on each
+toxic text by its worst sentence, since most sentences of a toxic text are
+harmless. A logistic curve over the two worst sentences of a text, the number of bad
+ones and of all, fitted on the drawn rows, makes the score a probability.
+
+Before letters are compared, marks are dropped, spelled-out words (`i d i o t`) are
+joined and digits that stand for letters are read as these. The blank counts as a
+letter, so the start and end of a word count. Only the text is read by
+the score.
+
+Null and empty texts: no sentences, scored by the curve like a text without any bad
+one. Null labels: not used; an id labelled twice takes the higher label. Without
+toxic or other sentences every score is the share of toxic labels. Repeated
 rows: each its own result. Empty table: no rows. Other columns are not read.
 """
 
@@ -34,163 +41,236 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import pieces, saved, words
+from granulake.llm.common import pieces, saved
 
-ORDER, SPAN, DECAY = 3, 6, 0.5
-LANDMARKS, POSITIVES, NEGATIVES, CALIBRATED = 64, 1_000, 8_000, 20_000
-#: A positive word: so many times likelier in toxic sentences, or in most of its own; and evidence
+ORDER, SPAN, DECAY, WINDOW = 3, 6, 0.5, 8
+TOXIC_ROWS, OTHER_ROWS, SENTENCES = 4_000, 12_000, 30_000
+LANDMARKS, ROUNDS = 128, 4
+#: A telling word: so many times likelier in toxic sentences, or in most of its own; and evidence
 #: for that beyond the log of the number of words (all are tested) by so much.
 TELLING, SURER = 4.0, 1.0
-WORD_PIECE = 24
-KNOWN_WORDS = 600_000
+#: Characters of a training example; longer sentences are shown in parts that overlap by half.
+EXAMPLE = 400
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
-PIECE_BYTES = 2_000_000
-TRIM = ".,;:!?|\"'()[]{}<>"
-SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
-SENTENCE_END = "[.!?\n]+"
+PIECE_BYTES = 500_000
+SUBSEQUENCES = 1 << 18
+
+#: A sentence ends at marks before a blank, or at a line end.
+END = re.compile(r"[.!?]+(?=\s|$)|\n")
+MARK = re.compile(r"[^\w\s]+")
+MARK_INSIDE = re.compile(r"(?<=\w)[^\w\s]+(?=\w)")
+SPELLED = re.compile(r"(?<!\w)\w(?:\s\w){2,}(?!\w)")
+DIGITS = str.maketrans("013457@$", "oieastas")
+#: Places between two sentences, so that no subsequence reaches over.
+APART = "\0" * (SPAN + WINDOW)
+BLANK = 63
+
+
+def plain(text: str) -> str:
+    """Lower case, without marks inside words, spelled-out words joined, digits as letters."""
+    low = MARK_INSIDE.sub("", text.lower().translate(DIGITS))
+    return SPELLED.sub(lambda found: re.sub(r"\s", "", found.group()), low)
+
+
+def sentences(text: str) -> list[str]:
+    """Sentences as words between single blanks, one before the first and one after the last."""
+    words = [MARK.sub("", s).split() for s in END.split(plain(text))]
+    return [f" {' '.join(own)} " for own in words if own]
 
 
 def letter_codes(text: str) -> np.ndarray:
-    """Letters as numbers below 64: a to z on their own, others share what is left; a space is 0."""
+    """Letters as numbers below 64: a to z and the blank on their own, others share what is left; 0 is no letter."""
     points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
     latin = (points >= 97) & (points <= 122)
-    return np.where(points == 32, 0, np.where(latin, points - 96, 27 + points % 37)).astype(np.int64)
+    other = np.where(points == 32, BLANK, 27 + points % 36)
+    return np.where(latin, points - 96, np.where(points > 0, other, 0)).astype(np.int32)
 
 
-def subsequences(items: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word, subsequence and decay, summed over occurrences, of every subsequence of `ORDER` letters within `SPAN` letters."""
-    gap = " " * SPAN
-    letters = letter_codes(gap.join(items) + gap)
-    sizes = np.fromiter(map(len, items), dtype=np.int64, count=len(items))
-    owner = np.repeat(np.arange(len(items)), sizes + SPAN)
-    keys, decays = [], []
+def subsequences(codes: np.ndarray) -> Iterator[tuple[float, np.ndarray]]:
+    """For each way to leave places out: its decay, and the subsequence from every place on; 0 is none."""
+    n = len(codes) - SPAN
     for one in range(1, SPAN - 1):
+        pair = np.where((codes[:n] > 0) & (codes[one : one + n] > 0), (codes[:n] << 12) | (codes[one : one + n] << 6), 0)
         for two in range(1, SPAN - one):
-            last = len(letters) - one - two
-            x, y, z = letters[:last], letters[one : one + last], letters[one + two :]
-            at = np.flatnonzero((x > 0) & (y > 0) & (z > 0))  # words are further apart than SPAN
-            keys.append((owner[at] << 18) | (x[at] << 12) | (y[at] << 6) | z[at])
-            decays.append(np.full(len(at), DECAY ** (one + two + 1), dtype=np.float32))
-    key, decay = np.concatenate(keys), np.concatenate(decays)
-    order = np.argsort(key, kind="stable")
-    key, decay = key[order], decay[order]
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    return key[first] >> 18, key[first] & ((1 << 18) - 1), np.add.reduceat(decay, first) if len(first) else decay
-
-
-def per_word(owner: np.ndarray, values: np.ndarray, count: int) -> np.ndarray:
-    return np.bincount(owner, weights=values, minlength=count)
-
-
-def kernels(items: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised kernels (word, landmark)."""
-    owner, sub, decay = subsequences(items)
-    own = np.sqrt(per_word(owner, decay * decay, len(items)))
-    out = np.zeros((len(items), len(landmarks)))
-    for j, mark in enumerate(landmarks):
-        table = landmark_table([mark], np.ones(1))
-        out[:, j] = per_word(owner, decay * table[sub], len(items)) / np.maximum(own, 1e-12)
-    return out
-
-
-def landmark_table(landmarks: list[str], weights: np.ndarray) -> np.ndarray:
-    """The weighted sum of the landmarks' normalised subsequence decays, by subsequence."""
-    owner, sub, decay = subsequences(landmarks)
-    norm = np.sqrt(per_word(owner, decay * decay, len(landmarks)))
-    table = np.zeros(1 << 18)
-    np.add.at(table, sub, decay * (weights / np.maximum(norm, 1e-12))[owner])
-    return table
+            third = codes[one + two : one + two + n]
+            yield DECAY ** (one + two + 1), np.where((pair > 0) & (third > 0), pair | third, 0)
 
 
-@dataclass
-class WordModel:
-    """The decision of a word: its normalised kernels with the landmarks times their weights, plus a bias.
+class Landmarks:
+    """Decays of the landmarks' subsequences, scaled so that each one's kernel with itself is 1.
 
-    The weighted landmarks are summed up by subsequence, so one pass over a word's
-    subsequences gives all kernels at once.
+    `at` gives each subsequence its row in `decays` (subsequence, landmark); row 0 is for all others.
     """
 
-    table: np.ndarray
-    bias: float
+    def __init__(self, words: list[str]) -> None:
+        held = [[(decay, found) for decay, found in subsequences(letter_codes(f" {word} {APART}"))] for word in words]
+        self.codes = np.unique(np.concatenate([[0], *[found for own in held for _, found in own]]))
+        self.at = np.zeros(SUBSEQUENCES, dtype=np.int32)
+        self.at[self.codes] = np.arange(len(self.codes))
+        self.decays = np.zeros((len(self.codes), len(words)), dtype=np.float32)
+        for column, own in enumerate(held):
+            for decay, found in own:
+                np.add.at(self.decays[:, column], self.at[found], decay)
+        self.decays[0] = 0
+        self.decays /= np.maximum((self.decays**2).sum(axis=0), 1e-12)
+
+    def table(self, weights: np.ndarray) -> np.ndarray:
+        """The weighted sum of the landmarks, by subsequence."""
+        out = np.zeros(SUBSEQUENCES, dtype=np.float32)
+        out[self.codes] = self.decays @ weights
+        return out
 
-    def decide(self, items: list[str]) -> np.ndarray:
-        """Decision of each word; of a long one, that of its worst piece."""
-        cut, owner = [], []
-        for i, word in enumerate(items):
-            step = WORD_PIECE // 2
-            parts = [word] if len(word) <= WORD_PIECE else [word[k : k + WORD_PIECE] for k in range(0, len(word) - step, step)]
-            cut.extend(parts)
-            owner.extend([i] * len(parts))
-        out = np.full(len(items), -np.inf)
-        for start in range(0, len(cut), 20_000):
-            part = cut[start : start + 20_000]
-            of, sub, decay = subsequences(part)
-            own = np.sqrt(per_word(of, decay * decay, len(part)))
-            values = per_word(of, decay * self.table[sub], len(part)) / np.maximum(own, 1e-12) + self.bias
-            np.maximum.at(out, owner[start : start + 20_000], values)
+
+class Stretches:
+    """Sentences one after the other, and the stretches of `WINDOW` places in them."""
+
+    def __init__(self, items: list[str]) -> None:
+        self.codes = letter_codes("".join(s + APART for s in items))
+        self.ends = np.cumsum(np.fromiter((len(s) + len(APART) for s in items), dtype=np.int64, count=len(items)))
+        self.starts = np.concatenate([[0], self.ends[:-1]])
+
+    def worst(self, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The highest sum of weights of a stretch of each sentence, and where that stretch starts."""
+        density = np.zeros(len(self.codes), dtype=np.float64)
+        for decay, found in subsequences(self.codes):
+            density[: len(found)] += decay * table[found]
+        sums = np.concatenate([[0.0], np.cumsum(density)])
+        stretch = sums[np.minimum(np.arange(len(density)) + WINDOW, len(density))] - sums[:-1]
+        if not len(self.starts):
+            return np.zeros(0), np.zeros(0, dtype=np.int64)
+        highest = np.maximum.reduceat(stretch, self.starts)
+        hits = np.flatnonzero(stretch == np.repeat(highest, self.ends - self.starts))
+        return highest, hits[np.searchsorted(hits, self.starts)]
+
+    def kernels(self, at: np.ndarray, landmarks: Landmarks) -> np.ndarray:
+        """Kernels of the stretches that start at `at` with each landmark."""
+        out = np.zeros((len(at), landmarks.decays.shape[1]), dtype=np.float32)
+        for decay, found in subsequences(self.codes):
+            for place in range(WINDOW):
+                here = np.minimum(at + place, len(found) - 1)
+                out += np.float32(decay) * landmarks.decays[landmarks.at[found[here]]]
         return out
 
 
-def train_words(positive, negative) -> WordModel | None:
-    """The SVM from examples (word, n), n being how many sentences hold the word."""
-    if not len(positive) or not len(negative):
-        return None
-    items = [*positive["word"], *negative["word"]]
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-    weight = np.sqrt(np.concatenate([positive["n"].to_numpy(dtype=float), negative["n"].to_numpy(dtype=float)]))
-    for sign in (1, -1):
-        weight[y == sign] /= weight[y == sign].sum()
-    landmarks = list(positive["word"].head(LANDMARKS))
-    values, vectors = np.linalg.eigh(kernels(landmarks, landmarks))
-    keep = values > 1e-3
-    whiten = vectors[:, keep] / np.sqrt(values[keep])
-    z = np.hstack([kernels(items, landmarks) @ whiten, np.ones((len(items), 1))])
-    # squared hinge loss by Newton steps on the rows inside the margin
+def fit_svm(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Squared hinge loss with a light ridge, by Newton steps on the rows inside the margin; the bias is last."""
     w, ridge = np.zeros(z.shape[1]), 1e-4 * np.eye(z.shape[1])
     ridge[-1, -1] = 1e-9
     for _ in range(30):
         inside = y * (z @ w) < 1
-        zi, wi = z[inside], weight[inside][:, None]
-        new = np.linalg.solve(zi.T @ (wi * zi) + ridge, zi.T @ (wi[:, 0] * y[inside]))
+        zi, wi = z[inside], weight[inside]
+        new = np.linalg.solve(zi.T @ (wi[:, None] * zi) + ridge, zi.T @ (wi * y[inside]))
         if np.allclose(new, w, atol=1e-8):
             break
         w = new
-    return WordModel(landmark_table(landmarks, whiten @ w[:-1]), float(w[-1]))
+    return w
+
 
+@dataclass
+class SentenceModel:
+    """The decision of a sentence: the weights of its worst stretch's subsequences, plus a bias."""
 
-def units(text: str) -> list[str]:
-    """The distinct words of a text, without marks around them, and spelled-out words as one."""
-    low = text.lower()
-    found = {w.strip(TRIM) for w in low.split()}
-    found.update(m.group().replace(" ", "") for m in SPACED.finditer(low))
-    return sorted(w for w in found if len(w) >= ORDER)
+    table: np.ndarray
+    bias: float
 
+    def decide(self, items: list[str]) -> np.ndarray:
+        return Stretches(items).worst(self.table)[0] + self.bias
 
-def text_features(rows: DataFrame, model: WordModel) -> DataFrame:
-    """id, held_out and, of the decisions of each text's words, the highest, the second and how many are positive."""
+
+def train(words: list[str], toxic: list[tuple[str, int]], other: list[str]) -> SentenceModel | None:
+    """The SVM from landmarks, toxic sentences with the number of their text, and other sentences."""
+    if not words or not toxic or not other:
+        return None
+    landmarks = Landmarks(words)
+    unit = landmarks.decays / np.linalg.norm(landmarks.decays, axis=0)
+    values, vectors = np.linalg.eigh((unit.T @ unit).astype(np.float64))
+    whiten = vectors[:, values > 1e-3] / np.sqrt(values[values > 1e-3])
+    text = np.unique([t for _, t in toxic], return_inverse=True)[1]
+    bad, good = Stretches([s for s, _ in toxic]), Stretches(other)
+    table, bias = landmarks.table(np.ones(len(words))), 0.0
+    for round in range(ROUNDS):
+        highest, at_bad = bad.worst(table)
+        _, at_good = good.worst(table)
+        if round:
+            most = np.full(text.max() + 1, -np.inf)
+            np.maximum.at(most, text, highest)
+            at_bad = at_bad[highest >= most[text]]
+        z = np.vstack([bad.kernels(at_bad, landmarks), good.kernels(at_good, landmarks)]) @ whiten
+        z = np.hstack([z, np.ones((len(z), 1))])
+        y = np.concatenate([np.ones(len(at_bad)), -np.ones(len(at_good))])
+        w = fit_svm(z, y, np.where(y > 0, 0.5 / len(at_bad), 0.5 / len(at_good)))
+        table, bias = landmarks.table(whiten @ w[:-1]), float(w[-1])
+    return SentenceModel(table, bias)
+
+
+def text_features(rows: DataFrame, model: SentenceModel) -> DataFrame:
+    """id, held_out and, of the decisions of each text's sentences, their number, the highest, the second and how many are positive."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
         for batch in batches:
             for piece in pieces(batch, "text", PIECE_BYTES):
-                found = [units(t) for t in piece.column("text").to_pylist()]
-                needed = set().union(*found)
-                new = sorted(needed - known.keys())
-                if len(known) + len(new) > KNOWN_WORDS:
-                    known, new = {}, sorted(needed)
-                known.update(zip(new, shared.value.decide(new).tolist(), strict=True))
-                rows = []
-                for own in found:
-                    worst = sorted(map(known.__getitem__, own), reverse=True)
-                    rows.append((*(worst[:2] + [-2.0, -2.0])[:2], sum(v > 0 for v in worst)))
-                first, second, count = zip(*rows, strict=True)
-                columns = [piece.column("id"), piece.column("held_out"), pa.array(first), pa.array(second), pa.array(count, pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "first", "second", "n_bad"])
+                found = [sentences(t) for t in piece.column("text").to_pylist()]
+                decided = shared.value.decide([s for own in found for s in own])
+                # two places more per text, so that each has a worst and a second worst sentence
+                counts = np.array([len(own) for own in found], dtype=np.int64)
+                text = np.repeat(np.arange(len(found)), counts)
+                order = np.lexsort((-decided, text))
+                ends = np.cumsum(counts)
+                ranked = np.append(decided[order], [-2.0, -2.0])
+                first = np.where(counts > 0, ranked[np.minimum(ends - counts, len(decided))], -2.0)
+                second = np.where(counts > 1, ranked[np.minimum(ends - counts + 1, len(decided))], -2.0)
+                n_bad = np.bincount(text, weights=decided > 0, minlength=len(found)).astype(np.int64)
+                columns = [piece.column("id"), piece.column("held_out"), *map(pa.array, (first, second, n_bad, counts))]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "held_out", "first", "second", "n_bad", "n_sentences"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "held_out", "text").mapInArrow(work, f"id {kind}, held_out boolean, first double, second double, n_bad long")
+    return rows.select("id", "held_out", "text").mapInArrow(work, f"id {kind}, held_out boolean, first double, second double, n_bad long, n_sentences long")
+
+
+def examples(rows: DataFrame) -> DataFrame:
+    """Text number, label and sentence of labelled texts (id, text, toxic); long sentences in parts."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text", PIECE_BYTES):
+                out = []
+                for text, toxic, number in zip(*(piece.column(c).to_pylist() for c in ("text", "toxic", "number")), strict=True):
+                    for s in dict.fromkeys(sentences(text)):
+                        step = EXAMPLE // 2
+                        parts = [s] if len(s) <= EXAMPLE else [s[k : k + EXAMPLE] for k in range(0, len(s) - step, step)]
+                        out += [(number, toxic, part) for part in parts]
+                if out:
+                    columns = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.string()), strict=True)], ["number", "toxic", "sentence"])
+
+    return rows.select(F.xxhash64("id").alias("number"), "toxic", "text").mapInArrow(work, "number long, toxic int, sentence string")
+
+
+def drawn(df: DataFrame, key: Column, count: int) -> DataFrame:
+    """About `count` rows, drawn by hash of their key; all, if there are no more."""
+    total = df.count()
+    if total <= count:
+        return df
+    return df.where(F.pmod(F.xxhash64(key, F.lit("drawn")), F.lit(1_000_000)) < int(1_000_000 * count / total))
+
+
+def telling_words(found: DataFrame) -> list[str]:
+    """The words surely likelier in toxic sentences, by evidence."""
+    is_bad = F.col("toxic").cast("long")
+    words = F.array_distinct(F.regexp_extract_all("sentence", F.lit(r"([\p{L}\p{N}]{3,24})"), 1))
+    stats = found.select("toxic", F.explode(words).alias("word")).groupBy("word").agg(F.sum(is_bad).alias("bad"), F.sum(1 - is_bad).alias("good"))
+    stats = saved(stats, "toxic-words")
+    shares = found.agg(F.sum(is_bad).alias("bad"), F.count("*").alias("all")).first()
+    count = stats.count()
+    share = (shares["bad"] + 1) / (shares["all"] + 2)
+    n, rate = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good"))
+    # log likelihood of a word's own share of toxic sentences over the overall one
+    evidence = n * (rate * F.log(rate / share) + F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - share))).otherwise(0.0))
+    known_bad = (rate > TELLING * share) | (rate > (1 + share) / 2)
+    sure = stats.where("bad > 0").where(known_bad & (evidence > float(np.log(count + 1)) + SURER))
+    return [r.word for r in sure.orderBy(F.desc(evidence), "word").limit(LANDMARKS).collect()]
 
 
 def held_out(id: Column) -> Column:
@@ -199,7 +279,7 @@ def held_out(id: Column) -> Column:
 
 def curve_inputs() -> list[Column]:
     clip = lambda c: F.greatest(F.lit(-2.0), F.least(F.lit(2.0), F.col(c)))
-    return [clip("first"), clip("second"), F.log1p(F.col("n_bad").cast("double"))]
+    return [clip("first"), clip("second"), *[F.log1p(F.col(n).cast("double")) for n in ("n_bad", "n_sentences")]]
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -220,37 +300,33 @@ def score(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), held_out(F.col(id)).alias("held_out"))
     known = labels.select(F.col(label_id).alias("id"), F.col(label).alias("toxic")).where("id is not null and toxic is not null")
     known = known.where(~held_out(F.col("id"))).groupBy("id").agg(F.max("toxic").cast("int").alias("toxic"))
-
-    # distinct labelled sentences: a text copied a thousand times says nothing new
-    sentences = (
-        rows.where("not held_out").join(known, "id")
-        .select("toxic", F.explode(F.split(F.lower("text"), SENTENCE_END)).alias("sentence"))
-        .groupBy(F.xxhash64("sentence").alias("key")).agg(F.max("toxic").alias("toxic"), F.first("sentence").alias("sentence"))
-    )
-    trimmed = F.transform(words(F.col("sentence")), lambda w: F.btrim(w, F.lit(TRIM)))
-    held = F.filter(F.array_distinct(trimmed), lambda w: (F.length(w) >= ORDER) & (F.length(w) <= WORD_PIECE))
-    is_bad = F.col("toxic").cast("long")
-    stats = sentences.select("toxic", F.explode(held).alias("word")).groupBy("word").agg(F.sum(is_bad).alias("bad"), F.sum(1 - is_bad).alias("good"))
-    stats = saved(stats, "toxic-words")
+    known = saved(known, "toxic-labels")
     totals = known.groupBy().agg(F.sum("toxic").alias("bad"), F.count("*").alias("all")).first()
     bad, total = int(totals["bad"] or 0), int(totals["all"])
-    sums = stats.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"), F.coalesce(F.sum("good"), F.lit(0)).alias("good"), F.count("*").alias("words")).first()
-    share = (sums["bad"] + 1) / (sums["bad"] + sums["good"] + 2)
-    n, rate = F.col("bad") + F.col("good"), F.col("bad") / (F.col("bad") + F.col("good"))
-    # log likelihood of a word's own share of toxic sentences over the overall one
-    evidence = n * (rate * F.log(rate / share) + F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - share))).otherwise(0.0))
-    known_bad = (rate > TELLING * share) | (rate > (1 + share) / 2)
-    positive = stats.where(known_bad & (evidence > float(np.log(sums["words"] + 1)) + SURER)).orderBy(F.desc(evidence), "word").limit(POSITIVES)
-    negative = stats.where((rate <= share) & (F.col("good") > 0)).orderBy(F.desc("good"), "word").limit(NEGATIVES)
-    model = train_words(positive.select("word", F.col("bad").alias("n")).toPandas(), negative.select("word", F.col("good").alias("n")).toPandas())
+
+    # a bounded number of ids, whatever the number of labels
+    bound = [drawn(known.where(F.col("toxic") == toxic), F.col("id"), count) for toxic, count in ((1, TOXIC_ROWS), (0, OTHER_ROWS))]
+    sample = saved(bound[0].unionByName(bound[1]), "toxic-sample")
+    # a sentence copied a thousand times says nothing new
+    found = examples(rows.where("not held_out").join(F.broadcast(sample), "id"))
+    found = found.groupBy("sentence").agg(F.max(F.struct("toxic", "number")).alias("own")).select("sentence", "own.toxic", "own.number")
+    found = saved(found, "toxic-sentences")
+    shown = [drawn(found.where(F.col("toxic") == toxic), F.col("sentence"), SENTENCES).select("sentence", "number").collect() for toxic in (1, 0)]
+    words = telling_words(found) if all(shown) else []
+    model = train(words, [(r.sentence, r.number) for r in shown[0]], [r.sentence for r in shown[1]])
     if model is None:
         flat = F.lit(bad / total if total else 0.0)
         return rows.select(F.col("id").alias(id), "held_out", flat.alias("score"), (flat >= THRESHOLD).cast("int").alias("predicted"))
 
     seen = saved(text_features(rows, model), "toxic-features")
-    sample = seen.where("not held_out").join(known, "id").orderBy(F.xxhash64("id"), "id").limit(CALIBRATED)
-    fitted = sample.select(*[c.alias(f"x{i}") for i, c in enumerate(curve_inputs())], "toxic").toPandas()
-    w = fit_curve(fitted[["x0", "x1", "x2"]].to_numpy(dtype=float), fitted["toxic"].to_numpy(dtype=float))
+    curve = seen.where("not held_out").join(F.broadcast(sample), "id")
+    fitted = curve.select(*[c.alias(f"x{i}") for i, c in enumerate(curve_inputs())], "toxic").collect()
+    x, y = (np.array(c, dtype=float) for c in ([r[:-1] for r in fitted], [r[-1] for r in fitted]))
+    w = fit_curve(x, y)
+    # toxic rows were drawn more often than others: back to their share among the labels
+    drawn_bad = max(float(y.sum()), 1.0)
+    drawn_good = max(len(y) - float(y.sum()), 1.0)
+    w[-1] += np.log(max(bad, 1) / max(total - bad, 1)) - np.log(drawn_bad / drawn_good)
     logit = sum((c * float(v) for c, v in zip(curve_inputs(), w, strict=False)), F.lit(float(w[-1])))
     probability = 1 / (1 + F.exp(-logit))
     return seen.select(

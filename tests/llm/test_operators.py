@@ -385,6 +385,53 @@ def test_licences_wrapped_on_one_line_and_in_comments(spark):
     assert not wrong, list(wrong.values())[:3]
 
 
+ASF = """Licensed to the Apache Software Foundation (ASF) under one
+or more contributor license agreements.  See the NOTICE file
+distributed with this work for additional information
+regarding copyright ownership.  The ASF licenses this file
+to you under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in compliance
+with the License.  You may obtain a copy of the License at
+
+  http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing,
+software distributed under the License is distributed on an
+"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY
+KIND, either express or implied.  See the License for the
+specific language governing permissions and limitations
+under the License."""
+
+
+def test_what_stands_between_licence_sentences_counts(spark):
+    mit, bsd = LICENSE_TEXTS["MIT"], LICENSE_TEXTS["BSD-3-Clause"]
+    advertising = "4. All advertising materials mentioning features must display an acknowledgement.\n\nTHIS SOFTWARE IS"
+    grant, rest = mit.split("\n\nThe above")
+    only = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, version 3."
+    cases = [
+        (mit.replace("THE SOFTWARE IS", "The Software shall be used for Good, not Evil.\n\nTHE SOFTWARE IS", 1), "UNKNOWN"),
+        (bsd.replace("THIS SOFTWARE IS", advertising, 1), "UNKNOWN"),
+        (grant + "\n" + "Some prose goes on. " * 50 + "\n\nThe above" + rest, "UNKNOWN"),
+        (ASF, "Apache-2.0"),
+        ("# " + ASF.replace("\n", "\n# "), "Apache-2.0"),
+        (only, "GPL-3.0-only"),
+        (only.replace("version 3.", "version 3 of the License."), "GPL-3.0-only"),
+        ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"),
+        ("/* SPDX-License-Identifier: GPL-2.0-or-later */", "GPL-2.0-or-later"),
+        ("SPDX-License-Identifier: Apache-2.0\nCopyright 2020 Somebody\n\n" + mit, "MIT AND Apache-2.0"),
+        (mit + "\n\nOther prose.\n\n" + LICENSE_TEXTS["ISC"], "ISC AND MIT"),
+        (None, "NONE"),
+        ("", "NONE"),
+        ("prose " * 100_000, "NONE"),
+        (mit, "MIT"),
+        (mit, "MIT"),
+    ]
+    docs = spark.createDataFrame([(i, t, "x") for i, (t, _) in enumerate(cases)], "doc_id long, text string, sequence string")
+    found = {r.doc_id: r.verdict for r in licenses.scan(docs).collect()}
+    assert [found[i] for i in range(len(cases))] == [verdict for _, verdict in cases]
+    assert licenses.scan(docs.limit(0)).count() == 0
+
+
 def test_language(spark):
     rows = [(i, t, lang, "h") for i, (t, lang) in enumerate([("the cat and the dog are there", "en"), ("der hund und die katze sind da", "de")] * 20)]
     rows += [(100, None, "en", None), (101, "123 %%", "de", "h"), (102, "und die katze", None, "h")]
@@ -430,12 +477,63 @@ def test_toxicity(spark):
     assert toxicity.score(docs, labels.limit(0)).count() == len(rows)
 
 
+def test_toxicity_of_gapped_split_and_repeated_insults(spark):
+    """Also ties, repeated rows, long texts, null ids and labels, and columns with names of the operator's own."""
+    draw = np.random.default_rng(3)
+    parts = ["ta", "lo", "mi", "ren", "so", "ka", "ve", "dun"]
+
+    def sentence(*more):
+        words = ["".join(draw.choice(parts, draw.integers(1, 4))) for _ in range(8)]
+        words[3:3] = more
+        return " ".join(words) + ". "
+
+    insults = ["worthless", "moron", "pathetic", "scum"]
+    rows = [(i, "".join(sentence(*[insults[i % 4]] * (i % 3 == 0 and k == 2)) for k in range(6))) for i in range(600)]
+    forms = ["worth-less", "w o r t h l e s s", "worxthless", "wor thless", "W0RTHLESS", "pathe.tic", "p a t h e t i c", "mor on", "mooron"]
+    rows += [(1000 + i, sentence() + sentence(form) + sentence()) for i, form in enumerate(forms)]
+    clean = [sentence() + sentence() + sentence() for _ in range(9)]
+    rows += [(2000 + i, t) for i, t in enumerate(clean)] + [(3000, clean[0] * 3000 + sentence("moron") * 3), (None, clean[0]), (None, clean[0]), (4000, rows[0][1])]
+    docs = spark.createDataFrame([(i, t, 0.5, "s", 1, 2) for i, t in rows], "doc_id long, text string, score double, first string, toxic int, number int")
+    labels = [(i, int(i % 3 == 0)) for i in range(600)] + [(1, None), (None, 1), (3, 1), (3, 0), (9999, 1)]
+    result = toxicity.score(docs.repartition(4), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert result.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and result.count() == len(rows)
+    found = {r.doc_id: r for r in result.collect()}
+    assert [found[1000 + i].predicted for i in range(len(forms))] == [1] * len(forms), [found[1000 + i].score for i in range(len(forms))]
+    assert sum(found[2000 + i].predicted for i in range(9)) <= 1
+    assert found[3000].predicted == 1 and found[None].score == found[2000].score and found[4000].score == found[0].score
+    held = [i for i in range(600) if found[i].held_out]
+    assert np.mean([found[i].predicted == (i % 3 == 0) for i in held]) > 0.95
+
+
+def test_worst_stretches_by_brute_force():
+    items = [" idiot ", " a ", " an old idi ot here and x ", "  "]
+    landmarks = toxicity.Landmarks(["idiot", "old"])
+    table = landmarks.table(np.array([1.0, -0.25]))
+    stretches = toxicity.Stretches(items)
+    highest, at = stretches.worst(table)
+    kernels = stretches.kernels(at, landmarks)
+    assert kernels @ np.array([1.0, -0.25]) == pytest.approx(highest, abs=1e-5)
+    for item, start, value in zip(items, stretches.starts, highest, strict=True):
+        codes = toxicity.letter_codes(item + toxicity.APART)
+        sums = []
+        for first in range(len(codes)):
+            total = 0.0
+            for i in range(first, min(first + toxicity.WINDOW, len(codes))):
+                for j in range(i + 1, i + toxicity.SPAN - 1):
+                    for k in range(j + 1, i + toxicity.SPAN):
+                        if k < len(codes) and codes[i] and codes[j] and codes[k]:
+                            total += toxicity.DECAY ** (k - i + 1) * table[codes[i] << 12 | codes[j] << 6 | codes[k]]
+            sums.append(total)
+        assert max(sums) == pytest.approx(value, abs=1e-5) and start >= 0
+    assert landmarks.decays[:, 0] @ landmarks.decays[:, 0] * (1 / (landmarks.decays[:, 0] ** 2).sum()) == pytest.approx(1)
+
+
 def test_queries_and_sql(spark):
     from granulake.llm.oracles import oracle_sql
     from granulake.llm.queries import queries
     from oracle_check import difference
 
-    assert {int(n.split("_")[0][2:]) for n in queries() if n.startswith("op")} == set(range(1, 11))
+    assert {int(n.split("_")[0][2:]) for n in queries() if n.startswith("op")} == set(range(1, 14))
     for name, sql in oracle_sql().items():
         assert difference(spark, "/root/testdata/sf0.001", name, queries()[name], sql) in (None, "no rows"), name
 
