@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _STRICT = {"allowSingleQuotes": "false"}
-_FIELDS = "struct<name:variant,id:variant,size:variant>"
+_FIELDS = "struct<name:variant,id:variant,size:variant,updated:variant>"
 
 
 def strict_object(text: Column) -> Column:

@@ -32,14 +32,15 @@ def product_table(name: Column) -> Column:
 
 
 def parse_messages(messages: DataFrame, text: str = "value") -> DataFrame:
-    """Read message text into `name, id, size` and give each row a verdict.
+    """Read message text into `name, id, size, updated` and give each row a verdict.
 
     * `malformed`: not one JSON object, no text `name`, or a wanted object
       without an `id`
     * `skipped`: a name no product table wants
     * `kept`: everything else, with its `table_name`
 
-    `size_given` tells an absent size from a null one.
+    `size_given` tells an absent size from a null one. `updated` is null where it
+    is absent or no time.
     """
     value = F.col(text)
     parsed = with_computed(
@@ -60,6 +61,7 @@ def parse_messages(messages: DataFrame, text: str = "value") -> DataFrame:
             variant_text(one["id"]).alias("id"),
             one["size"].isNotNull().alias("size_given"),
             variant_text(one["size"]).alias("size"),
+            variant_text(one["updated"]).try_cast("timestamp").alias("updated"),
         ),
     )
     name = F.col("_fields.name")
@@ -73,6 +75,7 @@ def parse_messages(messages: DataFrame, text: str = "value") -> DataFrame:
         "name": name,
         "id": F.when(name.isNotNull(), F.col("_fields.id")),
         "size": F.when(name.isNotNull(), F.col("_fields.size")),
+        "updated": F.when(name.isNotNull(), F.col("_fields.updated")),
         "size_given": F.when(name.isNotNull(), F.col("_fields.size_given")),
         "table_name": product_table(name),
         "verdict": verdict,

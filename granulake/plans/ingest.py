@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from granulake.functions.paths import day_folder
 from granulake.operators.joins import join_unique
 from granulake.operators.messages import kept, malformed, parse_messages, product_table
-from granulake.operators.products import bad_rows, good_rows, typed_rows
-from granulake.schemas import OBJECT_URL_PREFIX, REJECT_SCHEMA
+from granulake.operators.products import bad_rows, csv_objects, good_rows, typed_rows
+from granulake.schemas import OBJECT_SCHEMA, OBJECT_URL_PREFIX, REJECT_SCHEMA
 
 
 def latest_named(headers: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,22 +51,36 @@ class Ingest:
     their header in column types) feed several outputs; the streaming job
     persists both for the length of a micro-batch, so messages and headers are
     each parsed once.
+
+    Messages are texts, or parsed already; these may carry the `header` they
+    waited for. Those without one are joined to the stored headers.
     """
 
     def __init__(
-        self, messages: DataFrame, headers: DataFrame, url_prefix: str = OBJECT_URL_PREFIX
+        self,
+        messages: DataFrame,
+        headers: DataFrame,
+        url_prefix: str = OBJECT_URL_PREFIX,
+        bucket: str | None = None,
     ):
         self.url_prefix = url_prefix
+        self.bucket = bucket
         self.headers = headers
-        self._derive(parse_messages(messages.select("value")))
+        parsed = "verdict" in messages.columns
+        self._derive(messages if parsed else parse_messages(messages.select("value")))
 
     def _derive(self, parsed: DataFrame) -> None:
         wanted = kept(parsed)
         self.parsed = parsed
         self.sizeless = wanted.filter(~F.col("size_given"))
         self.fetchable = wanted.filter(F.col("size_given"))
-        self.matched = attach_headers(self.fetchable, self.headers)
-        self.typed = typed_rows(self.matched).drop("header")
+        if "header" in parsed.columns:
+            waited = F.col("header").isNotNull()
+            stored = attach_headers(self.fetchable.filter(~waited).drop("header"), self.headers)
+            self.matched = self.fetchable.filter(waited).unionByName(stored)
+        else:
+            self.matched = attach_headers(self.fetchable, self.headers)
+        self.typed = typed_rows(self.matched)
 
     def persist(self) -> None:
         self._derive(self.parsed.persist())
@@ -80,6 +94,12 @@ class Ingest:
         """Rows for one product table."""
         return good_rows(self.typed, table, self.url_prefix)
 
+    def objects(self) -> DataFrame:
+        """The CSV object of every granule whose header has the fields of its table."""
+        keep = ("table_name", "name", "id", "updated")
+        found = csv_objects(self.typed, self.bucket, self.url_prefix, keep)
+        return found.select(*OBJECT_SCHEMA.names)
+
     def rejects(self) -> DataFrame:
         """Messages that were wanted but gave no product row, and why."""
 

@@ -218,6 +218,18 @@ REJECT_SCHEMA = T.StructType(
     ]
 )
 
+# CSV text of a granule, as written for one message.
+OBJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("dest_uri", T.StringType()),
+        T.StructField("csv_text", T.StringType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("updated", T.TimestampType()),
+    ]
+)
+
 
 def column_source(column: str) -> Source:
     """Where a product column's value is found. One rule set fits all products."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granulake.functions.csv_text import CSV_OPTIONS
@@ -10,10 +12,13 @@ from granulake.operators.mapping import mapped_header_line
 from granulake.operators.tracking import QUEUE_ORDER, exportable
 
 
-def write_product_csv(rows: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    """Product rows as CSV files, each with a header line."""
+def write_product_csv(
+    rows: DataFrame, folder: str, mode: str = "errorifexists", partitions: Sequence[str] = ()
+) -> None:
+    """Product rows as CSV files, each with a header line, in a folder per value of `partitions`."""
     (
         rows.write.mode(mode)
+        .partitionBy(*partitions)
         .options(**CSV_OPTIONS)
         .option("header", True)
         .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
@@ -22,11 +27,6 @@ def write_product_csv(rows: DataFrame, folder: str, mode: str = "errorifexists")
     )
 
 
-def write_csv_objects(objects: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    """`dest_uri, csv_text` rows for consumers that want one text per granule."""
-    objects.select("dest_uri", "csv_text").write.mode(mode).parquet(folder)
-
-
 def write_export(
     tracking: DataFrame,
     config: dict,
@@ -56,3 +56,19 @@ def write_export(
     )
 
 
+def read_export(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of an export with their `position`; 0 is the header line.
+
+    Parts follow each other by name, lines by their place in a part. Only the
+    number of lines of each part is put in one order.
+    """
+    parts = (
+        spark.read.text(folder, wholetext=True)
+        .select(F.col("_metadata.file_name").alias("part"), F.split(F.col("value"), "\n").alias("lines"))
+    )
+    # text files end each line, so what follows the last end is no line
+    lengths = parts.select("part", (F.size("lines") - 1).cast("bigint").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lengths.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"), "n")
+    placed = parts.join(starts, "part").select("start", "n", F.posexplode("lines").alias("at", "line"))
+    return placed.filter(F.col("at") < F.col("n")).select((F.col("start") + F.col("at")).alias("position"), "line")

@@ -11,14 +11,15 @@ from granulake.operators.once import with_computed
 from granulake.schemas import PRODUCT_SCHEMAS
 
 _CORRUPT = "_corrupt_record"
+_FILE = "_file"
 
 
-def read_product_csv(spark: SparkSession, folder: str, table: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that load, and rows that do not with their text in `_corrupt_record`.
+def _lines(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Every line as `_row`: the table's columns, its text if it does not load, and its file.
 
     The first line of each file is skipped and columns are taken by position,
     whatever the header says. All columns are parsed whichever are used later,
-    so a row is judged by all of them.
+    so a row is judged by all of them. Folders below are read too.
     """
     schema = T.StructType(
         [*PRODUCT_SCHEMAS[table].fields, T.StructField(_CORRUPT, T.StringType())]
@@ -31,10 +32,34 @@ def read_product_csv(spark: SparkSession, folder: str, table: str) -> tuple[Data
         .option("columnPruning", False)
         .option("timeZone", "UTC")
         .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("recursiveFileLookup", True)
         .csv(folder)
+        .withColumn(_FILE, F.col("_metadata.file_path"))
     )
+    return with_computed(rows, "_row", F.struct(*rows.columns))
+
+
+def read_product_csv(spark: SparkSession, folder: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that load, and rows that do not with their text in `_corrupt_record`."""
     row = F.col("_row")
-    whole = with_computed(rows, "_row", F.struct(*rows.columns))
-    good = whole.filter(row[_CORRUPT].isNull()).select("_row.*").drop(_CORRUPT)
-    bad = whole.filter(row[_CORRUPT].isNotNull()).select("_row.*")
+    whole = _lines(spark, folder, table)
+    good = whole.filter(row[_CORRUPT].isNull()).select("_row.*").drop(_CORRUPT, _FILE)
+    bad = whole.filter(row[_CORRUPT].isNotNull()).select("_row.*").drop(_FILE)
     return good, bad
+
+
+def read_product_files(spark: SparkSession, folder: str, table: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of the files of which every line loads, and the other files.
+
+    A file is loaded as a whole or not at all. Of a refused file: its path as
+    `name`, and as `value` its first bad line in text order. Refused
+    files are found by one pass and kept out by an anti join on their
+    paths, so a file may be read by many tasks.
+    """
+    row = F.col("_row")
+    whole = _lines(spark, folder, table).select("_row")
+    bad = whole.filter(row[_CORRUPT].isNotNull())
+    refused = bad.groupBy(row[_FILE].alias("name")).agg(F.min(row[_CORRUPT]).alias("value"))
+    good = whole.filter(row[_CORRUPT].isNull()).select("_row.*").drop(_CORRUPT)
+    kept = good.join(refused.select(F.col("name").alias(_FILE)), _FILE, "left_anti")
+    return kept.drop(_FILE), refused

@@ -1,18 +1,42 @@
-"""The streaming job: messages to product tables."""
+"""The streaming job: messages to product tables and CSV objects."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from granulake.operators.messages import KEPT, parse_messages
 from granulake.plans.ingest import Ingest
 from granulake.schemas import OBJECT_URL_PREFIX, PRODUCT_SCHEMAS
 from granulake.session import prepare
-from granulake.sinks.product_tables import REJECTS, ProductTables
+from granulake.sinks.product_tables import OBJECTS, REJECTS, ProductTables
 
 _QUERY_ID = "sql.streaming.queryId"
+_WATERMARKS = "spark.sql.streaming.multipleWatermarkPolicy"
+
+
+@dataclass(frozen=True)
+class LateHeaders:
+    """How long a message waits for a header that is not there yet.
+
+    `headers` is the header store as a stream, with `stored`, the time a header
+    became visible. A message takes a header stored at most `keep` seconds before
+    it arrived or `wait` seconds after. Both bound the state: headers are
+    held for `keep + wait` seconds, messages until they have one or that time is over.
+    """
+
+    headers: DataFrame
+    wait: int
+    keep: int = 3600
+    stored: Column | None = None
+
+    @property
+    def seconds(self) -> int:
+        return self.wait + self.keep
 
 
 def load_batch(
@@ -22,23 +46,64 @@ def load_batch(
     run_id: str,
     batch_id: int,
     url_prefix: str = OBJECT_URL_PREFIX,
+    bucket: str | None = None,
 ) -> None:
-    """Append one micro-batch to every table.
+    """Append one micro-batch to every table and to the CSV objects.
 
     Messages and headers are parsed and joined once, then filtered per product.
     Running the same batch again replaces its partitions, so a retry adds
     nothing.
     """
-    batch = Ingest(messages, headers, url_prefix)
+    batch = Ingest(messages, headers, url_prefix, bucket)
     batch.persist()
     try:
+        # counted in whole: a stateful stream must run all its tasks. Micro-batches that only
+        # move a watermark have no messages, and had none in an earlier try
+        if not batch.parsed.count():
+            return
         for table in PRODUCT_SCHEMAS:
             tables.load(batch.product(table), table, run_id, batch_id)
+        tables.load(batch.objects(), OBJECTS, run_id, batch_id)
         tables.load(batch.rejects(), REJECTS, run_id, batch_id)
     finally:
         batch.unpersist()
 
 
+def first_of_each(parsed: DataFrame) -> DataFrame:
+    """Parsed messages, each `id` once within the watermark's delay.
+
+    Messages without an id are known by their text.
+    """
+    keyed = parsed.withColumn("_key", F.coalesce("id", "value"))
+    return keyed.dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+
+
+def with_late_headers(parsed: DataFrame, late: LateHeaders) -> DataFrame:
+    """Parsed messages with their `header` once it is there, or null once the wait is over.
+
+    A stream-stream left outer join of the messages that name an object, on its
+    name and a range of time; others pass at once. Of a header
+    stored several times the first within the time counts.
+    """
+    stored = F.col("_metadata.file_modification_time") if late.stored is None else late.stored
+    headers = late.headers.select(F.col("name").alias("_name"), "header", stored.alias("_stored"))
+    headers = headers.withWatermark("_stored", f"{late.seconds} seconds")
+    headers = headers.dropDuplicatesWithinWatermark(["_name"])
+    fetchable = (F.col("verdict") == KEPT) & F.col("size_given")
+
+    def seconds(count: int) -> Column:
+        return F.expr(f"INTERVAL {int(count)} SECONDS")
+
+    in_time = F.col("_stored").between(
+        F.col("_arrived") - seconds(late.keep), F.col("_arrived") + seconds(late.wait)
+    )
+    waiting = parsed.filter(fetchable).join(
+        headers, (F.col("name") == F.col("_name")) & in_time, "left_outer"
+    )
+    others = parsed.filter(~F.coalesce(fetchable, F.lit(False)))
+    return waiting.drop("_name", "_stored").unionByName(others.withColumn("header", F.lit(None).cast("string")))
+
+
 def start_ingest(
     messages: DataFrame,
     load_headers: Callable[[SparkSession], DataFrame],
@@ -46,6 +111,10 @@ def start_ingest(
     checkpoint: str,
     interval: str | None = None,
     url_prefix: str = OBJECT_URL_PREFIX,
+    bucket: str | None = None,
+    distinct_within: int | None = None,
+    late: LateHeaders | None = None,
+    arrived: Column | None = None,
 ) -> StreamingQuery:
     """Start the job: on an interval, or over what is there now when None.
 
@@ -53,6 +122,11 @@ def start_ingest(
     the start are seen. Loads are keyed by the query id kept in the
     checkpoint: a restart goes on with it, a new checkpoint never overwrites
     what an older one loaded.
+
+    With `distinct_within`, a message whose id came within so many seconds is
+    dropped. With `late`, messages wait for headers. Both go by the time
+    a message `arrived`, an expression over parsed messages that is never null;
+    unless given, the time of the micro-batch, so that no message comes too late.
     """
     prepare(messages.sparkSession)
     tables.ensure()
@@ -64,9 +138,30 @@ def start_ingest(
         run_id = spark.sparkContext.getLocalProperty(_QUERY_ID)
         if not run_id:
             raise RuntimeError("no query id: the load could overwrite another run's rows")
-        load_batch(batch, load_headers(spark), tables, run_id, batch_id, url_prefix)
+        load_batch(batch, load_headers(spark), tables, run_id, batch_id, url_prefix, bucket)
 
-    writer = messages.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
-    if interval is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=interval).start()
+    source = messages
+    if distinct_within is not None or late is not None:
+        held = max(distinct_within or 0, late.seconds if late else 0)
+        source = parse_messages(messages.select("value"))
+        # The state keeps columns as nullable as they are in its first batch. This one must not
+        # look different in a batch without messages, so it is made nullable (and never null).
+        text_there = F.length(F.coalesce("value", F.lit(""))) >= 0
+        clock = F.current_timestamp() if arrived is None else arrived
+        source = source.withColumn("_arrived", F.when(text_there, clock))
+        source = source.withWatermark("_arrived", f"{held} seconds")
+        if distinct_within is not None:
+            source = first_of_each(source)
+        if late is not None:
+            source = with_late_headers(source, late)
+        source = source.drop("_arrived")
+    writer = source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if interval is None else writer.trigger(processingTime=interval)
+    spark = messages.sparkSession
+    before = spark.conf.get(_WATERMARKS)
+    # time goes on with messages alone, also while no headers come
+    spark.conf.set(_WATERMARKS, "max")
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(_WATERMARKS, before)
