@@ -1,4 +1,4 @@
-"""Command line for spark-submit: `ingest`, `headers`, `walk`, `process`, `export`, `compact`."""
+"""Command line for spark-submit: `ingest`, `load`, `headers`, `walk`, `process`, `export`, `compact`."""
 
 from __future__ import annotations
 
@@ -9,19 +9,22 @@ from pyspark.sql import SparkSession
 from granulake.operators.catalog import DEFAULT_FILE_TYPES, DEFAULT_LOCATIONS, location_patterns
 from granulake.operators.tracking import DEFAULT_BATCH_SIZE, NO_CAP
 from granulake.plans.jobs import export, process, walk
+from granulake.plans.load import load_files
+from granulake.schemas import PRODUCT_SCHEMAS
 from granulake.session import prepare
 from granulake.sinks.product_tables import ProductTables
-from granulake.sinks.tracking_store import TrackingStore
+from granulake.sinks.tracking_table import TrackingStore
 from granulake.sources.granules import (
     granule_files,
     named_headers,
     read_header_store,
     stored_path,
+    stream_header_store,
     write_header_store,
 )
 from granulake.sources.mapping_config import load_mapping
 from granulake.sources.notifications import stream_files, stream_kafka
-from granulake.streaming.ingest import start_ingest
+from granulake.streaming.ingest import LateHeaders, start_ingest
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -42,6 +45,17 @@ def _parser() -> argparse.ArgumentParser:
     ingest.add_argument("--tables", required=True, help="root folder of the tables")
     ingest.add_argument("--checkpoint", required=True)
     ingest.add_argument("--interval", help="e.g. '1 minute'; without it, load what is there")
+    ingest.add_argument("--bucket", help="bucket in the URIs of CSV objects")
+    ingest.add_argument("--distinct-within", type=int, help="drop a message whose id came within so many seconds")
+    ingest.add_argument("--wait", type=int, help="seconds a message waits for a header that is not there yet")
+    ingest.add_argument("--keep", type=int, default=3600, help="seconds a header is held for messages to come, with --wait")
+
+    loading = jobs.add_parser("load", help="load product CSV files, each as a whole or not at all")
+    loading.add_argument("--input", required=True, help="folder of CSV files")
+    loading.add_argument("--table", required=True, choices=list(PRODUCT_SCHEMAS))
+    loading.add_argument("--database", default="staging")
+    loading.add_argument("--tables", required=True, help="root folder of the tables")
+    loading.add_argument("--run", required=True, help="name of this load; the same name replaces what it loaded")
 
     storing = jobs.add_parser("headers", help="add decoded headers to the header store")
     storing.add_argument("--input", required=True, help="Parquet with path, header")
@@ -76,7 +90,7 @@ def _parser() -> argparse.ArgumentParser:
     exporting.add_argument("--file-type", default="rad")
     exporting.add_argument("--output", required=True)
 
-    catalogue_job("compact", "merge updates into the tracking table; run it alone")
+    catalogue_job("compact", "put the loads of the tracking table into one")
     return parser
 
 
@@ -97,8 +111,17 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
             ProductTables(spark, args.database, args.tables),
             args.checkpoint,
             args.interval,
+            bucket=args.bucket,
+            distinct_within=args.distinct_within,
+            late=None
+            if args.wait is None
+            else LateHeaders(stream_header_store(spark, args.headers), args.wait, args.keep),
         ).awaitTermination()
         return
+    if args.job == "load":
+        tables = ProductTables(spark, args.database, args.tables)
+        load_files(spark, args.input, args.table, tables, args.run)
+        return
     if args.job == "headers":
         headers = spark.read.parquet(args.input)
         write_header_store(named_headers(headers, args.location_root), args.store)
@@ -106,7 +129,6 @@ def run(spark: SparkSession, arguments: list[str] | None = None) -> None:
     store = TrackingStore(spark, args.tracking, args.project)
     if args.job == "compact":
         store.fold()
-        store.compact()
         return
     if args.job == "walk":
         patterns = location_patterns(args.location_root, args.locations)

@@ -19,16 +19,36 @@ concat(CASE event_id % 6 WHEN 0 THEN 'ABI-L1b-RadF' WHEN 1 THEN 'ABI-L2-CMIPM'
        '/OR_', event_type, '_', lpad(CAST(event_id AS VARCHAR(20)), 12, '0'), '.nc')
 """
 
-MESSAGES_SQL = f"""
+# Base names that up to four objects in different folders share.
+SHARED_NAME_SQL = EVENT_NAME_SQL.replace("event_type, '_'", "'shared_'").replace(
+    "CAST(event_id AS", "CAST(event_id - event_id % 4 AS"
+)
+
+
+def _two_digits(part: str) -> str:
+    return f"lpad(CAST({part}(ts) AS VARCHAR(2)), 2, '0')"
+
+
+STAMP_SQL = (
+    f"concat(CAST(year(ts) AS VARCHAR(4)), '-', {_two_digits('month')}, '-', {_two_digits('day')}, 'T', "
+    f"{_two_digits('hour')}, ':', {_two_digits('minute')}, ':', {_two_digits('second')}, 'Z')"
+)
+
+
+def messages_sql(name: str = EVENT_NAME_SQL) -> str:
+    return f"""
 SELECT msg_seq, updated, name, size,
   concat('{{"kind":"storage#object","id":"b/', name, '/', CAST(msg_seq AS VARCHAR(20)),
-         '","name":"', name, '","size":"', size, '"}}',
+         '","name":"', name, '","size":"', size, '","updated":"', stamp, '"}}',
          CASE WHEN msg_seq % 50 = 0 THEN '}}' ELSE '' END) AS value
-FROM (SELECT event_id AS msg_seq, ts AS updated, {EVENT_NAME_SQL} AS name,
-        CAST(event_id * 37 + 1000 AS VARCHAR(20)) AS size
+FROM (SELECT event_id AS msg_seq, ts AS updated, {name} AS name,
+        CAST(event_id * 37 + 1000 AS VARCHAR(20)) AS size, {STAMP_SQL} AS stamp
       FROM events) e
 """
 
+
+MESSAGES_SQL = messages_sql()
+
 STORED_FILES_SQL = """
 SELECT concat('o', lpad(CAST(o_orderkey AS VARCHAR(20)), 12, '0'), '.nc') AS filename,
   concat('/store/pub/', CASE o_orderkey % 2 WHEN 0 THEN 'ABI-L2-MCMIPM' ELSE 'ABI-L1b-RadM' END,
@@ -99,9 +119,9 @@ def _sql(spark: SparkSession, sf_dir: str, name: str, text: str) -> DataFrame:
     return spark.sql(query, source=table(spark, sf_dir, name))
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str, name: str = EVENT_NAME_SQL) -> DataFrame:
     """`msg_seq, updated, value`; every 50th message is malformed."""
-    return _sql(spark, sf_dir, "events", MESSAGES_SQL).select("msg_seq", "updated", "value")
+    return _sql(spark, sf_dir, "events", messages_sql(name)).select("msg_seq", "updated", "value")
 
 
 def stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +186,9 @@ def header_time(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def granule_headers(spark: SparkSession, sf_dir: str, faulty: bool = False) -> DataFrame:
+def granule_headers(
+    spark: SparkSession, sf_dir: str, faulty: bool = False, name: str = EVENT_NAME_SQL
+) -> DataFrame:
     """`name, header`: the header text of every wanted event's object."""
 
     def faults(product: str) -> dict[str, dict[str, str]] | None:
@@ -177,7 +199,7 @@ def granule_headers(spark: SparkSession, sf_dir: str, faulty: bool = False) -> D
         f"WHEN {value} THEN {header_sql(t, 'event_id', 'at', faults(t))}" for value, t in EVENT_TABLES.items()
     )
     return events.withColumn("at", header_time("ts")).select(
-        F.expr(EVENT_NAME_SQL).alias("name"), F.expr(f"CASE event_id % 6 {cases} END").alias("header")
+        F.expr(name).alias("name"), F.expr(f"CASE event_id % 6 {cases} END").alias("header")
     )
 
 

@@ -7,6 +7,7 @@ from granulake.checks.fixtures import (
     EVENT_TABLES,
     FAULTY_COLUMNS,
     MESSAGES_SQL,
+    SHARED_NAME_SQL,
     STORED_FILES_SQL,
     TRACKING_SQL,
 )
@@ -73,24 +74,49 @@ _REJECTED = " UNION ALL ".join(_rejected(table, column) for table, column in FAU
 _DEST = "concat('goes/', replace(split_part(name, '/', 5), '.nc', '.csv'))"
 
 
-def _csv(table: str) -> str:
+def _csv(table: str, events: str = _EVENTS, more: str = "") -> str:
     columns = PRODUCT_COLUMNS[table]
     names = ",".join(c for c, _ in columns)
     values = ", ".join(_text(c, kind, i) for i, (c, kind) in enumerate(columns))
     line_end = "chr(13), chr(10)"
     return (
-        f"SELECT name, concat('gs://products/', {_DEST}) AS dest_uri, "
+        f"SELECT {more} name, concat('gs://products/', {_DEST}) AS dest_uri, "
         f"concat('{names}', {line_end}, concat_ws(',', {values}), {line_end}) AS csv_text "
-        f"FROM {_EVENTS} WHERE {_in_table(table, 'k')} AND k % 50 <> 0"
+        f"FROM {events} WHERE {_in_table(table, 'k')} AND k % 50 <> 0"
     )
 
 
-_INGESTED = " UNION ALL ".join(
-    f"SELECT '{table}' AS table_name, concat('{_URL}', name) AS item, "
-    f"k * 37 + 1000 AS total_size, concat('dat_', CAST(k % 9 AS VARCHAR)) AS dataset_name "
-    f"FROM {_EVENTS} WHERE {_in_table(table, 'k')} AND k % 50 <> 0"
+_INGESTED = " UNION ALL BY NAME ".join(
+    f"SELECT '{table}' AS table_name, * FROM ({_product(table)}) p" for table in PRODUCT_COLUMNS
+)
+_SHARED = f"(SELECT event_id AS k, ts, {SHARED_NAME_SQL} AS name FROM events) e"
+_OBJECTS = " UNION ALL ".join(
+    _csv(table, more=f"'{table}' AS table_name,") for table in PRODUCT_COLUMNS
+)
+_SHARED_OBJECTS = " UNION ALL ".join(
+    _csv(table, _SHARED, f"'{table}' AS table_name, k, ts,") for table in PRODUCT_COLUMNS
+)
+_CURRENT_OBJECTS = (
+    "SELECT dest_uri, name, table_name, csv_text, CAST(1 AS BIGINT) AS rows_of_name "
+    f"FROM ({_SHARED_OBJECTS}) o QUALIFY row_number() OVER (PARTITION BY dest_uri "
+    "ORDER BY date_trunc('second', ts) DESC, concat('b/', name, '/', CAST(k AS VARCHAR)) DESC) = 1"
+)
+_LOADED_FILES = " UNION ALL BY NAME ".join(
+    f"SELECT '{table}' AS table_name, * FROM ({_product(table)} AND (k // 500) % 3 <> 1) p "
+    f"UNION ALL BY NAME SELECT DISTINCT '{table}' AS table_name, k // 500 AS refused_part FROM {_EVENTS} "
+    f"WHERE {_in_table(table, 'k')} AND k % 50 <> 0 AND (k // 500) % 3 = 1 AND k % 100 BETWEEN 1 AND 12"
     for table in PRODUCT_COLUMNS
 )
+_WAITED = (
+    f"SELECT concat('{_URL}', name) AS base_url, CASE k % 5 WHEN 4 THEN 'object_not_found' ELSE 'loaded' END "
+    f"AS verdict, CAST(1 AS BIGINT) AS n FROM {_EVENTS} WHERE k % 50 <> 0 AND k % 6 <> 4 "
+    f"UNION ALL SELECT NULL, 'malformed', count(*) FROM {_EVENTS} WHERE k % 50 = 0 HAVING count(*) > 0"
+)
+_DELIVERED = " UNION ALL ".join(
+    f"SELECT '{option}' AS option, CASE WHEN {_WELL_FORMED} THEN {_ID} END AS id, value, "
+    f"CAST({n} AS BIGINT) AS n FROM {_MESSAGES}"
+    for option, n in (("as delivered", "CASE WHEN msg_seq % 3 = 0 THEN 2 ELSE 1 END"), ("distinct", "1"))
+)
 
 _TABLE_REPORT = " UNION ALL ".join(
     f"SELECT '{table}' AS table_name, CAST({len(columns)} AS BIGINT) AS columns, "
@@ -184,10 +210,15 @@ def oracle_sql() -> dict[str, str]:
             f"FROM {_MESSAGES} WHERE {_WELL_FORMED} AND msg_seq % 6 <> 4"
         ),
         "csv_roundtrip": _product("abi_l2_cmip"),
+        "csv_load": _LOADED_FILES,
+        "csv_objects": _OBJECTS,
+        "object_view": _CURRENT_OBJECTS,
+        "late_headers": _WAITED,
+        "distinct_messages": _DELIVERED,
         "ensure_tables": _TABLE_REPORT,
         "ingest_stream": (
-            f"{_INGESTED} UNION ALL SELECT 'rejects', concat('malformed ', value), NULL, NULL "
-            f"FROM {_MESSAGES} WHERE NOT json_valid(value)"
+            f"{_INGESTED} UNION ALL BY NAME SELECT 'rejects' AS table_name, "
+            f"concat('malformed ', value) AS item FROM {_MESSAGES} WHERE NOT json_valid(value)"
         ),
         "catalog_glob": (
             f"SELECT path, mtime, filename FROM {_FILES} WHERE regexp_matches(path, "

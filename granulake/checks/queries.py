@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 
@@ -19,18 +20,25 @@ from granulake.functions.paths import (
 from granulake.operators import catalog, mapping, products, tracking
 from granulake.operators.headers import full_header
 from granulake.operators.messages import kept, malformed, parse_messages, product_table, skipped
-from granulake.operators.ordering import page, with_position
+from granulake.operators.ordering import page
 from granulake.plans.ingest import Ingest, attach_headers
 from granulake.plans.jobs import process, walk
+from granulake.plans.load import load_files
 from granulake.schemas import OBJECT_URL_PREFIX, PRODUCT_SCHEMAS
 from granulake.session import prepare, working_path
-from granulake.sinks.csv_files import write_product_csv
-from granulake.sinks.product_tables import REJECTS, ProductTables
-from granulake.sinks.tracking_store import TrackingStore
-from granulake.sources.granules import named_headers, read_header_store, write_header_store
+from granulake.sinks.csv_files import read_export, write_export, write_product_csv
+from granulake.sinks.product_tables import OBJECTS, REJECTS, ProductTables
+from granulake.sinks.tracking_table import TrackingStore
+from granulake.sources.granules import (
+    named_headers,
+    read_header_store,
+    stream_header_store,
+    write_header_store,
+)
+from granulake.sources.mapping_config import load_mapping
 from granulake.sources.notifications import stream_files
 from granulake.sources.product_csv import read_product_csv
-from granulake.streaming.ingest import load_batch, start_ingest
+from granulake.streaming.ingest import LateHeaders, first_of_each, load_batch, start_ingest
 
 PROJECT = "Test"
 STORE_PREFIX = "/store"
@@ -135,7 +143,10 @@ def load_rejects(spark: SparkSession, sf: str) -> DataFrame:
     loaded = headers.select(
         "name", F.lit("1").alias("size"), product_table(F.col("name")).alias("table_name"), "header"
     )
-    typed = products.typed_rows(loaded)
+    # parsed once, for the rejects and the rows of all tables
+    path = working_path(spark, "typed")
+    products.typed_rows(loaded).write.parquet(path)
+    typed = spark.read.parquet(path)
     found = products.bad_rows(typed).select(
         F.concat(F.lit(OBJECT_URL_PREFIX), "name").alias("base_url"),
         F.lit(None).cast("bigint").alias("value"),
@@ -170,6 +181,36 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _utc(good)
 
 
+def _faulty_lines(rows: DataFrame, table: str) -> DataFrame:
+    """Rows as text with some bad values, and `part`: 500 events to a file, bad ones in every third."""
+    k = (F.col("total_size") - 1000) / 37
+    part = F.floor(k / 500)
+    bad = (part % 3 == 1) & (k % 100).between(1, 12)
+    column = fx.FAULTY_COLUMNS[table]
+    return rows.withColumn("part", part).withColumn(
+        column, F.when(bad, "bad").otherwise(F.col(column).cast("string"))
+    )
+
+
+def csv_load(spark: SparkSession, sf: str) -> DataFrame:
+    """All four tables loaded from CSV files, of which every third holds bad lines."""
+    tables = _new_tables(spark)
+    batch = _ingest(spark, sf)
+    loaded = None
+    for table in PRODUCT_SCHEMAS:
+        folder = working_path(spark, "csv")
+        lines = _faulty_lines(batch.product(table), table)
+        # a part is one file: it is loaded, or refused, as a whole
+        write_product_csv(lines.repartition("part"), folder, partitions=["part"])
+        load_files(spark, folder, table, tables, "first")
+        rows = _utc(tables.read(table)).withColumn("table_name", F.lit(table))
+        loaded = rows if loaded is None else loaded.unionByName(rows, allowMissingColumns=True)
+    refused = tables.read(REJECTS).select(
+        "table_name", F.regexp_extract("name", r"part=(\d+)", 1).cast("bigint").alias("refused_part")
+    )
+    return loaded.unionByName(refused, allowMissingColumns=True)
+
+
 def _new_tables(spark: SparkSession) -> ProductTables:
     return ProductTables(spark, f"granules_{uuid.uuid4().hex[:12]}", working_path(spark, "tables"))
 
@@ -199,24 +240,132 @@ def ingest_stream(spark: SparkSession, sf: str) -> DataFrame:
     start_ingest(
         stream_files(spark, folder), lambda s: read_header_store(s, store), tables, log
     ).awaitTermination()
+    return _all_tables(tables)
+
+
+def _all_tables(tables: ProductTables) -> DataFrame:
+    """Rows of all products, in all their columns, and rejects."""
     loaded = tables.read(REJECTS).select(
-        F.lit(REJECTS).alias("table_name"),
-        F.concat("reason", F.lit(" "), "value").alias("item"),
-        F.lit(None).cast("bigint").alias("total_size"),
-        F.lit(None).cast("string").alias("dataset_name"),
+        F.lit(REJECTS).alias("table_name"), F.concat("reason", F.lit(" "), "value").alias("item")
     )
     for table in PRODUCT_SCHEMAS:
-        loaded = loaded.unionByName(
-            tables.read(table).select(
-                F.lit(table).alias("table_name"),
-                F.col("base_url").alias("item"),
-                "total_size",
-                "dataset_name",
-            )
-        )
+        rows = _utc(tables.read(table)).withColumn("table_name", F.lit(table))
+        loaded = loaded.unionByName(rows, allowMissingColumns=True)
     return loaded
 
 
+def csv_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """The CSV objects of a micro-batch that was loaded, and loaded again after a failure."""
+    tables = _new_tables(spark)
+    tables.ensure()
+    for _ in range(2):
+        load_batch(
+            fx.messages(spark, sf), fx.granule_headers(spark, sf), tables, "run", 0, bucket=BUCKET
+        )
+    return tables.read(OBJECTS).select("table_name", "name", "dest_uri", "csv_text")
+
+
+def object_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects of one base name in several folders, the later half of them loaded first."""
+    tables = _new_tables(spark)
+    tables.ensure()
+    messages = fx.messages(spark, sf, fx.SHARED_NAME_SQL)
+    headers = fx.granule_headers(spark, sf, name=fx.SHARED_NAME_SQL)
+    for number, half in enumerate((1, 0)):
+        own = messages.filter(F.col("msg_seq") % 2 == half)
+        load_batch(own, headers, tables, "run", number, bucket=BUCKET)
+    rows = None
+    for table in PRODUCT_SCHEMAS:
+        count = tables.read(table).groupBy("base_url").count()
+        rows = count if rows is None else rows.unionByName(count)
+    current = tables.current_objects().withColumn("base_url", F.concat(F.lit(OBJECT_URL_PREFIX), "name"))
+    shown = current.join(rows, "base_url").select(
+        "dest_uri", "name", "table_name", "csv_text", F.col("count").alias("rows_of_name")
+    )
+    return shown
+
+
+_START = F.lit("2024-06-01 00:00:00").cast("timestamp")
+
+
+def late_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages whose headers are there, come five minutes later, or never; ten minutes are waited.
+
+    Times are those of messages and headers, so the result does not hang on the clock.
+    """
+    folder, store, log = (working_path(spark, part) for part in ("messages", "headers", "log"))
+    tables = _new_tables(spark)
+    number = F.substring("name", -15, 12).cast("bigint")
+    headers = fx.granule_headers(spark, sf).withColumn("day", F.substring_index("name", "/", 3))
+
+    def store_headers(kinds: list[int], seconds: int) -> None:
+        version = F.unix_micros(_START) + seconds * 1_000_000
+        own = headers.filter((number % 5).isin(kinds)).withColumn("version", version)
+        own.write.mode("append").partitionBy("day").parquet(store)
+
+    def run() -> None:
+        start_ingest(
+            stream_files(spark, folder),
+            lambda session: read_header_store(session, store),
+            tables,
+            log,
+            late=LateHeaders(
+                stream_header_store(spark, store), 600, 600, F.timestamp_micros("version")
+            ),
+            arrived=F.coalesce("updated", _START),
+        ).awaitTermination()
+
+    texts = fx.messages(spark, sf).select(
+        F.regexp_replace("value", '"updated":"[^"]*"', '"updated":"2024-06-01T00:00:00Z"').alias("value")
+    )
+    texts.write.mode("append").text(folder)
+    store_headers([0, 1], 0)
+    run()
+    store_headers([2, 3], 300)
+    run()
+    # the day after, any message shows that the wait is over
+    later = '{"id": "later", "name": "other/later.nc", "updated": "2024-06-02T00:00:00Z"}'
+    spark.range(1).select(F.lit(later).alias("value")).write.mode("append").text(folder)
+    run()
+    found = tables.read(REJECTS).select(
+        F.concat(F.lit(OBJECT_URL_PREFIX), "name").alias("base_url"), F.col("reason").alias("verdict")
+    )
+    for table in PRODUCT_SCHEMAS:
+        found = found.unionByName(tables.read(table).select("base_url", F.lit("loaded").alias("verdict")))
+    return found.groupBy("base_url", "verdict").agg(F.count("*").alias("n"))
+
+
+def distinct_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of which a third are delivered twice, in two micro-batches, with and without dropping repeats."""
+    folder = working_path(spark, "messages")
+    messages = fx.messages(spark, sf)
+    messages.select("value").write.mode("append").text(folder)
+    found = None
+    for name, option in (("as delivered", lambda parsed: parsed), ("distinct", first_of_each)):
+        out, log = working_path(spark, "out"), working_path(spark, "log")
+
+        def run(option=option, out=out, log=log) -> None:
+            parsed = parse_messages(stream_files(spark, folder)).withColumn("arrived", F.current_timestamp())
+            (
+                option(parsed.withWatermark("arrived", "1 day"))
+                .select("id", "value")
+                .writeStream.format("parquet")
+                .option("checkpointLocation", log)
+                .trigger(availableNow=True)
+                .start(out)
+                .awaitTermination()
+            )
+
+        if found is None:
+            run()
+            messages.filter("msg_seq % 3 = 0").select("value").write.mode("append").text(folder)
+        run()
+        counted = spark.read.parquet(out).groupBy("id", "value").agg(F.count("*").alias("n"))
+        counted = counted.withColumn("option", F.lit(name))
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 # --- catalogue --------------------------------------------------------------
 def catalog_glob(spark: SparkSession, sf: str) -> DataFrame:
     found = catalog.match_locations(
@@ -272,14 +421,14 @@ def base_url_prefix(spark: SparkSession, sf: str) -> DataFrame:
 # --- tracking ---------------------------------------------------------------
 def _seeded_store(spark: SparkSession, sf: str) -> TrackingStore:
     store = TrackingStore(spark, working_path(spark, "tracking"), PROJECT)
-    store.replace(fx.tracking(spark, sf).filter(F.col("project") == PROJECT))
+    store.append(fx.tracking(spark, sf).filter(F.col("project") == PROJECT))
     return store
 
 
 def _full_store(spark: SparkSession, sf: str) -> TrackingStore:
     """A store that holds the rows of all projects."""
     store = TrackingStore(spark, working_path(spark, "tracking"), PROJECT)
-    store.replace(fx.tracking(spark, sf))
+    store.append(fx.tracking(spark, sf))
     return store
 
 
@@ -309,14 +458,14 @@ def claim_state(spark: SparkSession, sf: str) -> DataFrame:
     rows = tracking.claim_rows(tracking.DEFAULT_BATCH_SIZE, 50)
     claimed = tracking.claim(store.read(), PROJECT, rows)
     store.update(tracking.changed_rows(store.files(), tracking.claimed_updates(claimed, PROJECT)))
-    return store.read()
+    return store.whole()
 
 
 def complete_batch(spark: SparkSession, sf: str) -> DataFrame:
     store = _full_store(spark, sf)
     headers = fx.stored_headers(spark, sf)
     process(store, headers, fx.MAPPING_CONFIG, STORE_PREFIX, max_to_process=50)
-    return store.read()
+    return store.whole()
 
 
 def drain_queue(spark: SparkSession, sf: str) -> DataFrame:
@@ -345,13 +494,11 @@ def metadata_csv_line(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def export_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    rows = tracking.exportable(fx.tracking(spark, sf), PROJECT, "rad")
-    lines = with_position(rows, tracking.QUEUE_ORDER)
-    header = spark.range(1).select(
-        F.lit(0).cast("bigint").alias("position"),
-        F.lit(mapping.mapped_header_line(fx.MAPPING_CONFIG, "rad")).alias("line"),
-    )
-    return lines.select("position", F.col("data").alias("line")).unionByName(header)
+    """The written export, read back in its order."""
+    folder, file = working_path(spark, "export"), working_path(spark, "mapping")
+    spark.range(1).select(F.lit(json.dumps(fx.MAPPING_CONFIG)).alias("value")).coalesce(1).write.text(file)
+    write_export(fx.tracking(spark, sf), load_mapping(spark, file), PROJECT, "rad", folder)
+    return read_export(spark, folder)
 
 
 def export_page(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,6 +523,11 @@ _QUERIES: dict[str, Query] = {
     "granule_csv": granule_csv,
     "destination_uri": destination_uris,
     "csv_roundtrip": csv_roundtrip,
+    "csv_load": csv_load,
+    "csv_objects": csv_objects,
+    "object_view": object_view,
+    "late_headers": late_headers,
+    "distinct_messages": distinct_messages,
     "ensure_tables": ensure_tables,
     "ingest_stream": ingest_stream,
     "catalog_glob": catalog_glob,

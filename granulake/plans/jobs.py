@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from granulake.operators.catalog import match_locations, new_tracking_rows, unseen_files
@@ -24,7 +24,7 @@ from granulake.plans.ingest import latest_named
 from granulake.schemas import QUEUED
 from granulake.session import working_path
 from granulake.sinks.csv_files import write_export
-from granulake.sinks.tracking_store import TrackingStore
+from granulake.sinks.tracking_table import TrackingStore
 
 
 @dataclass(frozen=True)
@@ -37,12 +37,14 @@ class Processed:
     still_queued: int
 
 
-def _written(df: DataFrame, label: str) -> DataFrame:
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Store an intermediate result in the shared folder and read it back, so
-    that later steps neither repeat it nor depend on lost executors."""
+    that later steps neither repeat it nor depend on lost executors. The rows
+    are counted as they are written."""
     path = working_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get["rows"]
 
 
 def walk(
@@ -115,17 +117,15 @@ def process(
     """
     project = store.project
     table = store.read()
-    claimed = _written(claim(table, project, claim_rows(batch_size, max_to_process)), "claimed")
-    count = claimed.count()
+    claimed, count = _written(claim(table, project, claim_rows(batch_size, max_to_process)), "claimed")
     queued = F.col("inqueue") == QUEUED
     if count == 0:
         return Processed(0, 0, 0, table.filter(queued).count())
     store.update(changed_rows(store.files(), claimed_updates(claimed, project)))
-    lines = _written(extract_lines(claimed, headers, config, store_prefix, location_root), "lines")
+    lines, processed = _written(extract_lines(claimed, headers, config, store_prefix, location_root), "lines")
     store.update(changed_rows(store.files(), done_updates(lines, project)))
     if rejects is not None:
         rejected_files(claimed, lines).write.mode("append").parquet(rejects)
-    processed = lines.count()
     return Processed(count, processed, count - processed, store.read().filter(queued).count())
 
 

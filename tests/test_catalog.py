@@ -22,7 +22,7 @@ from granulake.operators.tracking import (
 )
 from granulake.plans.jobs import export, extract_lines, process, walk
 from granulake.schemas import TRACKING_SCHEMA
-from granulake.sinks.tracking_store import TrackingStore
+from granulake.sinks.tracking_table import TrackingStore
 from granulake.sources.granules import (
     decode_headers,
     granule_files,
@@ -303,35 +303,39 @@ def test_walk_process_export(spark, tmp_path):
     assert store.read().filter(F.col("inqueue") == 1).count() == 1
 
 
-def test_unfinished_versions_do_not_count(spark, tmp_path):
-    store = TrackingStore(spark, str(tmp_path), "P")
-    store.append(tracked(spark, ("P", "/a", "", 1, "x", 1)))
-    store.replace(tracked(spark, ("P", "/a", "d", 1, "x", 0)))
-    assert [r.data for r in store.read().collect()] == ["d"]
-    (tmp_path / "P" / "v00000003-full-0").mkdir()
-    assert [r.data for r in store.read().collect()] == ["d"]
-    assert store.append(tracked(spark, ("P", "/b", "", 1, "x", 1))).startswith("v00000004-append")
-    assert store.read().count() == 2
+def test_projects_share_a_table_and_do_not_see_each_other(spark, tmp_path):
+    stores = [TrackingStore(spark, str(tmp_path / "it's"), project) for project in ("P/1", "Q")]
+    for store in stores:
+        assert store.read().count() == store.files().count() == 0
+        store.append(tracked(spark, (store.project, "/a", "", 1, "x", 1)))
+    stores[0].update(tracked(spark, ("P/1", "/a", "d", 1, "x", 0)).select("project", "path", "data", "inqueue"))
+    assert [state(store.read()) for store in stores] == [{("P/1", "/a"): ("d", 0)}, {("Q", "/a"): ("", 1)}]
+    assert stores[0].whole().count() == 2 and stores[0].read().schema.names == TRACKING_SCHEMA.names
+    stores[0].fold()
+    assert len(stores[0].loads()) == len(stores[1].loads()) == 1
+    again = TrackingStore(spark, str(tmp_path / "it's"), "P/1")
+    assert state(again.whole()) == {("P/1", "/a"): ("d", 0), ("Q", "/a"): ("", 1)}
 
 
-def test_additions_that_overlap_a_rewrite_stay(spark, tmp_path):
+def test_writes_that_overlap_a_fold_stay(spark, tmp_path, monkeypatch):
+    """One row is added and one changed between the fold's reading and its writing."""
     store = TrackingStore(spark, str(tmp_path), "P")
-    store.append(tracked(spark, ("P", "/a", "", 1, "x", 1)))
-    versions = store.versions()
-    # both take their number after the rewrite read the table, one ends before it and one after
-    store.append(tracked(spark, ("P", "/b", "", 1, "x", 1)))
-    late = store.append(tracked(spark, ("P", "/c", "", 1, "x", 1)))
-    done = tmp_path / "P" / late / "_SUCCESS"
-    done.rename(tmp_path / "later")
-    store.replace(tracked(spark, ("P", "/a", "d", 1, "x", 0)), versions)
-    assert sorted(r.path for r in store.read().collect()) == ["/a", "/b"]
-    (tmp_path / "later").rename(done)
-    assert sorted((r.path, r.data) for r in store.read().collect()) == [("/a", "d"), ("/b", ""), ("/c", "")]
-    store.replace(store.read())
-    store.append(tracked(spark, ("P", "/d", "", 1, "x", 1)))
-    gone = store.compact()
-    assert len(gone) == 4 and not any((tmp_path / "P" / name).exists() for name in gone)
-    assert sorted(r.path for r in store.read().collect()) == ["/a", "/b", "/c", "/d"]
+    store.append(tracked(spark, ("P", "/a", "", 1, "x", 1), ("P", "/b", "", 1, "x", 1)))
+    store.update(tracked(spark, ("P", "/a", "", 1, "x", 2)).select("project", "path", "data", "inqueue"))
+    other = TrackingStore(spark, str(tmp_path), "P")
+    write = store._write
+
+    def late_write(*given):
+        other.append(tracked(spark, ("P", "/c", "", 1, "x", 1)))
+        other.update(tracked(spark, ("P", "/a", "line", 1, "x", 0)).select("project", "path", "data", "inqueue"))
+        write(*given)
+
+    monkeypatch.setattr(store, "_write", late_write)
+    store.fold()
+    expected = {("P", "/a"): ("line", 0), ("P", "/b"): ("", 1), ("P", "/c"): ("", 1)}
+    assert state(store.read()) == expected and len(store.loads()) == 3
+    other.fold()
+    assert state(store.read()) == expected and len(store.loads()) == 1
 
 
 def test_text_that_looks_like_a_number_stays(spark):
@@ -351,20 +355,18 @@ def test_updates_cost_their_own_size_and_the_latest_counts(spark, tmp_path):
     )
     store.append(table)
     names = spark.createDataFrame([("f",)], "filename string")
-    update = store.update(changed_rows(store.files(), claimed_updates(names, "P")))
-    assert spark.read.parquet(f"{store.folder}/{update}").count() == 2
+    store.update(changed_rows(store.files(), claimed_updates(names, "P")))
+    assert spark.table(store.table).filter(F.col("load") == store.loads()[-1]).count() == 2
     changed = {("P", "/x/f"): ("", 2), ("P", "/y/f"): ("", 2), ("P", "/g"): ("", 1), ("Q", "/x/f"): ("", 1)}
-    assert state(store.read()) == changed
+    assert state(store.whole()) == changed
     # a later addition of the same name is not reached by the claim before it
     store.append(tracked(spark, ("P", "/z/f", "", 1, "x", 1)))
     lines = spark.createDataFrame([("f", "/x/f", T0, "line")], "filename string, path string, mtime timestamp_ntz, csv_line string")
-    versions = store.versions()
     assert state(store.read())[("P", "/z/f")] == ("", 1)
     store.update(changed_rows(store.files().filter("path <> '/z/f'"), done_updates(lines, "P")))
-    # a rewrite that did not read the last update does not undo it
-    store.replace(store.read(versions), versions)
     expected = changed | {("P", "/x/f"): ("line", 0), ("P", "/y/f"): ("line", 0), ("P", "/z/f"): ("", 1)}
-    assert state(store.read()) == expected
+    assert state(store.whole()) == expected
+    # a state of a row that was never added adds none
+    store.update(tracked(spark, ("P", "/never", "", 1, "x", 2)).select("project", "path", "data", "inqueue"))
     store.fold()
-    store.compact()
-    assert len(store.versions()) == 1 and state(store.read()) == expected
+    assert len(store.loads()) == 1 and state(store.whole()) == expected
