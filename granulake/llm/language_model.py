@@ -8,8 +8,8 @@ matrix product, so probabilities are normalised. Within a shared class a word ha
 (c + 1) / (N + V + 1) of the class's own counts.
 
 * Counts of all training words are a grouped sum over the whole corpus. The
-  `KNOWN` most frequent are sent to the tasks (a fixed bound); the counts of all
-  rarer words stay in Spark and meet the rarer tokens by a join.
+  words above the least count that at most `KNOWN` words reach are sent to the tasks (a fixed
+  bound); the counts of all rarer words stay in Spark and meet the rarer tokens by a join.
 * Class pairs are counted over all training texts into at most classes ** 2 sums,
   and the embeddings are trained on them in numpy by noise-contrastive
   estimation, starting from the unigram model.
@@ -81,9 +81,19 @@ def word_counts(training: DataFrame) -> DataFrame:
     return saved(found.withColumn("class", tail_class_column(F.col("word")).cast("int")), "word-counts")
 
 
+def least_count(counts: DataFrame) -> int:
+    """The least count that no more than `KNOWN` words reach, from how many words have each count."""
+    many = 1 << 20  # counts from here on are one, so the driver gets no more numbers than that
+    found = counts.groupBy(F.least("n", F.lit(many)).alias("n")).agg(F.count("*").alias("words")).toPandas()
+    found = found.sort_values("n", ascending=False)
+    fits = found["n"][found["words"].cumsum() <= KNOWN]
+    return int(fits.min()) if len(fits) else many * many
+
+
 def lexicon(counts: DataFrame, texts: int) -> tuple[Lexicon, DataFrame]:
     """The tasks' lexicon, and the counts of the words that are not in it."""
-    top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).toPandas()
+    least = least_count(counts)
+    top = counts.where(F.col("n") >= least).toPandas().sort_values(["n", "word"], ascending=[False, True], ignore_index=True)
     sums = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
     tokens = int(sums["n"].sum()) + texts
     base_log = np.log10(tokens + int(sums["v"].sum()) + (texts > 0) + 1)
@@ -100,11 +110,8 @@ def lexicon(counts: DataFrame, texts: int) -> tuple[Lexicon, DataFrame]:
     within = np.log10(n + 1) + floor[classes]
     within[:own] = 0
     place = {w.encode(): i for i, w in enumerate(top["word"])}
-    last = (int(n[-1]), top["word"].iloc[-1]) if len(top) == KNOWN else None
     known = Lexicon(place, classes, np.log10(n + 1) - base_log, within, floor, -base_log, np.log10(texts + 1) - base_log, texts > 0, tokens)
-    if last is None:
-        return known, counts.limit(0)
-    return known, counts.where((F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("word") > last[1])))
+    return known, counts.where(F.col("n") < least)
 
 
 def coded(batch: pa.RecordBatch, known: Lexicon) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:

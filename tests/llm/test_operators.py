@@ -442,9 +442,12 @@ def test_language(spark):
     assert language.of_documents(docs.limit(0)).count() == 0
 
 
-def test_language_model(docs, none):
+@pytest.mark.parametrize("most", [language_model.KNOWN, 30, 0])
+def test_language_model(docs, none, monkeypatch, most):
+    """With all words sent to the tasks, some, and none."""
     import math
 
+    monkeypatch.setattr(language_model, "KNOWN", most)
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in TEXTS}
     tokens = {i: [*(t or "").encode().lower().split(), None] for i, t in TEXTS.items()}
     counts = Counter(x for i, w in tokens.items() if not held[i] for x in w)
