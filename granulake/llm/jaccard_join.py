@@ -144,29 +144,22 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, l
 MAP_BITS = 1 << 26
 
 
-def marked(ids: DataFrame) -> np.ndarray:
-    """A bit map of hashed ids: an id whose bit is 0 is not among them."""
-    bit = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)) + 1
-    found = ids.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("position"))
-    flags = np.zeros(MAP_BITS // 8, dtype=np.uint8)
-    for row in found.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")).collect():
-        part = np.frombuffer(row.bits, dtype=np.uint8)
-        flags[(row.bucket - 1) * len(part) : row.bucket * len(part)] = part
-    return flags
-
-
-def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text", n: int = NGRAM, wanted: np.ndarray | None = None) -> DataFrame:
-    """`rows(id, n-grams)` of each text of (id, text); with a bit map of the wanted ids, of these and the few others it cannot tell from them."""
-    if wanted is not None:
-        flags = docs.sparkSession.sparkContext.broadcast(wanted)
-        some = docs.withColumn("bit", F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)))
-
-        def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                bit = batch.column("bit").to_numpy()
-                yield batch.filter(pa.array(flags.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 > 0))
-
-        docs = some.mapInArrow(told, some.schema)
+def likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of wanted ids, and the few others that a bit map of hashed ids cannot tell from them.
+
+    The map is at most `MAP_BITS` bits, so it is broadcast whatever the number of ids; no row is moved.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)) + 1
+    bucket, position = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    marks = wanted.select(bucket.alias("bucket"), position.alias("position"))
+    marks = saved(marks.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")), "wanted-bits")
+    held = docs.select("*", bucket.alias("bucket"), position.alias("position")).join(F.broadcast(marks), "bucket")
+    byte = F.conv(F.hex(F.expr("substring(bits, CAST(position DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    return held.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(position % 8 AS INT))")) != 0).select(*docs.columns)
+
+
+def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text", n: int = NGRAM) -> DataFrame:
+    """`rows(id, n-grams)` of each text of (id, text)."""
     hashes = F.transform(words(lower_ascii(F.col(text))), lambda w: F.xxhash64(w))
     types = [f for f in schema.split(", ")]
     names = [t.split(" ")[0] for t in types]
@@ -333,7 +326,7 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: in
     entries = saved(entries.join(pivots.select("list", F.col("top.key").alias("pivot"), F.col("top.n").alias("n_pivot")), "list"), "pivoted-lists")
 
     wanted = entries.select("key").distinct().join(classes, "key").select("id")
-    sets = over_sets(docs, lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>", n=n, wanted=marked(wanted))
+    sets = over_sets(likely(docs, wanted), lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>", n=n)
     sets = saved(sets, "sets")
 
     # distances to the pivots
