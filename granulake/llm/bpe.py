@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from granulake.llm.common import pieces
 
-#: Words a task remembers at most.
+#: Words a task remembers at most, unless told otherwise.
 KNOWN_WORDS = 600_000
 #: Bytes of text handled at a time.
 PIECE_BYTES = 4_000_000
@@ -77,6 +77,7 @@ class WordBpe:
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.apart: dict[tuple[str, str], bool] = {}
         self.known: dict[str, tuple[int, ...]] = {}
+        self.known_words = KNOWN_WORDS
         self.texts: pa.Array | None = None
 
     def _stay_apart(self, left: str, right: str) -> bool:
@@ -125,7 +126,7 @@ class WordBpe:
 
     def learn(self, new_words: set[str]) -> None:
         """Encode words together and remember their ids."""
-        if len(self.known) + len(new_words) > KNOWN_WORDS:
+        if len(self.known) + len(new_words) > self.known_words:
             self.known = {}
             self.apart = {}
         trie: dict = {}
@@ -209,10 +210,13 @@ def vocabulary(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+def encode_decode(
+    docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", known_words: int | None = None
+) -> DataFrame:
     """Each row with the ids of its text and the text these ids decode to.
 
-    `path` names a tokenizer file that every executor has. Columns already
+    `path` names a tokenizer file that every executor has; a task remembers at most
+    `known_words` words. Columns already
     called `ids` or `decoded` are replaced.
     """
     kept = [f for f in docs.schema if f.name not in (ids, decoded)]
@@ -221,6 +225,7 @@ def encode_decode(docs: DataFrame, path: str, text: str = "text", ids: str = "id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
+        bpe.known_words = KNOWN_WORDS if known_words is None else known_words
         for batch in batches:
             for piece in pieces(batch, text, PIECE_BYTES):
                 coded = bpe.encode_batch([t or "" for t in piece.column(text).to_pylist()])
