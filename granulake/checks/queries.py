@@ -285,21 +285,19 @@ def object_view(spark: SparkSession, sf: str) -> DataFrame:
     return shown
 
 
-_START = F.lit("2024-06-01 00:00:00").cast("timestamp")
-
-
 def late_headers(spark: SparkSession, sf: str) -> DataFrame:
     """Messages whose headers are there, come five minutes later, or never; ten minutes are waited.
 
     Times are those of messages and headers, so the result does not hang on the clock.
     """
     folder, store, log = (working_path(spark, part) for part in ("messages", "headers", "log"))
+    start = F.lit("2024-06-01 00:00:00").cast("timestamp")
     tables = _new_tables(spark)
     number = F.substring("name", -15, 12).cast("bigint")
     headers = fx.granule_headers(spark, sf).withColumn("day", F.substring_index("name", "/", 3))
 
     def store_headers(kinds: list[int], seconds: int) -> None:
-        version = F.unix_micros(_START) + seconds * 1_000_000
+        version = F.unix_micros(start) + seconds * 1_000_000
         own = headers.filter((number % 5).isin(kinds)).withColumn("version", version)
         own.write.mode("append").partitionBy("day").parquet(store)
 
@@ -312,7 +310,7 @@ def late_headers(spark: SparkSession, sf: str) -> DataFrame:
             late=LateHeaders(
                 stream_header_store(spark, store), 600, 600, F.timestamp_micros("version")
             ),
-            arrived=F.coalesce("updated", _START),
+            arrived=F.coalesce("updated", start),
         ).awaitTermination()
 
     texts = fx.messages(spark, sf).select(
