@@ -64,14 +64,15 @@ def located_headers(claimed: DataFrame, headers: DataFrame, location_root: str)
     """Claimed files with their latest header from a header store.
 
     An object's name is its path below the root. Days are part of the key, so a
-    small claim opens only the days it names.
+    small claim opens only the days it names. A claim holds a path once or a few times, so
+    no key is hot and the headers stay where they were grouped: their texts are shuffled once.
     """
     # Spark prunes days at run time only for a side that is filtered
     below = claimed.filter(F.col("path").startswith(location_root.rstrip("/") + "/"))
     named = below.withColumn("name", object_name(F.col("path"), location_root))
     named = named.withColumn("day", day_folder(F.col("name")))
     keys = ["name", "day"]
-    return join_unique(named, latest_named(headers, named, keys), keys, "inner").drop(*keys)
+    return named.join(latest_named(headers, named, keys), keys).drop(*keys)
 
 
 def extract_lines(

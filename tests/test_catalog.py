@@ -20,7 +20,7 @@ from granulake.operators.tracking import (
     claimed_updates,
     done_updates,
 )
-from granulake.plans.jobs import export, extract_lines, process, walk
+from granulake.plans.jobs import export, extract_lines, located_headers, process, walk
 from granulake.schemas import TRACKING_SCHEMA
 from granulake.sinks.tracking_table import TrackingStore
 from granulake.sources.granules import (
@@ -154,6 +154,23 @@ def test_lines_from_the_header_store_use_the_latest_and_prune_days(spark, tmp_pa
     assert "dynamicpruning" in lines._jdf.queryExecution().executedPlan().toString()
 
 
+def test_header_texts_of_claimed_files_are_shuffled_once(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = [("/s/p/2020/1/g.nc", header())]
+    write_header_store(named_headers(spark.createDataFrame(rows, "path string, header string"), "/s/"), folder)
+    claimed = spark.createDataFrame([("g.nc", "/s/p/2020/1/g.nc")], "filename string, path string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = located_headers(claimed, read_header_store(spark, folder), "/s")
+        assert [r.path for r in found.collect()] == ["/s/p/2020/1/g.nc"]
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert lines and not any("struct" in line or "_key" in line for line in lines)
+
+
 # --- queue ------------------------------------------------------------------
 @pytest.mark.parametrize(
     ("cap", "batch", "rows"), [(120, 50, 150), (0, 50, 0), (-1, 50, None), (100, 50, 100), (-7, 50, 0)]
