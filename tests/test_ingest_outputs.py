@@ -3,19 +3,22 @@
 import csv
 import io
 import json
+import re
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from granulake.__main__ import run
+from granulake.operators.messages import parse_messages
+from granulake.plans.ingest import attach_headers
 from granulake.schemas import PRODUCT_SCHEMAS
 from granulake.sinks.csv_files import read_export, write_export, write_product_csv
 from granulake.sinks.product_tables import OBJECTS, REJECTS, ProductTables
-from granulake.sources.granules import read_header_store, stream_header_store, write_header_store
+from granulake.sources.granules import STORE_SCHEMA, read_header_store, stream_header_store, write_header_store
 from granulake.sources.notifications import batch_files, stream_files
 from granulake.sources.product_csv import read_product_files
-from granulake.streaming.ingest import LateHeaders, load_batch, start_ingest
+from granulake.streaming.ingest import LateHeaders, load_batch, start_ingest, with_late_headers
 from test_products import GLM, header, load
 from test_streaming import FOLDERS, message, name_of
 
@@ -123,6 +126,32 @@ def test_late_header_gives_one_row_and_no_header_one_reject(spark, tmp_path, tab
     assert seen() == (["g1.nc", "g2.nc"], [("malformed", None), ("object_not_found", "g3.nc")])
 
 
+def test_waiting_holds_no_header_texts(spark, tmp_path):
+    """The state's rows are the two sides of the join."""
+    store = str(tmp_path / "headers")
+    write_header_store(spark.createDataFrame([("a", "{}")], "name string, header string"), store)
+    (tmp_path / "messages").mkdir()
+    parsed = parse_messages(stream_files(spark, str(tmp_path / "messages")).select("value"))
+    parsed = parsed.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", "1 hour")
+    waiting = with_late_headers(parsed, LateHeaders(stream_header_store(spark, store), 600))
+    plan = waiting._jdf.queryExecution().analyzed().toString()
+    assert "header" not in waiting.columns and "header_version" in waiting.columns
+    assert not [line for line in plan.splitlines() if "Project" in line and re.search(r"\bheader#", line)]
+
+
+def test_a_message_gets_the_version_it_waited_for(spark):
+    name, lost = name_of(GLM, 1), name_of(GLM, 2)
+    day = name.rpartition("/06/")[0]
+    rows = [(n, f"{n} {v}", v, day) for n in (name, lost) for v in (1, 2, 3)]
+    headers = spark.createDataFrame(rows, STORE_SCHEMA)
+    sent = [(GLM, name, 2), (GLM, name, 1), (GLM, name, 1), (GLM, lost, 7), (GLM, lost, None)]
+    messages = spark.createDataFrame(sent, "table_name string, name string, header_version bigint")
+    found = attach_headers(messages.withColumn("own", F.col("header_version")), headers)
+    assert found.columns == ["table_name", "name", "own", "header"]
+    got = sorted((r.name, r.own or 0, r.header) for r in found.collect())
+    assert got == [(name, 1, f"{name} 1"), (name, 1, f"{name} 1"), (name, 2, f"{name} 2"), (lost, 0, f"{lost} 3"), (lost, 7, f"{lost} 3")]
+
+
 @pytest.mark.parametrize("within, expected", [(3600, ["g1.nc"]), (None, ["g1.nc", "g1.nc"])])
 def test_a_message_delivered_again(spark, tmp_path, tables, within, expected):
     headers = stored(spark, tmp_path, (name_of(GLM, 1), json.dumps(header(GLM))))
