@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from granulake.functions.csv_text import CSV_OPTIONS
 from granulake.operators.once import with_computed
 from granulake.schemas import PRODUCT_SCHEMAS
+from granulake.session import working_path
 
 _CORRUPT = "_corrupt_record"
 _FILE = "_file"
@@ -53,13 +54,16 @@ def read_product_files(spark: SparkSession, folder: str, table: str) -> tuple[Da
 
     A file is loaded as a whole or not at all. Of a refused file: its path as
     `name`, and as `value` its first bad line in text order. Refused
-    files are found by one pass and kept out by an anti join on their
-    paths, so a file may be read by many tasks.
+    files are found by one pass, written to the shared folder, and kept out by an anti join on their
+    paths, so a file may be read by many tasks, and is read twice in all.
     """
     row = F.col("_row")
     whole = _lines(spark, folder, table).select("_row")
     bad = whole.filter(row[_CORRUPT].isNotNull())
     refused = bad.groupBy(row[_FILE].alias("name")).agg(F.min(row[_CORRUPT]).alias("value"))
+    path = working_path(spark, "refused")
+    refused.write.parquet(path)
+    refused = spark.read.schema(refused.schema).parquet(path)
     good = whole.filter(row[_CORRUPT].isNull()).select("_row.*").drop(_CORRUPT)
     kept = good.join(refused.select(F.col("name").alias(_FILE)), _FILE, "left_anti")
     return kept.drop(_FILE), refused

@@ -213,3 +213,13 @@ def test_an_export_is_read_back_in_its_order(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("part-*"))) > 1
     read = {r.position: r.line for r in read_export(spark, str(tmp_path / "out")).collect()}
     assert read == {0: "base_url,scene", **{i + 1: f"line {i}" for i in range(500)}}
+
+
+def test_refused_files_are_looked_for_once(spark, tmp_path):
+    """What follows reads the found files, not all lines again."""
+    rows, _ = load(spark, header(GLM), GLM)
+    write_product_csv(spark.createDataFrame(rows, PRODUCT_SCHEMAS[GLM]), f"{tmp_path}/csv")
+    kept, refused = read_product_files(spark, f"{tmp_path}/csv", GLM)
+    plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in (kept, refused)]
+    assert [plan.count("FileScan csv") for plan in plans] == [1, 0]
+    assert kept.collect() == rows and refused.isEmpty()
