@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import keyed_rows, saved, words
+from granulake.llm.common import arrow_batches, keyed_rows, saved, words
 from granulake.llm.components import components
 from granulake.llm.repeats import BASE, MIX, mixed
 from granulake.llm.substring_dedup import word_tokens
@@ -177,6 +177,8 @@ def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema:
     return docs.select("id", hashes.alias("tokens")).mapInArrow(work, schema)
 
 
+#: Of rows given to Python at once. A chunk's row, of up to a few MB, is never cut.
+BATCH_BYTES = "4m"
 #: Codes that meet in one bucket, on average.
 BUCKET_CODES = 2_000_000
 
@@ -369,6 +371,12 @@ def joined_rows(keyed: DataFrame, text: str, n: int, percent: int) -> DataFrame:
     """`row_key`, `n_shingles` and `component`, the smallest key reachable, of rows with a `__key`."""
     if n < 1 or not 1 <= percent <= 99:
         raise ValueError(f"{n}-grams, {percent} percent")
+    # chunks and sets are wide rows; all that reads them in Python is written in here
+    with arrow_batches(keyed.sparkSession, BATCH_BYTES):
+        return _joined_rows(keyed, text, n, percent)
+
+
+def _joined_rows(keyed: DataFrame, text: str, n: int, percent: int) -> DataFrame:
     keyed = keyed.select(F.col("__key").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     chunks = saved(set_chunks(keyed.select("id", "text"), n, percent), "set-chunks")
     sets = chunks.select(F.explode(F.arrays_zip("ids", "sizes", "keys")).alias("s"))

@@ -547,3 +547,19 @@ def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     texts = {r.doc_id: r.n_tokens for r in rows}
     assert len(texts) == len(rows) and 100 < len(rows) <= 200
+
+
+def test_a_jaccard_join_hands_wide_rows_to_python_in_small_batches(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, plain = spark.conf.get(name), {}, jaccard_join.saved
+
+    def saved(df, label):
+        seen[label] = spark.conf.get(name)
+        return plain(df, label)
+
+    monkeypatch.setattr(jaccard_join, "saved", saved)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([*words, f"x{i}"])) for i in range(3)], "doc_id long, text string")
+    assert [r.component_id for r in jaccard_join.joined(docs).collect()] == [0, 0, 0]
+    assert {"set-chunks", "shared-lists", "sets", "pivot-distances"} <= set(seen) and set(seen.values()) == {"4m"}
+    assert spark.conf.get(name) == before
