@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import arrow_batches, keyed_rows, saved, words
+from granulake.llm.common import arrow_batches, keyed_rows, likely, saved, words
 from granulake.llm.components import components
 from granulake.llm.repeats import BASE, MIX, mixed
 from granulake.llm.substring_dedup import word_tokens
@@ -140,24 +140,6 @@ def signatures(grams: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, l
     return np.concatenate(out).view(np.int64), counts, needs
 
 
-#: Bits of the map of wanted ids: its size, 8 MB, is the same for any number of ids.
-MAP_BITS = 1 << 26
-
-
-def likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of wanted ids, and the few others that a bit map of hashed ids cannot tell from them.
-
-    The map is at most `MAP_BITS` bits, so it is broadcast whatever the number of ids; no row is moved.
-    """
-    place = F.pmod(F.xxhash64("id"), F.lit(MAP_BITS)) + 1
-    bucket, position = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
-    marks = wanted.select(bucket.alias("bucket"), position.alias("position"))
-    marks = saved(marks.groupBy("bucket").agg(F.bitmap_construct_agg("position").alias("bits")), "wanted-bits")
-    held = docs.select("*", bucket.alias("bucket"), position.alias("position")).join(F.broadcast(marks), "bucket")
-    byte = F.conv(F.hex(F.expr("substring(bits, CAST(position DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-    return held.where(byte.bitwiseAND(F.expr("shiftleft(1, CAST(position % 8 AS INT))")) != 0).select(*docs.columns)
-
-
 def over_sets(docs: DataFrame, rows: Callable[[int, np.ndarray], tuple], schema: str, text: str = "text", n: int = NGRAM) -> DataFrame:
     """`rows(id, n-grams)` of each text of (id, text)."""
     hashes = F.transform(words(lower_ascii(F.col(text))), lambda w: F.xxhash64(w))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import pieces, saved
+from granulake.llm.common import arrow_batches, pieces, saved
 from granulake.llm.suffix_dedup import raw
 
 BUCKETS = 8192
@@ -41,6 +41,8 @@ HOST_WEIGHT = 20.0
 UNKNOWN, UNKNOWN_PRIOR = "und", 0.01
 SURE = 0.5
 PIECE_BYTES = 1_000_000
+#: Of rows given to Python at once. A row is never cut.
+BATCH_BYTES = "4m"
 
 
 def _letters() -> np.ndarray:
@@ -99,7 +101,8 @@ def model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
     What comes to the driver is at most `BUCKETS` counts per declared language.
     """
-    table = counted(docs).toPandas()
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        table = counted(docs).toPandas()
     langs = sorted(set(table["lang"]) - {UNKNOWN})
     logs = np.zeros((len(langs) + 1, BUCKETS + 1), dtype=np.float32)
     for i, lang in enumerate(langs):
@@ -167,7 +170,8 @@ def identify(rows: DataFrame, trained: tuple[list[str], np.ndarray]) -> DataFram
     names = F.array(*[F.lit(x) for x in [*langs, UNKNOWN]])
     size = len(langs) + 1
     hosted = rows.withColumns({n: F.coalesce(n, F.lit("")) for n in ("host", "domain", "text")})
-    seen = saved(text_evidence(hosted, logs), "text-evidence")
+    with arrow_batches(rows.sparkSession, BATCH_BYTES):
+        seen = saved(text_evidence(hosted, logs), "text-evidence")
     start = F.array(*[F.lit(float(np.log((1 - UNKNOWN_PRIOR) / max(1, len(langs)))))] * len(langs), F.lit(float(np.log(UNKNOWN_PRIOR))))
     plus = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     text = plus(F.transform("evidence", lambda x: x * TEMPER), start)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import saved
+from granulake.llm.common import arrow_batches, likely, saved
 
 #: Fixed odd multipliers of the polynomial hash and of the mixing step.
 BASE = 0x9E3779B97F4A7C15
@@ -38,6 +38,8 @@ MIX = 0xD6E8FEB86659FD93
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Tokens hashed at a time; longer texts are taken in parts that overlap by a window.
 PART = 1_000_000
+#: Of rows given to Python at once. A row is never cut.
+BATCH_BYTES = "4m"
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -274,15 +276,19 @@ def repeated_spans(
     otherwise if it starts anywhere else, in the same row too. `docs` has id and
     text; `prepare` makes what `tokens` reads of it, and keeps other columns.
     """
-    runs = run_table(prepare(docs), tokens, length, gram).select("id", "start", "count", F.col("anchor").alias("key"), F.col("run").alias("whole"), F.lit(True).alias("sole"))
-    spans, asked = settled(saved(runs, "runs"), earlier, "runs")
-    texts = saved(docs.join(asked, "id"), "texts-asked")
-    more, asked = settled(saved(block_table(prepare(texts), tokens, length, gram, block), "blocks"), earlier, "blocks")
-    windows = saved(window_table(prepare(texts.drop("asked").join(asked, "id")), tokens, length), "windows")
-    alike = windows.groupBy("key", "window").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
-    single = windows.where("sole").join(saved(alike, "windows-alike"), ["key", "window"])
-    single = single.where("id > least") if earlier else single
-    spans = spans.unionByName(more).unionByName(single.select("id", "start", F.lit(1).cast("long").alias("count")))
+    # all that Python makes of the texts is written in here
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        runs = run_table(prepare(docs), tokens, length, gram).select("id", "start", "count", F.col("anchor").alias("key"), F.col("run").alias("whole"), F.lit(True).alias("sole"))
+        spans, asked = settled(saved(runs, "runs"), earlier, "runs")
+        asked = saved(asked, "asked")
+        # only texts that are asked about are moved
+        texts = saved(likely(docs, asked).join(asked, "id"), "texts-asked")
+        more, asked = settled(saved(block_table(prepare(texts), tokens, length, gram, block), "blocks"), earlier, "blocks")
+        windows = saved(window_table(prepare(texts.drop("asked").join(asked, "id")), tokens, length), "windows")
+        alike = windows.groupBy("key", "window").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
+        single = windows.where("sole").join(saved(alike, "windows-alike"), ["key", "window"])
+        single = single.where("id > least") if earlier else single
+        spans = spans.unionByName(more).unionByName(single.select("id", "start", F.lit(1).cast("long").alias("count")))
     return spans.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("spans"))
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granulake.llm.common import keyed_rows, pieces
+from granulake.llm.common import keyed_rows, pieces, saved, with_mark
 from granulake.llm.repeats import MIX, covered, maximal, mixed, repeated_spans
 
 LENGTH = 200
@@ -72,10 +72,14 @@ def cut_repeats(
     keyed = numbered.select(F.col("__key").alias("id"), row.alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     spans = repeated_spans(keyed.select("id", "text"), lambda rows: rows, byte_tokens, length, gram, BLOCK, earlier=False)
 
+    # the text is handed over once, within its row
+    place = docs.columns.index(text)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         for batch in batches:
-            for piece in pieces(batch, "text", 8 * PIECE_BYTES):
+            batch = batch.append_column("text", batch.column("row").field(place).fill_null(""))
+            for piece in pieces(batch, "text", 2 * PIECE_BYTES):
                 data, ends = raw(piece.column("text"))
                 begin, kept, removed, counts = 0, [], [], []
                 for end, span in zip(ends.tolist(), piece.column("spans"), strict=True):
@@ -91,7 +95,12 @@ def cut_repeats(
                 yield pa.RecordBatch.from_arrays(columns, ["row", "n_bytes", "kept", "removed"])
 
     schema = f"row {keyed.schema['row'].dataType.simpleString()}, n_bytes long, kept {'string' if as_text else 'binary'}, removed array<struct<start:long,stop:long>>"
-    return keyed.join(spans, "id", "left").select("row", "text", "spans").mapInArrow(cut, schema)
+    # rows without spans stay where they are
+    spans = saved(spans, "spans")
+    marked = with_mark(keyed.select("id", "row"), spans, "__cut")
+    met = marked.where("__cut").join(spans, "id", "left").select("row", "spans")
+    rest = marked.where("not __cut").select("row", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    return met.unionByName(rest).mapInArrow(cut, schema)
 
 
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

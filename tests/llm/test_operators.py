@@ -563,3 +563,44 @@ def test_a_jaccard_join_hands_wide_rows_to_python_in_small_batches(spark, monkey
     assert [r.component_id for r in jaccard_join.joined(docs).collect()] == [0, 0, 0]
     assert {"set-chunks", "shared-lists", "sets", "pivot-distances"} <= set(seen) and set(seen.values()) == {"4m"}
     assert spark.conf.get(name) == before
+
+
+def test_texts_are_handed_to_python_in_small_batches_and_once(spark, monkeypatch):
+    from granulake.llm import repeats
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(name), {}
+    for module in (repeats, language):
+        def saved(df, label, plain=module.saved):
+            seen[label] = spark.conf.get(name)
+            return plain(df, label)
+
+        monkeypatch.setattr(module, "saved", saved)
+    shared = "".join(chr(97 + i * i % 23) for i in range(300))
+    docs = spark.createDataFrame([(i, shared + str(i), "en", "h") for i in range(2)], "doc_id long, text string, lang string, source string")
+    done = suffix_dedup.cut_repeats(docs)
+    assert [(r.n_bytes, bytes(r.kept)) for r in done.orderBy("row.doc_id").collect()] == [(301, b"0"), (301, b"1")]
+    below = done._jdf.queryExecution().analyzed().toString().split("MapInArrow")[1].split("\n", 1)[1]
+    assert below.lstrip(" +-:").startswith("Union") and "Project [row#" in below.split("\n")[1]
+    language.of_documents(docs).collect()
+    assert {seen[label] for label in ("runs", "blocks", "windows", "text-evidence")} == {"4m"}
+    assert spark.conf.get(name) == before
+
+
+def test_only_texts_with_repeats_are_shuffled(spark, monkeypatch):
+    from granulake.llm import repeats
+
+    plans, plain = {}, repeats.saved
+
+    def saved(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return plain(df, label)
+
+    monkeypatch.setattr(repeats, "saved", saved)
+    shared = "".join(chr(97 + i * i % 23) for i in range(300))
+    docs = spark.createDataFrame([(0, shared + "x"), (1, shared + "y"), (2, "z" * 100), (3, None)], "doc_id long, text string")
+    done = suffix_dedup.cut_repeats(docs)
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert "bits" in plans["texts-asked"] and "bits" in plan and "Union" in plan
+    left = suffix_dedup.without_repeats(docs).orderBy("doc_id").collect()
+    assert [r.text for r in left] == ["x", "y", "z" * 100, None]
