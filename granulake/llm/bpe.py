@@ -35,8 +35,10 @@ from granulake.llm.common import pieces
 
 #: Words a task remembers at most, unless told otherwise.
 KNOWN_WORDS = 600_000
+#: Words put into a trie at a time.
+TRIE_WORDS = 10_000
 #: Bytes of text handled at a time.
-PIECE_BYTES = 4_000_000
+PIECE_BYTES = 1_000_000
 
 
 def byte_letters() -> list[str]:
@@ -129,6 +131,12 @@ class WordBpe:
         if len(self.known) + len(new_words) > self.known_words:
             self.known = {}
             self.apart = {}
+        # neighbours share most, so little is lost by a trie for some of them at a time
+        ordered = sorted(new_words)
+        for start in range(0, len(ordered), TRIE_WORDS):
+            self._learn(ordered[start : start + TRIE_WORDS])
+
+    def _learn(self, new_words: list[str]) -> None:
         trie: dict = {}
         for word in new_words:
             node = trie

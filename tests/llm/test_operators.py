@@ -604,3 +604,16 @@ def test_only_texts_with_repeats_are_shuffled(spark, monkeypatch):
     assert "bits" in plans["texts-asked"] and "bits" in plan and "Union" in plan
     left = suffix_dedup.without_repeats(docs).orderBy("doc_id").collect()
     assert [r.text for r in left] == ["x", "y", "z" * 100, None]
+
+
+def test_bpe_holds_a_trie_for_some_words_at_a_time(monkeypatch):
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    text = " ".join(f"word{i} was{i * 7 % 11}ing" for i in range(40))
+    whole, own, sizes = bpe.WordBpe(path).encode_batch([text]).to_pylist(), bpe.WordBpe(path), []
+    monkeypatch.setattr(bpe, "TRIE_WORDS", 5)
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda words: (sizes.append(len(words)), learn(words)))
+    assert own.encode_batch([text]).to_pylist() == whole
+    assert len(sizes) > 1 and max(sizes) == 5
