@@ -223,3 +223,25 @@ def test_refused_files_are_looked_for_once(spark, tmp_path):
     plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in (kept, refused)]
     assert [plan.count("FileScan csv") for plan in plans] == [1, 0]
     assert kept.collect() == rows and refused.isEmpty()
+
+
+def test_a_batch_is_kept_in_files_of_each_table_and_leaves_none(spark, tmp_path, tables, monkeypatch):
+    headers = stored(spark, tmp_path, *[(name_of(t, 1), json.dumps(header(t))) for t in FOLDERS])
+    plans, load = {}, ProductTables.load
+
+    def noted(self, rows, table, *rest):
+        plans[table] = rows._jdf.queryExecution().executedPlan().toString()
+        load(self, rows, table, *rest)
+
+    monkeypatch.setattr(ProductTables, "load", noted)
+    tables.ensure()
+    load_batch(texts(spark, *[message(name_of(t, 1)) for t in FOLDERS], "broken"), headers, tables, "run", 0)
+    assert set(plans) == set(tables.schemas)
+    assert "BroadcastHashJoin" not in plans[REJECTS]
+    for table in FOLDERS:
+        # an output reads its own table's rows only, from files
+        assert "InMemoryTableScan" not in plans[table]
+        assert "(table_name" in plans[table] and "PartitionFilters: [isnotnull" in plans[table]
+        assert tables.read(table).count() == 1
+    assert tables.read(REJECTS).count() == 1 and tables.read(OBJECTS).count() == 4
+    assert not list((tmp_path / "tables").glob("_batches/*"))
