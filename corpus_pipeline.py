@@ -39,7 +39,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     # the workers of the earlier stages are still there, so fewer words are remembered than alone
     coded = bpe.encode_decode(
-        docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("word_bpe_49k.json"), known_words=200_000
+        docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("word_bpe_49k.json"), known_words=100_000
     )
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 

@@ -14,7 +14,8 @@ Answers from similar sets. Equal sets are one class. Of each list's sets, the on
 whose lists are longest is the pivot, and only the others' distances to it are
 computed. A set linked to the pivot is in its component, so the list's linked sets
 need no more comparisons among them. A set that is not linked to a list's pivot is
-held against the list's other sets, but only those outside its component so far, and
+held against the other sets listed with that pivot, once for all lists of the pivot, but
+only those outside its component so far, and
 bounds decide first: the difference of the two distances to the pivot and the
 number of bits in which the sets' bit maps differ are lower bounds of the distance,
 the sum of the two distances an upper one. Only pairs in between are computed.
@@ -54,7 +55,7 @@ from granulake.llm.substring_dedup import word_tokens
 
 NGRAM, PERCENT = 3, 90
 #: 64-bit words of a set's bit map.
-WORDS = 8
+WORDS = 16
 
 
 def lower_ascii(text: Column) -> Column:
@@ -318,17 +319,19 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: in
     to_pivot = saved(distances(reach.select(F.col("key").alias("a"), F.col("pivot").alias("b")).distinct(), sets, percent), "pivot-distances")
     links = to_pivot.where("linked").select("a", "b")
 
-    # sets not linked to a list's pivot, against the list's others that no links reach yet
+    # sets not linked to a list's pivot, against the others listed with that pivot that no links reach yet; sets
+    # meet once under a pivot, however many lists they share there
     reached = components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("node", "key")
     known = to_pivot.select(F.col("a").alias("key"), F.col("b").alias("pivot"), "apart", "linked")
-    placed = entries.join(known, ["key", "pivot"], "left").where("key <> pivot").join(reached, "key", "left")
+    placed = entries.where("key <> pivot").select("pivot", "key", "n").distinct().join(known, ["key", "pivot"], "left").join(reached, "key", "left")
     group = F.coalesce("component", "key").alias("group")
-    placed = saved(placed.select("list", "key", "n", "apart", F.coalesce("linked", F.lit(False)).alias("linked"), group), "placed")
-    open_lists = saved(placed.where("not linked").select("list").distinct(), "open-lists")
+    placed = saved(placed.select("pivot", "key", "n", "apart", F.coalesce("linked", F.lit(False)).alias("linked"), group), "placed")
+    open_pivots = placed.groupBy("pivot").agg(F.count("*").alias("others"), F.bool_and("linked").alias("all_linked"))
+    open_pivots = saved(open_pivots.where("others > 1 and not all_linked").select("pivot"), "open-pivots")
     maps = sets.select("key", *[F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)])
-    placed = placed.join(open_lists, "list", "left_semi").join(maps, "key")
+    placed = placed.join(open_pivots, "pivot", "left_semi").join(maps, "key")
     mine = placed.where("not linked").alias("x")
-    near = mine.join(placed.alias("y"), F.col("x.list") == F.col("y.list")).where("x.group <> y.group and (y.linked or x.key < y.key)")
+    near = mine.join(placed.alias("y"), F.col("x.pivot") == F.col("y.pivot")).where("x.group <> y.group and (y.linked or x.key < y.key)")
     near = near.where(in_size_reach("x.n", "y.n", percent))
     limit = most_apart("x.n", "y.n", percent)
     near = near.where(sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(WORDS)), F.lit(0)) <= limit)

@@ -617,3 +617,39 @@ def test_bpe_holds_a_trie_for_some_words_at_a_time(monkeypatch):
     monkeypatch.setattr(own, "_learn", lambda words: (sizes.append(len(words)), learn(words)))
     assert own.encode_batch([text]).to_pylist() == whole
     assert len(sizes) > 1 and max(sizes) == 5
+
+
+def test_sets_meet_once_under_a_pivot_however_many_lists_they_share(spark, monkeypatch):
+    import random
+
+    from granulake.llm import jaccard_join
+
+    draw, texts = random.Random(5), []
+    for family in range(3):
+        base = [f"w{family}_{i}" for i in range(200)]
+        for _ in range(14):
+            own = list(base)
+            for place in draw.sample(range(200), draw.randrange(2, 14)):
+                own[place] = f"x{draw.random()}"
+            texts.append(" ".join(own))
+    tables, saved = {}, jaccard_join.saved
+
+    def noted(df, label):
+        tables[label] = saved(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(jaccard_join, "saved", noted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in jaccard_join.joined(docs, n=5, percent=80).collect()}
+
+    grams = [{tuple(t.split()[i : i + 5]) for i in range(196)} for t in texts]
+    want = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b]):
+                    want[a] = want[b] = min(want[a], want[b])
+    assert found == dict(enumerate(want))
+    placed = tables["placed"]
+    assert tables["lists"].count() > placed.count() > 0
+    assert placed.count() == placed.select("pivot", "key").distinct().count()
