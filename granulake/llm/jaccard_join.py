@@ -44,6 +44,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +57,9 @@ from granulake.llm.substring_dedup import word_tokens
 NGRAM, PERCENT = 3, 90
 #: 64-bit words of a set's bit map.
 WORDS = 16
+#: Of the sets listed with a pivot: those in a slot, rows in a bin of cells, and pairs compared at once.
+CELL_ROWS, BIN_ROWS, MEET_AT_ONCE = 1_000, 40_000, 100_000
+LISTED = ["key", "n", "apart", "linked", "group"]
 
 
 def lower_ascii(text: Column) -> Column:
@@ -224,9 +228,10 @@ def sent_codes(chunks: DataFrame, n_buckets: int) -> DataFrame:
 def met_elsewhere(bucket: pa.Table) -> pa.Table:
     """Per chunk of a bucket, a bit for each of its codes: whether another chunk sent it."""
     sent = [np.frombuffer(codes.as_buffer(), dtype=np.uint32) for codes in bucket.column("codes")]
-    codes, counts = np.unique(np.concatenate(sent), return_counts=True)
-    shared = codes[counts > 1]
-    bits = [np.packbits(np.isin(own, shared, assume_unique=True)).tobytes() for own in sent]
+    # all chunks at once, so that work grows with the codes and not with chunks times codes
+    _, at, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+    shared = np.split((counts > 1)[at], np.cumsum([len(own) for own in sent[:-1]]))
+    bits = [np.packbits(own).tobytes() for own in shared]
     return pa.table({"chunk": bucket.column("chunk"), "bucket": bucket.column("bucket"), "bits": pa.array(bits, pa.binary())})
 
 
@@ -266,10 +271,9 @@ def shared_lists(chunks: DataFrame, n_buckets: int) -> DataFrame:
     return chunks.join(replies, "chunk").mapInArrow(work, "key long, n long, id long, signatures array<long>")
 
 
-def most_apart(a: str, b: str, percent: int) -> Column:
-    """The largest number of n-grams in which linked sets of sizes `a` and `b` differ."""
-    total = F.col(a) + F.col(b)
-    return total - 2 * F.ceil(total * percent / (100 + percent) - 1e-9)
+def most_apart(total: np.ndarray, percent: int) -> np.ndarray:
+    """The largest number of n-grams in which linked sets of `total` n-grams together differ."""
+    return total - 2 * np.ceil(total * percent / (100 + percent) - 1e-9).astype(np.int64)
 
 
 def distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -297,6 +301,52 @@ def in_size_reach(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def undecided(rows: pa.Table, percent: int) -> pa.Table:
+    """(a, b, sure) of the sets that meet in the cells of a bin and that no bound holds apart; `sure` ones are linked.
+
+    Those linked to the cell's pivot are not held against each other.
+    """
+    pivot, slot, other, key, n, group = (rows.column(c).to_numpy() for c in ("pivot", "slot", "other", "key", "n", "group"))
+    apart = pc.fill_null(rows.column("apart"), -1).to_numpy()
+    linked = rows.column("linked").to_numpy()
+    # signed words would be counted by their absolute value
+    bits = rows.column("bits").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)
+    low, high = np.minimum(slot, other), np.maximum(slot, other)
+    order = np.lexsort((high, low, pivot))
+    ends = np.flatnonzero(np.diff(pivot[order]) | np.diff(low[order]) | np.diff(high[order])) + 1
+    found = []
+
+    def meet(xs: np.ndarray, ys: np.ndarray, within: bool) -> None:
+        if not len(ys):
+            return
+        step = max(1, MEET_AT_ONCE // len(ys))
+        for start in range(0, len(xs), step):
+            x = xs[start : start + step, None]
+            stays = group[x] != group[ys]
+            if within:
+                stays &= linked[ys] | (key[x] < key[ys])
+            i, j = np.nonzero(stays)
+            i, j = xs[start + i], ys[j]
+            limit = most_apart(n[i] + n[j], percent)
+            stays = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+            stays &= (np.abs(apart[i] - apart[j]) <= limit) | (apart[i] < 0) | (apart[j] < 0)
+            i, j, limit = i[stays], j[stays], limit[stays]
+            stays = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64) <= limit
+            i, j, limit = i[stays], j[stays], limit[stays]
+            sure = (apart[i] + apart[j] <= limit) & (apart[i] >= 0) & (apart[j] >= 0)
+            found.append((np.minimum(key[i], key[j]), np.maximum(key[i], key[j]), sure))
+
+    for cell in np.split(order, ends):
+        if low[cell[0]] == high[cell[0]]:
+            meet(cell[~linked[cell]], cell, within=True)
+        else:
+            left, right = cell[slot[cell] == low[cell]], cell[slot[cell] == high[cell]]
+            meet(left[~linked[left]], right, within=False)
+            meet(right[~linked[right]], left[linked[left]], within=False)
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.empty(0, t) for t in (np.int64, np.int64, bool)]
+    return pa.table(dict(zip(("a", "b", "sure"), columns, strict=True)))
+
+
 def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
     """Pairs (a, b) of set keys that connect every two linked sets.
 
@@ -311,8 +361,11 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: in
     entries = saved(entries.join(pivots.select("list", F.col("top.key").alias("pivot"), F.col("top.n").alias("n_pivot")), "list"), "pivoted-lists")
 
     wanted = entries.select("key").distinct().join(classes, "key").select("id")
-    sets = over_sets(likely(docs, wanted), lambda i, g: (set_key(g), len(g), g.tobytes(), bit_map(g)), "key long, n long, grams binary, bits array<long>", n=n)
+    sets = over_sets(likely(docs, wanted), lambda i, g: (set_key(g), i, len(g), g.tobytes(), bit_map(g)), "key long, id long, n long, grams binary, bits array<long>", n=n)
     sets = saved(sets, "sets")
+    # copies that the bit map let through would multiply the pairs of their set
+    copied = sets.groupBy("key").agg(F.min("id").alias("first"), F.count("*").alias("rows")).where("rows > 1")
+    sets = sets.join(saved(copied, "copied-sets"), "key", "left").where(F.coalesce(F.col("id") == F.col("first"), F.lit(True)))
 
     # distances to the pivots
     reach = entries.where("key <> pivot").where(in_size_reach("n", "n_pivot", percent))
@@ -327,17 +380,16 @@ def linked_classes(listed: DataFrame, classes: DataFrame, docs: DataFrame, n: in
     group = F.coalesce("component", "key").alias("group")
     placed = saved(placed.select("pivot", "key", "n", "apart", F.coalesce("linked", F.lit(False)).alias("linked"), group), "placed")
     open_pivots = placed.groupBy("pivot").agg(F.count("*").alias("others"), F.bool_and("linked").alias("all_linked"))
-    open_pivots = saved(open_pivots.where("others > 1 and not all_linked").select("pivot"), "open-pivots")
-    maps = sets.select("key", *[F.col("bits")[i].alias(f"w{i}") for i in range(WORDS)])
-    placed = placed.join(open_pivots, "pivot", "left_semi").join(maps, "key")
-    mine = placed.where("not linked").alias("x")
-    near = mine.join(placed.alias("y"), F.col("x.pivot") == F.col("y.pivot")).where("x.group <> y.group and (y.linked or x.key < y.key)")
-    near = near.where(in_size_reach("x.n", "y.n", percent))
-    limit = most_apart("x.n", "y.n", percent)
-    near = near.where(sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(WORDS)), F.lit(0)) <= limit)
-    near = near.where(F.coalesce(F.abs(F.col("x.apart") - F.col("y.apart")) <= limit, F.lit(True)))
-    sure = F.coalesce(F.col("x.apart") + F.col("y.apart") <= limit, F.lit(False))
-    near = near.groupBy(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b")).agg(F.max(sure).alias("sure"))
+    open_pivots = saved(open_pivots.where("others > 1 and not all_linked").select("pivot", "others"), "open-pivots")
+    # a pivot's sets are dealt over slots, and each two slots meet in a cell, so that none of them is held in one task as a whole
+    slots = F.ceil(F.col("others") / CELL_ROWS).cast("int")
+    n_bins = 1 + (open_pivots.agg(F.sum(F.col("others") * slots)).first()[0] or 0) // BIN_ROWS
+    placed = placed.join(open_pivots.select("pivot", slots.alias("slots")), "pivot").join(sets.select("key", "bits"), "key")
+    placed = placed.withColumn("slot", F.pmod(F.hash("key"), "slots")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)))
+    cell = F.xxhash64("pivot", F.least("slot", "other"), F.greatest("slot", "other"))
+    placed = placed.select("pivot", "slot", "other", *LISTED, "bits", F.pmod(cell, F.lit(n_bins)).alias("bin"))
+    near = placed.groupBy("bin").applyInArrow(lambda rows: undecided(rows, percent), "a long, b long, sure boolean")
+    near = near.groupBy("a", "b").agg(F.max("sure").alias("sure"))
     near = saved(near, "pairs-left")
     rest = distances(near.where("not sure").select("a", "b"), sets, percent).where("linked")
     return links.unionByName(near.where("sure").select("a", "b")).unionByName(rest.select("a", "b"))

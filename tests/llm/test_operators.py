@@ -653,3 +653,115 @@ def test_sets_meet_once_under_a_pivot_however_many_lists_they_share(spark, monke
     placed = tables["placed"]
     assert tables["lists"].count() > placed.count() > 0
     assert placed.count() == placed.select("pivot", "key").distinct().count()
+
+
+def test_shared_codes_of_a_bucket_take_time_in_proportion_to_the_codes():
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from granulake.llm.jaccard_join import met_elsewhere
+
+    def bucket(sent):
+        codes = pa.array([np.array(own, dtype=np.uint32).tobytes() for own in sent], pa.binary())
+        return pa.table({"chunk": list(range(len(sent))), "bucket": [7] * len(sent), "codes": codes})
+
+    few = [[1, 5, 9], [2, 5], [], [9]]
+    bits = [np.unpackbits(np.frombuffer(b, dtype=np.uint8), count=len(own)).tolist() for b, own in zip(met_elsewhere(bucket(few)).column("bits").to_pylist(), few)]
+    assert bits == [[0, 1, 1], [0, 1], [], [1]]
+
+    # every code is sent by two chunks
+    many = bucket([np.arange(1000) + 1000 * (chunk // 2) for chunk in range(1600)])
+    start = time.process_time()
+    np.unique(np.concatenate([np.frombuffer(c, dtype=np.uint32) for c in many.column("codes").to_pylist()]), return_inverse=True)
+    least = time.process_time() - start
+    start = time.process_time()
+    met_elsewhere(many)
+    assert time.process_time() - start < 5 * least + 1
+
+
+def test_copies_let_through_by_the_bit_map_make_no_more_pairs(spark, monkeypatch):
+    from granulake.llm import jaccard_join
+
+    tables, saved = {}, jaccard_join.saved
+
+    def noted(df, label):
+        tables[label] = saved(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(jaccard_join, "saved", noted)
+    monkeypatch.setattr(jaccard_join, "likely", lambda docs, wanted: docs)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join([*words, f"x{i // 4}"]) for i in range(12)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.component_id for r in jaccard_join.joined(docs).collect()} == {0}
+    assert tables["sets"].count() > tables["sets"].select("key").distinct().count()
+    for name in ("pivot-distances", "placed"):
+        assert tables[name].count() == tables[name].distinct().count() > 0
+
+
+def test_sets_of_a_pivot_meet_in_cells_of_bounded_size(spark, monkeypatch):
+    import random
+
+    from granulake.llm import jaccard_join
+
+    draw, texts, plans, saved = random.Random(8), [], {}, jaccard_join.saved
+
+    def noted(df, label):
+        plans[label] = df._jdf.queryExecution().analyzed().toString()
+        return saved(df, label)
+
+    base = [f"w{i}" for i in range(120)]
+    for kind in range(20):
+        own = list(base)
+        for place in draw.sample(range(120), 4 + kind % 3):
+            own[place] = f"x{kind}_{place}"
+        texts += [" ".join(own), " ".join([*own, f"y{kind}"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(jaccard_join, "saved", noted)
+    monkeypatch.setattr(jaccard_join, "CELL_ROWS", 3, raising=False)
+    monkeypatch.setattr(jaccard_join, "BIN_ROWS", 20, raising=False)
+    found = {r.doc_id: r.component_id for r in jaccard_join.joined(docs).collect()}
+    assert "FlatMapGroupsInArrow" in plans["pairs-left"]
+
+    grams = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for t in texts]
+    want = list(range(len(texts)))
+    for _ in texts:
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(grams[a] & grams[b]) >= 90 * len(grams[a] | grams[b]):
+                    want[a] = want[b] = min(want[a], want[b])
+    assert found == dict(enumerate(want))
+
+
+def test_pairs_that_no_bound_holds_apart_by_brute_force():
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from granulake.llm.jaccard_join import WORDS, bit_map, most_apart, undecided
+
+    draw, rows, want = random.Random(3), [], set()
+    sets = []
+    for key in range(40):
+        grams = np.unique(np.array([draw.getrandbits(64) if draw.random() < 0.04 else i * 7919 << 20 for i in range(100 + key % 3)], dtype=np.uint64))
+        apart = draw.choice([None, draw.randrange(30)])
+        sets.append((key, len(grams), apart, apart is not None and apart < 10, draw.choice([0, key]), bit_map(grams)))
+    for x in sets:
+        for y in sets:
+            limit = int(most_apart(np.array([x[1] + y[1]]), 90)[0])
+            bits = sum(((a ^ b) & ((1 << 64) - 1)).bit_count() for a, b in zip(x[5], y[5]))
+            known = x[2] is not None and y[2] is not None
+            if x[0] < y[0] and x[4] != y[4] and not (x[3] and y[3]) and 100 * min(x[1], y[1]) >= 90 * max(x[1], y[1]):
+                if bits <= limit and (not known or abs(x[2] - y[2]) <= limit):
+                    want.add((x[0], y[0], known and x[2] + y[2] <= limit))
+    for slots in (1, 4):
+        rows = [(5, x[0] % slots, other, *x) for x in sets for other in range(slots)]
+        names = ["pivot", "slot", "other", "key", "n", "apart", "linked", "group", "bits"]
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int64(), -1)]
+        table = pa.table({name: pa.array(c, kind) for name, c, kind in zip(names, zip(*rows), kinds)})
+        found = undecided(table, 90).to_pylist()
+        assert len(found) == len(want) > 20 and {(r["a"], r["b"], r["sure"]) for r in found} == want
+    assert len(sets[0][5]) == WORDS
