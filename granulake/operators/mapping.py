@@ -98,6 +98,38 @@ def records(files: DataFrame, config: dict, store_prefix: str) -> DataFrame:
     )
 
 
+def _texts(config: dict, store_prefix: str) -> dict[str, Column]:
+    """The line of a mapped header by file type."""
+    as_variants = F.from_json("header", _VALUES)
+    texts = {}
+    for file_type in config:
+        sources = [s for _, s in mapped_columns(config[file_type])]
+        values = F.array(*[_value(s, store_prefix) for s in sources])
+        spelled = F.zip_with(
+            values, _are_texts(sources, as_variants), lambda v, text: F.when(text, v).otherwise(plain_number(v))
+        )
+        texts[file_type] = joined_line(F.when(has_exponent(values), spelled).otherwise(values))
+    return texts
+
+
+def with_csv_lines(files: DataFrame, config: dict, store_prefix: str) -> DataFrame:
+    """Replace `header` by `csv_lines`, the `csv_line` each file type of the config would give, in its order."""
+    texts = F.array(F.lit(None).cast("string"), *_texts(config, store_prefix).values())
+    parsed = with_mapped_header(files, config)
+    lined = with_computed(parsed, "_line", F.struct(F.when(readable(), texts).alias("csv_lines")))
+    return lined.select(
+        *[c for c in files.columns if c != "header"], F.col("_line.csv_lines").alias("csv_lines")
+    )
+
+
+def own_line(file_type: Column, lines: Column, config: dict) -> Column:
+    """The line of a file type among `csv_lines`; null for a type the config lacks."""
+    line = F.lit(None).cast("string")
+    for position, known in enumerate(config, start=1):
+        line = F.when(file_type == known, F.get(lines, F.lit(position))).otherwise(line)
+    return line
+
+
 def with_csv_line(files: DataFrame, config: dict, store_prefix: str) -> DataFrame:
     """Add `csv_line` by each row's file type.
 
@@ -105,15 +137,8 @@ def with_csv_line(files: DataFrame, config: dict, store_prefix: str) -> DataFram
     Numbers are spelled in plain digits and text stays as it is. Which is which
     takes a second look at the header, only for rows with a value like `1.0E7`.
     """
-    as_variants = F.from_json("header", _VALUES)
     line = F.lit(None).cast("string")
-    for file_type in config:
-        sources = [s for _, s in mapped_columns(config[file_type])]
-        values = F.array(*[_value(s, store_prefix) for s in sources])
-        spelled = F.zip_with(
-            values, _are_texts(sources, as_variants), lambda v, text: F.when(text, v).otherwise(plain_number(v))
-        )
-        text = joined_line(F.when(has_exponent(values), spelled).otherwise(values))
+    for file_type, text in _texts(config, store_prefix).items():
         line = F.when(F.col("file_type") == file_type, text).otherwise(line)
     parsed = with_mapped_header(files, config)
     lined = with_computed(parsed, "_line", F.struct(F.when(readable(), line).alias("csv_line")))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from granulake.operators.catalog import match_locations, new_tracking_rows, unseen_files
 from granulake.functions.paths import day_folder, object_name
-from granulake.operators.joins import join_unique
-from granulake.operators.mapping import with_csv_line
+from granulake.operators.joins import join_unique, likely
+from granulake.operators.mapping import own_line, with_csv_line, with_csv_lines
 from granulake.operators.tracking import (
     DEFAULT_BATCH_SIZE,
     NO_CAP,
@@ -20,12 +20,14 @@ from granulake.operators.tracking import (
     claimed_updates,
     done_updates,
 )
-from granulake.plans.ingest import latest_named
+from granulake.plans.ingest import NO_VERSION, latest_named, newest_header
 from granulake.schemas import QUEUED
 from granulake.session import working_path
 from granulake.sinks.csv_files import write_export
 from granulake.sinks.tracking_table import TrackingStore
 
+_KEYS = ["name", "day"]
+
 
 @dataclass(frozen=True)
 class Processed:
@@ -67,12 +69,46 @@ def located_headers(claimed: DataFrame, headers: DataFrame, location_root: str)
     small claim opens only the days it names. A claim holds a path once or a few times, so
     no key is hot and the headers stay where they were grouped: their texts are shuffled once.
     """
+    named = _named(claimed, location_root)
+    return named.join(latest_named(headers, named, _KEYS), _KEYS).drop(*_KEYS)
+
+
+def _named(claimed: DataFrame, location_root: str) -> DataFrame:
+    """Claimed files below the root with the `name` and `day` of their header."""
     # Spark prunes days at run time only for a side that is filtered
     below = claimed.filter(F.col("path").startswith(location_root.rstrip("/") + "/"))
     named = below.withColumn("name", object_name(F.col("path"), location_root))
-    named = named.withColumn("day", day_folder(F.col("name")))
-    keys = ["name", "day"]
-    return named.join(latest_named(headers, named, keys), keys).drop(*keys)
+    return named.withColumn("day", day_folder(F.col("name")))
+
+
+def located_lines(
+    claimed: DataFrame, headers: DataFrame, config: dict, store_prefix: str, location_root: str
+) -> DataFrame:
+    """Claimed files with the `csv_line` of their latest header from a header store.
+
+    Lines are read out of the headers where they are stored, and only lines are shuffled. Texts are
+    shuffled where several headers of one name have its latest version, since of these the greatest text counts.
+    """
+    named = _named(claimed, location_root)
+    headers = headers.join(named.select("day").distinct(), "day", "left_semi")
+    headers = likely(headers, named.select("name"), "name").withColumn(
+        "path", F.concat(F.lit(location_root.rstrip("/") + "/"), "name")
+    )
+    lined = with_csv_lines(headers, config, store_prefix)
+    best = lined.groupBy(*_KEYS).agg(F.max_by("csv_lines", "version").alias("csv_lines"))
+
+    versions = headers.groupBy(*_KEYS, "version").agg(F.count("*").alias("n"))
+    # an unknown version is the earliest
+    known = F.coalesce("version", F.lit(NO_VERSION))
+    tied = versions.groupBy(*_KEYS).agg(F.max_by("n", known).alias("n")).filter("n > 1").select(*_KEYS)
+    # a name that only looks tied gets the same line again
+    greatest = likely(headers, tied, "name").groupBy(*_KEYS, "path").agg(newest_header())
+    greatest = with_csv_lines(greatest, config, store_prefix).select(*_KEYS, F.struct("csv_lines").alias("_tied"))
+
+    found = named.join(best, _KEYS).join(greatest, _KEYS, "left")
+    lines = F.when(F.col("_tied").isNotNull(), F.col("_tied.csv_lines")).otherwise(F.col("csv_lines"))
+    found = found.withColumn("csv_line", own_line(F.col("file_type"), lines, config))
+    return found.drop(*_KEYS, "csv_lines", "_tied")
 
 
 def extract_lines(
@@ -89,13 +125,10 @@ def extract_lines(
     """
     if location_root is None:
         files = claimed.join(headers.select("path", "header"), "path")
+        lines = with_csv_line(files, config, store_prefix)
     else:
-        files = located_headers(claimed, headers, location_root)
-    return (
-        with_csv_line(files, config, store_prefix)
-        .filter(F.col("csv_line").isNotNull())
-        .select("filename", "path", "mtime", "csv_line")
-    )
+        lines = located_lines(claimed, headers, config, store_prefix, location_root)
+    return lines.filter(F.col("csv_line").isNotNull()).select("filename", "path", "mtime", "csv_line")
 
 
 def process(

@@ -171,6 +171,31 @@ def test_header_texts_of_claimed_files_are_shuffled_once(spark, tmp_path):
     assert lines and not any("struct" in line or "_key" in line for line in lines)
 
 
+def test_only_headers_that_share_a_version_are_shuffled_as_texts(spark):
+    schema = "name string, header string, version bigint, day string"
+    plain = [(f"p/2020/1/g{i}.nc", header(px=i), 1, "p/2020/1") for i in range(6)]
+    older = [("p/2020/1/g0.nc", header(px=70), 0, "p/2020/1"), ("p/2020/1/g2.nc", "{", 2, "p/2020/1")]
+    older += [("p/2020/1/g3.nc", None, 3, "p/2020/1"), ("p/2020/1/g4.nc", header(px=74), None, "p/2020/1")]
+    tied = [("p/2020/1/g5.nc", header(px=px), 4, "p/2020/1") for px in (75, 79, 77)]
+    tied += [("p/2020/1/g1.nc", text, 4, "p/2020/1") for text in (None, header(px=71))]
+    files = [(f"g{i}.nc", f"/s/p/2020/1/g{i}.nc", T0, kind) for i in range(7) for kind in ("mcm", "rad", "none")]
+    claimed = spark.createDataFrame(files, "filename string, path string, mtime timestamp_ntz, file_type string")
+
+    def lines(rows):
+        stored = spark.createDataFrame(rows, schema)
+        found = extract_lines(claimed, stored, CONFIG, "/s", "/s")
+        want = with_csv_line(located_headers(claimed, stored, "/s"), CONFIG, "/s").filter("csv_line is not null")
+        got = sorted(found.collect())
+        assert got == sorted(want.select("filename", "path", "mtime", "csv_line").collect())
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        return {r.filename: r.csv_line.split(",")[-1] for r in got if r.csv_line.count(",") == 1}, "max_by(header" in plan
+
+    found, shuffled = lines(plain + older)
+    assert set(found) == {"g0.nc", "g1.nc", "g4.nc", "g5.nc"} and not shuffled
+    found, shuffled = lines(plain + older + tied)
+    assert found["g5.nc"] == "79" and found["g1.nc"] == "71" and shuffled
+
+
 # --- queue ------------------------------------------------------------------
 @pytest.mark.parametrize(
     ("cap", "batch", "rows"), [(120, 50, 150), (0, 50, 0), (-1, 50, None), (100, 50, 100), (-7, 50, 0)]
