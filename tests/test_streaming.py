@@ -188,3 +188,30 @@ def test_a_header_stored_again_counts_once_and_the_latest_counts(spark, place):
     batch = Ingest(messages, read_header_store(spark, place.store))
     assert [r.dataset_name for r in batch.product("glm_l2_lcfa").collect()] == ["new"]
     assert batch.rejects().count() == 0
+
+
+def test_state_has_no_more_partitions_than_cores_ask_for(spark, place, tmp_path, monkeypatch):
+    from granulake.streaming import ingest
+
+    name, seen = "spark.sql.shuffle.partitions", []
+    before, load = spark.conf.get(name), ingest.load_batch
+
+    def noted(batch, *rest):
+        seen.append(batch.sparkSession.conf.get(name))
+        load(batch, *rest)
+
+    monkeypatch.setattr(ingest, "load_batch", noted)
+    monkeypatch.setattr(ingest, "STATE_PARTITIONS_A_CORE", 1, raising=False)
+    place.headers(1)
+    place.send(message(name_of("glm_l2_lcfa", 1)), message(name_of("glm_l2_lcfa", 1)))
+    spark.conf.set(name, "30")
+    try:
+        start_ingest(
+            stream_files(spark, str(place.messages)), lambda s: read_header_store(s, place.store), place.tables, str(tmp_path / "log"), distinct_within=60
+        ).awaitTermination()
+        assert spark.conf.get(name) == "30"
+    finally:
+        spark.conf.set(name, before)
+    assert place.urls()["glm_l2_lcfa"] == ["g1.nc"] and set(seen) == {"30"}
+    parts = [p.name for p in (tmp_path / "log" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(parts) == spark.sparkContext.defaultParallelism
